@@ -185,17 +185,21 @@ def is_suspect(text: str) -> bool:
 
 
 def best_chain(text: str) -> str | None:
-    """The chain that explains most of a text by itself, without corpus statistics; None if none does."""
+    """The chain that explains most of a text by itself, without corpus statistics; None if none does.
+
+    A multi-byte chain earns its Swedish letters and the number of damaged characters they account
+    for, so that a chain applied twice wins over one of its own steps.
+    """
     best, score = None, 0.0
     for chain in ALL:
         spans = repair_spans(text, chain)
         if not spans:
             continue
-        good = sum(1.0 if c in "åäöÅÄÖ" else 0.3 for _, _, c in spans)
+        swedish = sum(c in "åäöÅÄÖ" for _, _, c in spans)
         if chain in MULTI:
-            good *= 1.0 + 0.2 * (max(e - s for s, e, _ in spans) > 2)
+            good = sum((e - s) * (1.0 if c in EXPECTED or c in "°±–…½µ\ufeff" else 0.05) for s, e, c in spans)
         else:
-            good -= 1.0 if chain != NATIONAL else 0.5
+            good = swedish + 0.3 * (len(spans) - swedish) - (1.0 if chain != NATIONAL else 0.5)
             if good < 0.8:
                 continue
         if good > score + 1e-9:
