@@ -98,8 +98,8 @@ def measures(text: str | None) -> tuple | None:
         n = memo.get(x)
         if n is None:
             n = memo[x] = syllables(x, lang)
-        syl += n
-        letters += len(x)
+        syl += min(n, 12)  # an unbroken run of letters is one long word, not a measure of its own
+        letters += min(len(x), 30)
         long += len(x) > 6
         many += n > 2
     fk = 0.39 * w / s + 11.8 * syl / w - 15.59
@@ -108,7 +108,8 @@ def measures(text: str | None) -> tuple | None:
     ari = 4.71 * letters / w + 0.5 * w / s - 21.43
     cli = 5.88 * letters / w - 29.6 * s / w - 15.8
     rix = float(sum(long / s >= edge for edge in LONG_WORD_GRADES))
-    return (lang, s, w, w / s + 100 * long / w, 206.835 - 1.015 * w / s - 84.6 * syl / w, fk, fog, smog, ari, cli, rix, median((fk, fog, smog, ari, cli, rix)))
+    grade = min(30.0, max(-3.0, median((fk, fog, smog, ari, cli, rix))))
+    return (lang, s, w, w / s + 100 * long / w, 206.835 - 1.015 * w / s - 84.6 * syl / w, fk, fog, smog, ari, cli, rix, grade)
 
 
 NAMES = ("language", "n_sentences", "n_words", "lix", "flesch", "fk", "fog", "smog", "ari", "coleman_liau", "rix_grade", "grade")
