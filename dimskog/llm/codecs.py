@@ -91,15 +91,23 @@ ALL = [*STEPS, NATIONAL]
 MULTI = [c for c in STEPS if c.startswith("utf8")]
 
 
+def _lead_chars() -> set[str]:
+    chars = {g[0] for c in STEPS for g in inverse(c)[0]} | {"\ufffd"} | set(SEVEN_BIT)
+    return chars - set("åäöÅÄÖéÉüÜ–”°")  # everyday characters do not mark a text; their garbles begin otherwise
+
+
+#: Java pattern of texts that may be damaged: any character but the everyday ones, with "?" and square
+#: brackets only beside letters.  One negated class, so that clean text is passed over quickly.
+SUSPECT = (
+    r"[^\x00-\x3e\x40-\x5a\x5f\x61-\x7aåäöÅÄÖéÉüÜ°–”]"
+    r"(?:(?<=[^?\[\]])|(?<=\?)(?=\p{L})|(?<=\p{L}[\[\]])(?=\p{L})|(?<=\s\[)(?=\p{Ll}{2,}[\s,.]))"
+)
+
+
 @cache
-def suspect_class() -> str:
-    """A regex character class (valid in Java and Python) of every character that may begin damage."""
-    chars = {g[0] for c in STEPS for g in inverse(c)[0]} | {"�"} | set(SEVEN_BIT)
-    chars -= set("åäöÅÄÖéÉüÜ–”°") | {" "}  # everyday characters cannot mark a row; their garbles begin otherwise
-    out = []
-    for c in sorted(chars):
-        out.append(f"\\x{{{ord(c):x}}}")
-    return "[" + "".join(out) + "]"
+def leads(chain: str) -> frozenset[str]:
+    """First characters of the chain's sequences."""
+    return frozenset(g[0] for g in inverse(chain)[0])
 
 
 #: Punctuation that is everyday text: as a damaged letter it must stand between two letters.
@@ -175,9 +183,7 @@ def repair_spans(text: str, chain: str) -> list[tuple[int, int, str]]:
 
 @cache
 def _suspect() -> re.Pattern:
-    chars = {g[0] for c in STEPS for g in inverse(c)[0]} | {"�"} | set(SEVEN_BIT)
-    chars -= set("åäöÅÄÖéÉüÜ–”°")
-    return re.compile("[" + "".join(re.escape(c) for c in sorted(chars)) + "]")
+    return re.compile("[" + "".join(re.escape(c) for c in sorted(_lead_chars())) + "]")
 
 
 def is_suspect(text: str) -> bool:
@@ -191,7 +197,10 @@ def best_chain(text: str) -> str | None:
     for, so that a chain applied twice wins over one of its own steps.
     """
     best, score = None, 0.0
+    chars = set(text)
     for chain in ALL:
+        if leads(chain).isdisjoint(chars):
+            continue
         spans = repair_spans(text, chain)
         if not spans:
             continue

@@ -74,7 +74,10 @@ def evidence(text: str, seen: dict, total: int) -> list[tuple[str, int, int]]:
     q = codecs.questions(text)
     if q:
         out.append((codecs.QUESTION, 3, min(3, len(q))))
+    chars = set(text)
     for chain in codecs.ALL:
+        if codecs.leads(chain).isdisjoint(chars):
+            continue
         found = codecs.occurrences(text, chain)
         if chain in codecs.MULTI:
             found = [x for x in found if x[1] - x[0] > 1]
@@ -102,7 +105,7 @@ def _features(texts: DataFrame, seen: dict) -> DataFrame:
 
         return step
 
-    near = texts.where(F.col("text").rlike(codecs.suspect_class() + "|\\p{L}\\?+\\p{L}"))
+    near = texts.where(F.col("text").rlike(codecs.SUSPECT))
     return map_batches(near.select("tbl", "row_id", "source", "text"), make, "tbl string, row_id long, source string, chain string, bin int, hits int")
 
 
