@@ -64,8 +64,8 @@ ADJECTIVES = "Norra|Södra|Östra|Västra|Stora|Lilla|Gamla|Nya|Övre|Nedre|Inre
 ADJECTIVES += "|" + ADJECTIVES.upper()
 ADJECTIVES += "|Sƣdra|Vƣstra|Ƣstra|Ƣvre|SƣDRA|VƣSTRA|ƢSTRA|ƢVRE"
 STREET_HEAD = re.compile(
-    rf"(?:(?:{ADJECTIVES}) (?:[{UPPER}][\w-]*)?"
-    rf"|(?:[{UPPER}][^\W\d_]+ )?[{UPPER}][\w-]*[sS] |[{UPPER}][\w-]*)$"
+    rf"(?:(?:{ADJECTIVES}) [^\W\d_][\w-]*"
+    rf"|(?:[{UPPER}][^\W\d_]+ )?[{UPPER}][\w-]*[sS] [^\W\d_]+|[{UPPER}][\w-]*)$"
 )
 
 # Swedish digit words.
