@@ -65,7 +65,7 @@ ADJECTIVES += "|" + ADJECTIVES.upper()
 ADJECTIVES += "|Sƣdra|Vƣstra|Ƣstra|Ƣvre|SƣDRA|VƣSTRA|ƢSTRA|ƢVRE"
 STREET_HEAD = re.compile(
     rf"(?:(?:{ADJECTIVES}) [^\W\d_][\w-]*"
-    rf"|(?:[{UPPER}][^\W\d_]+ )?[{UPPER}][\w-]*[sS] [^\W\d_]+|[{UPPER}][\w-]*)$"
+    rf"|(?:[{UPPER}][^\W\d_]+ )?[{UPPER}][\w-]*[sS] (?i:{WAYS})|[{UPPER}][\w-]*)$"
 )
 
 # Swedish digit words.
