@@ -15,7 +15,11 @@ from pyspark.sql import functions as F
 from dimskog.functions.text import spans, strip
 
 # Label of each category of the gazetteer table.
-CATEGORY_LABELS = {"given_name": "private_person", "family_name": "private_person", "place": "private_address", "hospital": "private_address", "street": "private_address"}
+CATEGORY_LABELS = {
+    "Administrative_Entity": "private_address", "Street": "private_address", "Hospital": "private_address", "School": "private_address",
+    "Given_Name": "private_person", "Family_Name": "private_person",
+    "given_name": "private_person", "family_name": "private_person", "place": "private_address", "hospital": "private_address", "street": "private_address",
+}
 # Category words that informal names leave out.
 SUFFIXES = (
     "universitetssjukhuset", "universitetssjukhus", "sjukhuset", "sjukhus", "lasarettet", "lasarett", "kommunen", "kommun", "länet", "län",

@@ -1,11 +1,430 @@
-"""All queries of the core operators, by name, with the SQL of each where SQL can express it."""
+"""All queries of the core operators, by name.  Every query runs over whole tables."""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from dimskog.operators import backend, chunking, conflicts, coreference, gazetteer, judge, redact, review, rules, scoring, tagging, training
+from dimskog.plans import oracle, pipeline
+from dimskog.runtime import table
+from dimskog.schema import CONFIDENCE, SOURCES, taxonomy
+
+RUN = ["run_label", "note"]
+
+
+# ---------------------------------------------------------------- inputs
+
+
+def _notes(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "notes").select("note_id", "doc_id", "text", "received_at")
+
+
+def _texts(spark: SparkSession, d: str) -> DataFrame:
+    """(note, text): the first delivery of each note."""
+    return _notes(spark, d).where("text is not null").groupBy(F.col("doc_id").alias("note")).agg(F.min_by("text", "note_id").alias("text"))
+
+
+def _entities(spark: SparkSession, d: str) -> DataFrame:
+    """The audit table as entities of (run_label, note)."""
+    conf = F.create_map(*[F.lit(x) for kv in CONFIDENCE.items() for x in kv])
+    return table(spark, d, "audit").select(
+        *RUN, F.col("audit_id").alias("seq"), F.col("original").alias("text"), "label", F.col("start_pos").cast("int").alias("start"), F.col("end_pos").cast("int").alias("end"),
+        "source", F.coalesce(F.try_element_at(conf, F.col("source")), F.lit(1.0)).alias("confidence"), F.col("generalized_to").alias("generalized"), "risk",
+    )
+
+
+def _run_texts(spark: SparkSession, d: str) -> DataFrame:
+    """(run_label, note, text) of every run of a note."""
+    return table(spark, d, "audit").select(*RUN).distinct().join(_texts(spark, d), "note").select(*RUN, "text")
+
+
+def _long(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("long") for c in columns})
+
+
+# ---------------------------------------------------------------- detection
+
+
+def rule_spans(spark: SparkSession, d: str) -> DataFrame:
+    out = rules.rule_spans(_notes(spark, d), "note_id").withColumnsRenamed({"start": "start_pos", "end": "end_pos"})
+    return _long(out, "pattern_no", "start_pos", "end_pos")
+
+
+def rule_spans_of(number: int):
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        from dimskog.functions.text import spans, unicode_pattern
+
+        p = unicode_pattern(rules.PATTERNS[number][1])
+        each = _notes(spark, d).where("text is not null").select("note_id", F.explode(spans(F.col("text"), p)).alias("s"))
+        return each.select("note_id", F.col("s.start").cast("long").alias("start_pos"), F.col("s.end").cast("long").alias("end_pos"), "s.text")
+
+    return run
+
+
+def rule_entities(spark: SparkSession, d: str) -> DataFrame:
+    out = pipeline.rule_entities(_notes(spark, d), "note_id").withColumnsRenamed({"start": "start_pos", "end": "end_pos"})
+    return _long(out.select("note_id", "seq", "label", "start_pos", "end_pos", "text"), "start_pos", "end_pos")
+
+
+def rule_label_counts(spark: SparkSession, d: str) -> DataFrame:
+    return pipeline.rule_entities(_notes(spark, d), "note_id").groupBy("label").agg(F.count("*").alias("n"))
+
+
+def redact_notes(spark: SparkSession, d: str) -> DataFrame:
+    return _notes(spark, d).select("note_id", pipeline.redact_by_rules(F.col("text")).alias("redacted"))
+
+
+def gazetteer_patterns(spark: SparkSession, d: str) -> DataFrame:
+    return gazetteer.patterns(table(spark, d, "gazetteer"))
+
+
+def gazetteer_spans(spark: SparkSession, d: str) -> DataFrame:
+    out = gazetteer.scan(_notes(spark, d), gazetteer_patterns(spark, d), "note_id").withColumnsRenamed({"start": "start_pos", "end": "end_pos"})
+    return _long(out, "start_pos", "end_pos")
+
+
+def deidentified(part: str, options: pipeline.Options = pipeline.Options()):
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        docs = _notes(spark, d).select("note_id", "text")
+        return pipeline.deidentify(docs, "note_id", options, gazetteer_patterns(spark, d))[part]
+
+    return run
+
+
+def mock_entities(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return _long(pipeline.backend_entities(docs, "doc_id", "mock", False).drop("confidence"), "start", "end").withColumnsRenamed({"start": "start_pos", "end": "end_pos"})
+
+
+# ---------------------------------------------------------------- conflicts and rewriting
+
+
+def greedy_accept(spark: SparkSession, d: str) -> DataFrame:
+    out = conflicts.greedy(_entities(spark, d), RUN).withColumnsRenamed({"start": "start_pos", "end": "end_pos"})
+    return _long(out.select(*RUN, "rank", "seq", "label", "start_pos", "end_pos", "generalized"), "start_pos", "end_pos")
+
+
+def redaction_plan(spark: SparkSession, d: str) -> DataFrame:
+    out = conflicts.plan(_entities(spark, d), RUN).withColumnsRenamed({"start": "start_pos", "end": "end_pos"})
+    return _long(out.select(*RUN, "seq", "label", "source", "start_pos", "end_pos", "whole", "generalized"), "start_pos", "end_pos")
+
+
+def replacements(no_generalize: bool):
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        e = _entities(spark, d)
+        return e.select(F.col("seq").alias("audit_id"), redact.replacement(F.col("text"), F.col("label"), F.col("generalized"), no_generalize).alias("replacement"))
+
+    return run
+
+
+def age_decades(spark: SparkSession, d: str) -> DataFrame:
+    return _entities(spark, d).select(F.col("seq").alias("audit_id"), redact.age_range(F.col("text")).alias("age_range"))
+
+
+def redacted_runs(spark: SparkSession, d: str) -> DataFrame:
+    return redact.redacted(_run_texts(spark, d), conflicts.plan(_entities(spark, d), RUN), RUN).select(*RUN, "redacted")
+
+
+def audit_log(spark: SparkSession, d: str) -> DataFrame:
+    return redact.audit(_entities(spark, d), RUN)
+
+
+def propagated(spark: SparkSession, d: str) -> DataFrame:
+    return coreference.propagate(_run_texts(spark, d), _entities(spark, d), RUN).withColumnsRenamed({"start": "start_pos", "end": "end_pos"})
+
+
+def stage_counts(spark: SparkSession, d: str) -> DataFrame:
+    return _entities(spark, d).groupBy("run_label", "source").agg(F.count("*").alias("n"))
+
+
+def union_stages(spark: SparkSession, d: str) -> DataFrame:
+    e = _entities(spark, d)
+    return backend.union_stages([e.where(F.col("source") == s) for s in SOURCES], RUN).select(*RUN, "seq", "source", "label", F.col("start").cast("long").alias("start_pos"))
+
+
+def taxonomy_table(spark: SparkSession, d: str) -> DataFrame:
+    return taxonomy(spark)
+
+
+# ---------------------------------------------------------------- language-model contract
+
+
+def generalize_targets(spark: SparkSession, d: str) -> DataFrame:
+    return backend.generalize_targets(_entities(spark, d)).select(F.col("seq").alias("audit_id"), "label")
+
+
+def _llm_claims(spark: SparkSession, d: str) -> DataFrame:
+    """Findings of the language model as a raw reply a run and note, parsed again."""
+    e = _entities(spark, d).where("source = 'llm' and text is not null")
+    one = F.struct("seq", F.to_json(F.struct("text", "label", "risk", F.col("generalized").alias("generalize"))).alias("j"))
+    raw = e.groupBy(*RUN).agg(F.concat(F.lit("<think>[{}]</think>```json["), F.array_join(F.transform(F.array_sort(F.collect_list(one)), lambda x: x["j"]), ","), F.lit("]```")).alias("raw"))
+    key = F.concat_ws("|", *RUN).alias("doc")
+    return backend.claims(raw.select(key, "raw"), "doc")
+
+
+def llm_claims(spark: SparkSession, d: str) -> DataFrame:
+    return _llm_claims(spark, d)
+
+
+def llm_resolved(spark: SparkSession, d: str) -> DataFrame:
+    docs = _run_texts(spark, d).select(F.concat_ws("|", *RUN).alias("doc"), "text")
+    return backend.resolve_all(docs, _llm_claims(spark, d), "doc").withColumnsRenamed({"start": "start_pos", "end": "end_pos"})
+
+
+def token_budgets(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").where("n_chars is not null")
+    tokens = F.ceil(F.col("n_chars") / 4).cast("long")
+    return docs.select("doc_id", *[backend.token_budget(tokens, F.lit(q), F.lit(x)).cast("long").alias(n) for n, q, x in (("full", 0, True), ("quasi", 0, False), ("targeted", 5, False))])
+
+
+def quantization_tiers(spark: SparkSession, d: str) -> DataFrame:
+    p = table(spark, d, "part")
+    return p.select("p_partkey", backend.quantization(F.col("p_retailprice") / 20, F.col("p_size").cast("double")).alias("tier"))
+
+
+# ---------------------------------------------------------------- judge
+
+
+def _flags(spark: SparkSession, d: str) -> DataFrame:
+    e = _entities(spark, d)
+    return e.select("note", "seq", F.col("source").alias("judge"), F.concat_ws(" ", F.coalesce("text", F.lit("")), F.col("generalized")).alias("quote"), F.col("label").alias("reason"))
+
+
+def judge_panel(spark: SparkSession, d: str) -> DataFrame:
+    return judge.panel(_flags(spark, d), "note")
+
+
+def judge_votes(spark: SparkSession, d: str) -> DataFrame:
+    return judge.panel(_flags(spark, d), "note", 2)
+
+
+def judge_first_flags(spark: SparkSession, d: str) -> DataFrame:
+    return judge.first_flags(_flags(spark, d), "note").select("note", "seq", "judge", "quote")
+
+
+def needs_review(spark: SparkSession, d: str) -> DataFrame:
+    return judge.needs_review(_texts(spark, d), judge_panel(spark, d), "note")
+
+
+# ---------------------------------------------------------------- chunking
+
+
+def sentence_units(spark: SparkSession, d: str) -> DataFrame:
+    each = _notes(spark, d).where("text is not null").select("note_id", F.posexplode(chunking.units(F.col("text"))).alias("unit_no", "u"))
+    return each.select("note_id", F.col("unit_no").cast("long").alias("unit_no"), F.col("u.start").cast("long").alias("start_pos"), F.col("u.end").cast("long").alias("end_pos"))
+
+
+def sentence_chunks(spark: SparkSession, d: str) -> DataFrame:
+    packed = chunking.packed(chunking.units(F.col("text")), backend.CHUNK)
+    each = _notes(spark, d).where("text is not null").select("note_id", F.posexplode(packed).alias("chunk_no", "c"))
+    return each.select("note_id", F.col("chunk_no").cast("long").alias("chunk_no"), F.col("c.start").cast("long").alias("start_pos"), F.col("c.end").cast("long").alias("end_pos"))
+
+
+def char_windows(spark: SparkSession, d: str) -> DataFrame:
+    each = table(spark, d, "documents").where("text is not null").select("doc_id", F.posexplode(chunking.windows(F.col("text"), 1000, 50)).alias("window_no", "w"))
+    return each.select("doc_id", F.col("window_no").cast("long").alias("window_no"), F.col("w.start").cast("long").alias("start_pos"), F.col("w.end").cast("long").alias("end_pos"))
+
+
+def training_chunks(spark: SparkSession, d: str) -> DataFrame:
+    return chunking.training_chunks(table(spark, d, "sv_pure3"), "row_id").withColumn("n_spans", F.size("spans").cast("long")).drop("spans")
+
+
+# ---------------------------------------------------------------- tags and metrics
+
+
+def _masks(spark: SparkSession, d: str) -> DataFrame:
+    each = table(spark, d, "sv_pure3").where("privacy_mask is not null").select("row_id", F.posexplode("privacy_mask").alias("span_seq", "m"))
+    return each.select("row_id", "span_seq", F.col("m.start_pos").alias("start"), F.col("m.end_pos").alias("end"), tagging.mapped(F.col("m.label"), tagging.MASK).alias("category"))
+
+
+def token_tags(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "sv_pure3").select("row_id", "source_text")
+    return tagging.align(tagging.tokens(rows, "row_id", "source_text"), _masks(spark, d), "row_id")
+
+
+def decoded_spans(spark: SparkSession, d: str) -> DataFrame:
+    out = tagging.decode(token_tags(spark, d), "row_id")
+    return out.select("row_id", F.col("start").alias("start_pos"), F.col("end").alias("end_pos"), "label", "tokens")
+
+
+def _gold_spans(spark: SparkSession, d: str) -> DataFrame:
+    return _masks(spark, d).where("category is not null").select("row_id", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), tagging.mapped(F.col("category"), tagging.MODEL).alias("label"))
+
+
+def f_scores(by_label: bool):
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        return training.f_scores(_gold_spans(spark, d), tagging.decode(token_tags(spark, d), "row_id"), ["row_id"], by_label)
+
+    return run
+
+
+def fragment_repair(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "sv_pure3").where("source_text is not null and privacy_mask is not null")
+    label = lambda m: F.coalesce(tagging.mapped(tagging.mapped(m["label"], tagging.MASK), tagging.MODEL), m["label"])
+    spans = F.transform("privacy_mask", lambda m: F.struct(m["start_pos"].alias("start"), m["end_pos"].alias("end"), label(m).alias("label"), F.lit(0.95).alias("confidence")))
+    each = rows.select("row_id", F.posexplode(tagging.repair(spans, F.col("source_text"))).alias("n", "e"))
+    return each.select("row_id", F.col("n").cast("long").alias("n"), F.col("e.start").cast("long").alias("start_pos"), F.col("e.end").cast("long").alias("end_pos"), "e.label")
+
+
+def label_counts(spark: SparkSession, d: str) -> DataFrame:
+    return training.label_counts(table(spark, d, "sv_pure3"), tagging.MASK)
+
+
+def tag_vocabulary(spark: SparkSession, d: str) -> DataFrame:
+    return tagging.vocabulary(spark)
+
+
+def tuning_rows(spark: SparkSession, d: str) -> DataFrame:
+    return training.tuning_rows(_run_texts(spark, d), _entities(spark, d), RUN, "Hitta identifierande uppgifter och svara med JSON.")
+
+
+def train_split(spark: SparkSession, d: str) -> DataFrame:
+    return training.exact_split(table(spark, d, "sv_pure3"), "row_id", 42, 0.8)
+
+
+def hash_split(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "sv_pure3").select("row_id", training.split_part(F.col("row_id"), 42, 0.8).alias("part"))
+
+
+# ---------------------------------------------------------------- scores
+
+
+def _outcomes(spark: SparkSession, d: str) -> DataFrame:
+    gold = table(spark, d, "synthetic_notes_key").select("item_id", "note", "item_group", "text", "pii_type")
+    return scoring.item_outcomes(gold, redacted_runs(spark, d), table(spark, d, "audit"))
+
+
+def score_items(spark: SparkSession, d: str) -> DataFrame:
+    return _outcomes(spark, d).select("item_id", *RUN, "kind", "kept", "detected", "hit")
+
+
+def score_notes(spark: SparkSession, d: str) -> DataFrame:
+    return scoring.per_note(_outcomes(spark, d))
+
+
+def score_compare(spark: SparkSession, d: str) -> DataFrame:
+    return scoring.compare(_outcomes(spark, d))
+
+
+def score_seeds(spark: SparkSession, d: str) -> DataFrame:
+    return scoring.seeds(_outcomes(spark, d))
+
+
+ENSEMBLE = ["modell_a_s1", "modell_a_s2", "modell_b_s1"]
+
+
+def score_ensemble(spark: SparkSession, d: str) -> DataFrame:
+    return scoring.ensemble(_outcomes(spark, d), ENSEMBLE)
+
+
+def detector_compare(spark: SparkSession, d: str) -> DataFrame:
+    return scoring.detector_compare(table(spark, d, "synthetic_notes_key"), table(spark, d, "audit"))
+
+
+def scored_notes(spark: SparkSession, d: str) -> DataFrame:
+    """Notes of the key with their runs, and runs without a text."""
+    notes = table(spark, d, "synthetic_notes_key").select("note").distinct()
+    runs = table(spark, d, "audit").groupBy("note").agg(F.countDistinct("run_label").alias("runs"))
+    has = _texts(spark, d).select("note", F.lit(True).alias("has_text"))
+    return notes.join(runs, "note", "left").join(has, "note", "left").select("note", F.coalesce("runs", F.lit(0)).cast("long").alias("runs"), F.coalesce("has_text", F.lit(False)).alias("has_text"))
+
+
+# ---------------------------------------------------------------- review
+
+
+def review_regions(spark: SparkSession, d: str) -> DataFrame:
+    return review.regions(_entities(spark, d), RUN)
+
+
+def review_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Entities out as tasks and back again."""
+    texts = table(spark, d, "audit").select(*RUN).distinct().join(_texts(spark, d), "note", "left").select(*RUN, "text")
+    out = review.tasks(texts, review.regions(_entities(spark, d), RUN), RUN)
+    parsed = out.select(*RUN, F.from_json("task", review.TASK).alias("t"))
+    back = review.decoded(parsed.select(*RUN, review.chosen(F.col("t")).alias("result")), RUN)
+    return _long(back.select(*RUN, "text", "label", "start", "end", "source", "generalized", "risk"), "start", "end").withColumnsRenamed({"start": "start_pos", "end": "end_pos"})
+
+
+def review_clusters(spark: SparkSession, d: str) -> DataFrame:
+    return review.clusters(_entities(spark, d), RUN)
+
+
+def review_rendered(spark: SparkSession, d: str) -> DataFrame:
+    c = review.clusters(_entities(spark, d), RUN).select(*RUN, F.struct(F.col("start_pos").cast("int").alias("start"), F.col("end_pos").cast("int").alias("end"), "replacement").alias("s"))
+    spans = c.groupBy(*RUN).agg(F.array_sort(F.collect_list("s")).alias("spans"))
+    return _run_texts(spark, d).join(spans, RUN, "left").select(*RUN, F.when(F.col("spans").isNull(), F.col("text")).otherwise(redact.splice(F.col("text"), F.col("spans"))).alias("rendered"))
+
+
+def deliveries(spark: SparkSession, d: str) -> DataFrame:
+    """The last delivery of each note (notes arrive twice, and late)."""
+    last = W.partitionBy("doc_id").orderBy(F.col("received_at").desc_nulls_last(), F.col("note_id").desc())
+    return table(spark, d, "notes").withColumn("n", F.row_number().over(last)).where("n = 1").select("doc_id", "note_id", F.length("text").cast("long").alias("n_chars"))
+
 
 def queries() -> dict:
-    return {}
+    return {
+        "rule_spans": rule_spans,
+        "rule_spans_email": rule_spans_of(0),
+        "rule_spans_phone": rule_spans_of(1),
+        "rule_entities": rule_entities,
+        "rule_label_counts": rule_label_counts,
+        "redact_notes": redact_notes,
+        "gazetteer_patterns": gazetteer_patterns,
+        "gazetteer_spans": gazetteer_spans,
+        "mock_entities": mock_entities,
+        "deidentified_text": lambda s, d: deidentified("redacted")(s, d).select("note_id", "redacted"),
+        "deidentified_audit": deidentified("audit"),
+        "backstop_audit": deidentified("audit", pipeline.Options(mode="no_bert", backstop=True)),
+        "greedy_accept": greedy_accept,
+        "redaction_plan": redaction_plan,
+        "replacements": replacements(False),
+        "replacements_no_generalize": replacements(True),
+        "age_decades": age_decades,
+        "redacted_runs": redacted_runs,
+        "audit_log": audit_log,
+        "propagated": propagated,
+        "stage_counts": stage_counts,
+        "union_stages": union_stages,
+        "taxonomy": taxonomy_table,
+        "generalize_targets": generalize_targets,
+        "llm_claims": llm_claims,
+        "llm_resolved": llm_resolved,
+        "token_budgets": token_budgets,
+        "quantization_tiers": quantization_tiers,
+        "judge_panel": judge_panel,
+        "judge_votes": judge_votes,
+        "judge_first_flags": judge_first_flags,
+        "needs_review": needs_review,
+        "sentence_units": sentence_units,
+        "sentence_chunks": sentence_chunks,
+        "char_windows": char_windows,
+        "training_chunks": training_chunks,
+        "token_tags": token_tags,
+        "decoded_spans": decoded_spans,
+        "ner_f_scores": f_scores(False),
+        "ner_f_scores_by_label": f_scores(True),
+        "fragment_repair": fragment_repair,
+        "label_counts": label_counts,
+        "tag_vocabulary": tag_vocabulary,
+        "tuning_rows": tuning_rows,
+        "train_split": train_split,
+        "hash_split": hash_split,
+        "score_items": score_items,
+        "score_notes": score_notes,
+        "score_compare": score_compare,
+        "score_seeds": score_seeds,
+        "score_ensemble": score_ensemble,
+        "detector_compare": detector_compare,
+        "scored_notes": scored_notes,
+        "review_regions": review_regions,
+        "review_round_trip": review_round_trip,
+        "review_clusters": review_clusters,
+        "review_rendered": review_rendered,
+        "deliveries": deliveries,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.sql()

@@ -16,8 +16,8 @@ from pyspark.sql.types import StructType
 SCHEMA = "wikidata_id string, label_en string, label_sv string, category string"
 # Class, category and filter of each partition.
 CLASSES = (
-    ("Q15284", "Administrative_Entity", "wdt:P17 wd:Q34"),
-    ("Q79007", "Street", "wdt:P17 wd:Q34"),
+    ("Q56061", "Administrative_Entity", "wdt:P17 wd:Q34"),
+    ("Q34442", "Street", "wdt:P17 wd:Q34"),
     ("Q16917", "Hospital", "wdt:P17 wd:Q34"),
     ("Q3914", "School", "wdt:P17 wd:Q34"),
     ("Q202444", "Given_Name", "wdt:P407 wd:Q9027"),
@@ -28,8 +28,8 @@ CLASSES = (
 def page_query(cls: str, where: str, limit: int, offset: int) -> str:
     """The query of one page, in a stable order."""
     return (
-        "SELECT ?item ?sv ?en WHERE { "
-        f"?item wdt:P31 wd:{cls} ; {where} . "
+        "SELECT DISTINCT ?item ?sv ?en WHERE { "
+        f"?item wdt:P31/wdt:P279* wd:{cls} ; {where} . "
         'OPTIONAL { ?item rdfs:label ?sv FILTER(lang(?sv) = "sv") } OPTIONAL { ?item rdfs:label ?en FILTER(lang(?en) = "en") } '
         f"}} ORDER BY ?item LIMIT {limit} OFFSET {offset}"
     )
