@@ -88,7 +88,7 @@ def decoded(results: DataFrame, keys: list[str]) -> DataFrame:
     out; risk defaults to low and source to manual; order is first appearance.
     """
     each = results.select(*keys, F.posexplode("result").alias("pos", "i"))
-    facet = each.groupBy(*keys, "i.id").agg(
+    facet = each.groupBy(*keys, F.col("i.id").alias("region_")).agg(
         F.min("pos").alias("first"),
         *[F.max_by("i", F.when(F.col("i.from_name") == f, F.col("pos"))).alias(f) for f in ("label", "risk", "source")],
     )
