@@ -113,7 +113,10 @@ def leads(chain: str) -> frozenset[str]:
 #: Punctuation that is everyday text: as a damaged letter it must stand between two letters.
 QUOTING = frozenset("‘’‚“”„†‡…–—«»‹›¿¡·")
 # Bracketed placeholders, link texts, disguised signs and template fields, written as meant.
-_MEANT = re.compile(r"\[[^\[\]\n]*@[^\[\]\n]*\]|(?<!\w)\[[^\W\d_-]+(?:-[^\W\d_]+)*\](?!\w)|\[[a-z]+\]|\[[^\[\]\n]*\]\(|(?<!\w)\{\w+\}(?!\w)|(?<=\s)[|\\~^`](?=\s)")
+_MEANT = re.compile(r"\[[^\[\]\n]*@[^\[\]\n]*\]|(?<!\w)\[[^\W\d_-]+(?:-[^\W\d_]+)*\](?!\w)|\[[^\[\]\n]*\]\(|(?<!\w)\{\w+\}(?!\w)|(?<=\s)[|\\~^`](?=\s)")
+
+
+_DISGUISE = re.compile(r"\[(?:at|punkt|dot|snabel-?a)\]", re.I)
 
 
 def occurrences(text: str, chain: str) -> list[tuple[int, int, str]]:
@@ -121,7 +124,8 @@ def occurrences(text: str, chain: str) -> list[tuple[int, int, str]]:
     table, longest, first = inverse(chain)
     out, at = [], 0
     if chain == NATIONAL:
-        text = _MEANT.sub(lambda m: " " * (m.end() - m.start()), text)
+        for meant in (_DISGUISE, _MEANT):
+            text = meant.sub(lambda m: " " * (m.end() - m.start()), text)
     for m in first.finditer(text):
         i = m.start()
         if i < at:
