@@ -182,6 +182,8 @@ def repair_spans(text: str, chain: str) -> list[tuple[int, int, str]]:
             out.append(x)
         elif c in "°±·" and not chain == NATIONAL:
             out.append(x)
+        elif c in EXPECTED and c.isupper() and text[x[1] : x[1] + 2] == ". ":
+            out.append(x)  # an initial
     return out
 
 

@@ -88,7 +88,7 @@ class Names:
 
     def __init__(self, given: set[str], surnames: set[str]):
         self.given = {v for g in given if len(g) > 1 for v in (g, _lossy(g))}
-        self.surnames = {v for s in surnames if len(s) > 2 for v in (s, _lossy(s))}
+        self.surnames = {v for s in surnames if len(s) > 2 for v in (s, _lossy(s), s.replace("ß", "ss"))}
         heads, tails = defaultdict(set), defaultdict(set)
         for s in self.surnames:
             for i in range(2, len(s) - 1):
