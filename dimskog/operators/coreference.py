@@ -1,52 +1,74 @@
-"""Propagation: further mentions of what has been found, by exact phrase or by part of a name."""
+"""Propagation: further mentions of what has been found, by exact phrase or by part of a name.
+
+Each document is one row (its text and its findings), so the order of discovery is kept inside an Arrow
+UDF; the only shuffle gathers a document's findings.
+"""
 
 from __future__ import annotations
 
+import re
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimskog.functions.text import EDGE, quoted, spans
-from dimskog.operators.conflicts import entity
+from dimskog.functions.scan import array_of, lists
 
 # Titles that are no part of a name.
-TITLES = ("dr", "dr.", "professor", "prof", "prof.")
+TITLES = frozenset(("dr", "dr.", "professor", "prof", "prof."))
 SHORTEST = 3
-HIT = "array<struct<seq:bigint,needle:int,start:int,end:int>>"
+
+
+def needles(text: str, label: str) -> list[str]:
+    """The phrases to look for: the text itself and, for persons, its name parts without titles."""
+    parts = (w.strip(".,") for w in text.split()) if label == "private_person" else ()
+    return [text, *(p for p in parts if len(p) >= SHORTEST and p[0].isupper() and p.lower() not in TITLES)]
+
+
+def mentions(text: str, entities: list[tuple[int, str, str, int, int]]) -> list[tuple[int, int, int]]:
+    """(seq, start, end) of the new mentions in order of discovery; ``entities`` (seq, text, label, start, end) in list order.
+
+    An occurrence counts as a whole word, case-sensitive, if it overlaps nothing covered so far.  Covered
+    stretches are marks on the text, so each test costs the length of the phrase.
+    """
+    covered = bytearray(len(text))
+    for _, _, _, s, e in entities:
+        covered[s:e] = b"\1" * max(0, min(e, len(text)) - max(0, s))
+    out, tried = [], set()
+    for seq, phrase, label, _, _ in entities:
+        for n in needles(phrase, label) if phrase else ():
+            if n in tried or n not in text:
+                continue
+            tried.add(n)  # a phrase finds all its places the first time
+            new = [(seq, *m.span()) for m in re.finditer(rf"\b{re.escape(n)}\b", text) if not any(covered[m.start() : m.end()])]
+            for _, s, e in new:
+                covered[s:e] = b"\1" * (e - s)
+            out += new
+    return out
+
+
+_FOUND = {"seq": "bigint", "start": "int", "end": "int"}
+
+
+@F.arrow_udf(array_of(_FOUND))
+def _mentions(texts: pa.Array, entities: pa.Array) -> pa.Array:
+    rows = []
+    for t, es in zip(texts.to_pylist(), entities.to_pylist()):
+        known = sorted((e["seq"], e["text"], e["label"], e["start"], e["end"]) for e in es)
+        rows.append(mentions(t, known))
+    return lists(rows, _FOUND)
 
 
 def propagate(docs: DataFrame, entities: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, n, seq, start, end, text) of the new mentions, in order of discovery; seq is the entity cloned.
 
-    Entities are taken in list order, each with its text and, for persons, its name parts; a whole-word,
-    case-sensitive occurrence counts if it overlaps nothing covered so far.  Null or empty texts find
-    nothing.
+    Null or empty phrases find nothing; documents without text are left out.
     """
-    parts = F.transform(F.split("e.text", r"(?U)\s+"), lambda w: F.regexp_replace(w, r"^[.,]+|[.,]+$", ""))
-    names = F.filter(parts, lambda w: (F.length(w) >= SHORTEST) & ~F.lower(w).isin(*TITLES) & w.rlike(r"^\p{Lu}"))
-    needles = F.concat(F.array("e.text"), F.when(F.col("e.label") == "private_person", names).otherwise(F.array().cast("array<string>")))
-    per_doc = entities.where("start is not null").groupBy(*keys).agg(F.collect_list(entity()).alias("entities"))
-    texts = docs.where("text is not null").join(per_doc, keys)
-    each = texts.select(*keys, "text", "entities", F.explode("entities").alias("e")).where("e.text <> ''")
-    each = each.select(*keys, "text", "entities", "e.seq", F.posexplode(needles).alias("needle", "phrase")).where("phrase <> ''")
-    hits = each.select(
-        *keys, "text", "entities",
-        F.transform(spans(F.col("text"), F.concat(F.lit("(?U)" + EDGE), quoted(F.col("phrase")), F.lit(EDGE))),
-                    lambda s: F.struct(F.col("seq"), F.col("needle"), s["start"].alias("start"), s["end"].alias("end"))).alias("found"),
-    )
-    grouped = hits.groupBy(*keys).agg(F.first("text").alias("text"), F.first("entities").alias("entities"), F.array_sort(F.flatten(F.collect_list("found"))).alias("found"))
-    covered = F.transform("entities", lambda e: F.struct(e["start"].alias("start"), e["end"].alias("end")))
-    zero = F.struct(covered.alias("covered"), F.array().cast(HIT).alias("new"))
-
-    def step(acc, x):
-        meets = F.exists(acc["covered"], lambda c: (x["start"] < c["end"]) & (x["end"] > c["start"]))
-        grown = F.struct(
-            F.concat(acc["covered"], F.array(F.struct(x["start"].alias("start"), x["end"].alias("end")))).alias("covered"),
-            F.concat(acc["new"], F.array(x)).alias("new"),
-        )
-        return F.when(meets, acc).otherwise(grown)
-
-    new = F.aggregate("found", zero, step, lambda acc: acc["new"])
-    return grouped.select(*keys, "text", F.posexplode(new).alias("n", "x")).select(
-        *keys, F.col("n").cast("long").alias("n"), "x.seq", F.col("x.start").cast("long").alias("start"), F.col("x.end").cast("long").alias("end"),
-        F.expr("substring(text, x.start + 1, x.end - x.start)").alias("text"),
+    one = F.struct("seq", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("label", F.lit("")).alias("label"), "start", "end")
+    per_doc = entities.where("start is not null and end is not null and seq is not null").groupBy(*keys).agg(F.collect_list(one).alias("es_"))
+    texts = docs.where("text is not null").select(*keys, F.col("text").alias("body_"))
+    new = texts.join(per_doc, keys).select(*keys, "body_", F.posexplode(_mentions(F.col("body_"), F.col("es_"))).alias("n", "x_"))
+    return new.select(
+        *keys, F.col("n").cast("long").alias("n"), "x_.seq", F.col("x_.start").cast("long").alias("start"), F.col("x_.end").cast("long").alias("end"),
+        F.expr("substring(body_, x_.start + 1, x_.end - x_.start)").alias("text"),
     )

@@ -8,11 +8,15 @@ unless the patterns are below the session's broadcast limit.
 
 from __future__ import annotations
 
+import re
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from dimskog.functions.text import spans, strip
+from dimskog.functions.scan import array_of, lists
+from dimskog.functions.text import strip
 
 # Label of each category of the gazetteer table.
 CATEGORY_LABELS = {
@@ -52,16 +56,29 @@ def patterns(rows: DataFrame) -> DataFrame:
     return both.withColumn("key", F.lower("name")).withColumn("n", F.row_number().over(first)).where("n = 1").select("key", "name", "label")
 
 
+_TOKEN = re.compile(r"[^\W_]+")
+
+
+def _grams(longest: int):
+    """A UDF text -> (start, end, lower-case text) of every run of 1..longest tokens that begins upper-case."""
+    fields = {"start": "int", "end": "int", "text": "string"}
+
+    @F.arrow_udf(array_of(fields))
+    def grams(texts: pa.Array) -> pa.Array:
+        out = []
+        for t in texts.to_pylist():
+            spans = [m.span() for m in _TOKEN.finditer(t)] if t else []
+            out.append(None if t is None else [(s, e, t[s:e]) for i, (s, _) in enumerate(spans) if t[s].isupper() for _, e in spans[i : i + longest]])
+        return lists(out, fields)
+
+    return grams
+
+
 def scan(docs: DataFrame, names: DataFrame, key: str, longest: int = 4) -> DataFrame:
     """(key, start, end, text, label) of every whole-word occurrence that begins upper-case.
 
     ``longest`` is the number of tokens of the longest pattern.  Overlapping hits are all returned.
     """
-    tokens = spans(F.col("text"), r"[\p{L}\p{N}]+")
-    texts = docs.where("text is not null").select(key, "text", tokens.alias("t"))
-    grams = texts.select(key, "text", F.posexplode("t").alias("i", "a"), "t").where(F.col("a.text").rlike(r"^\p{Lu}"))
-    ends = F.explode(F.slice("t", F.col("i") + 1, F.lit(longest))).alias("b")
-    found = grams.select(key, "text", F.col("a.start").alias("start"), ends).select(
-        key, "start", F.col("b.end").alias("end"), F.expr("substring(text, start + 1, b.end - start)").alias("text")
-    )
-    return found.withColumn("k", F.lower("text")).join(names.select(F.col("key").alias("k"), "label"), "k").select(key, "start", "end", "text", "label")
+    each = docs.where("text is not null").select(key, F.explode(_grams(longest)(F.col("text"))).alias("g_"))
+    found = each.select(key, "g_.start", "g_.end", "g_.text").withColumn("k_", F.lower("text"))
+    return found.join(names.select(F.col("key").alias("k_"), "label"), "k_").select(key, "start", "end", "text", "label")

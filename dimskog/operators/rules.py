@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dimskog.functions.text import spans, unicode_pattern
+from dimskog.functions.scan import scanner
 
 # Label and pattern, in the order of evaluation.
 PATTERNS = (
@@ -21,15 +23,7 @@ PATTERNS = (
 )
 
 
-def _as_entity(label: str):
-    return lambda s: F.struct(
-        s["text"].alias("text"), F.lit(label).alias("label"), s["start"].alias("start"), s["end"].alias("end"),
-        F.lit("rule").alias("source"), F.lit(1.0).alias("confidence"), F.lit(None).cast("string").alias("generalized"), F.lit("high").alias("risk"),
-    )
-
-
-def _as_row(number: int, label: str):
-    return lambda s: F.struct(F.lit(number).alias("pattern_no"), F.lit(label).alias("label"), s["start"].alias("start"), s["end"].alias("end"), s["text"].alias("span"))
+_scan = scanner(PATTERNS, re.IGNORECASE)
 
 
 def rule_array(text: Column) -> Column:
@@ -37,14 +31,16 @@ def rule_array(text: Column) -> Column:
 
     Null text gives null, no match an empty array.
     """
-    parts = [F.transform(spans(text, unicode_pattern(p)), _as_entity(label)) for label, p in PATTERNS]
     return F.transform(
-        F.concat(*parts),
-        lambda e, i: F.struct(i.cast("long").alias("seq"), *[e[c].alias(c) for c in ("text", "label", "start", "end", "source", "confidence", "generalized", "risk")]),
-    )
+        _scan(text),
+        lambda m, i: F.struct(
+            i.cast("long").alias("seq"), m["text"].alias("text"), m["label"].alias("label"), m["start"].alias("start"), m["end"].alias("end"),
+            F.lit("rule").alias("source"), F.lit(1.0).alias("confidence"), F.lit(None).cast("string").alias("generalized"), F.lit("high").alias("risk"),
+        ),
+    )
 
 
 def rule_spans(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """(key, pattern_no, label, start, end, text): one row a raw match."""
-    each = F.array(*[F.transform(spans(F.col(text), unicode_pattern(p)), _as_row(n, label)) for n, (label, p) in enumerate(PATTERNS)])
-    return docs.where(F.col(text).isNotNull()).select(key, F.explode(F.flatten(each)).alias("e")).select(key, "e.*").withColumnRenamed("span", "text")
+    each = docs.where(F.col(text).isNotNull()).select(key, F.explode(_scan(F.col(text))).alias("m_"))
+    return each.select(key, F.col("m_.n").alias("pattern_no"), "m_.label", "m_.start", "m_.end", "m_.text")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from dimskog.operators import backend, chunking, conflicts, coreference, gazetteer, judge, redact, review, rules, scoring, tagging, training
 from dimskog.plans import oracle, pipeline
-from dimskog.runtime import table
+from dimskog.runtime import spread, table
 from dimskog.schema import CONFIDENCE, SOURCES, taxonomy
 
 RUN = ["run_label", "note"]
@@ -18,7 +18,7 @@ RUN = ["run_label", "note"]
 
 
 def _notes(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "notes").select("note_id", "doc_id", "text", "received_at")
+    return spread(table(spark, d, "notes").select("note_id", "doc_id", "text", "received_at"))
 
 
 def _texts(spark: SparkSession, d: str) -> DataFrame:
@@ -54,11 +54,7 @@ def rule_spans(spark: SparkSession, d: str) -> DataFrame:
 
 def rule_spans_of(number: int):
     def run(spark: SparkSession, d: str) -> DataFrame:
-        from dimskog.functions.text import spans, unicode_pattern
-
-        p = unicode_pattern(rules.PATTERNS[number][1])
-        each = _notes(spark, d).where("text is not null").select("note_id", F.explode(spans(F.col("text"), p)).alias("s"))
-        return each.select("note_id", F.col("s.start").cast("long").alias("start_pos"), F.col("s.end").cast("long").alias("end_pos"), "s.text")
+        return rule_spans(spark, d).where(F.col("pattern_no") == number).select("note_id", "start_pos", "end_pos", "text")
 
     return run
 
@@ -228,7 +224,7 @@ def char_windows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def training_chunks(spark: SparkSession, d: str) -> DataFrame:
-    return chunking.training_chunks(table(spark, d, "sv_pure3"), "row_id").withColumn("n_spans", F.size("spans").cast("long")).drop("spans")
+    return chunking.training_chunks(spread(table(spark, d, "sv_pure3").select("row_id", "source_text", "privacy_mask")), "row_id").withColumn("n_spans", F.size("spans").cast("long")).drop("spans")
 
 
 # ---------------------------------------------------------------- tags and metrics
@@ -240,7 +236,7 @@ def _masks(spark: SparkSession, d: str) -> DataFrame:
 
 
 def token_tags(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "sv_pure3").select("row_id", "source_text")
+    rows = spread(table(spark, d, "sv_pure3").select("row_id", "source_text"))
     return tagging.align(tagging.tokens(rows, "row_id", "source_text"), _masks(spark, d), "row_id")
 
 
@@ -261,7 +257,7 @@ def f_scores(by_label: bool):
 
 
 def fragment_repair(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "sv_pure3").where("source_text is not null and privacy_mask is not null")
+    rows = spread(table(spark, d, "sv_pure3").where("source_text is not null and privacy_mask is not null").select("row_id", "source_text", "privacy_mask"))
     label = lambda m: F.coalesce(tagging.mapped(tagging.mapped(m["label"], tagging.MASK), tagging.MODEL), m["label"])
     spans = F.transform("privacy_mask", lambda m: F.struct(m["start_pos"].alias("start"), m["end_pos"].alias("end"), label(m).alias("label"), F.lit(0.95).alias("confidence")))
     each = rows.select("row_id", F.posexplode(tagging.repair(spans, F.col("source_text"))).alias("n", "e"))

@@ -33,3 +33,15 @@ def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the reliable checkpoint folder and continue from there (survives lost executors)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out evenly where a batch source has fewer partitions than the session has task slots.
+
+    A table of one small file would run on one core.  At scale a scan has more partitions than slots, the
+    plan stays as it is and nothing is shuffled.
+    """
+    if df.isStreaming:
+        return df
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
