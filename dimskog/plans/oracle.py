@@ -6,6 +6,7 @@ hold those against plain Python on small fixtures.
 
 from __future__ import annotations
 
+from dimskog.operators.chunking import ABBREVIATIONS
 from dimskog.operators.gazetteer import CATEGORY_LABELS, GENERIC, SUFFIXES
 from dimskog.operators.tagging import CATEGORIES, MASK, MODEL
 from dimskog.schema import DIRECT, FALLBACK, GROUND_TRUTH, PLACEHOLDERS, PROTECTED, SOURCES, VERBATIM, sql_list
@@ -192,6 +193,37 @@ CLUSTERS = f"""
     FROM dom d LEFT JOIN leaks l ON l.run_label = d.run_label AND l.note = d.note AND l.island = d.island
 """
 
+NL = "[^" + chr(10) + "]"
+UNITS = rf"""
+    lines AS (SELECT note_id, s AS ls, txt, row_number() OVER () AS lid FROM ({matches('notes', 'note_id', 'text', NL + r'+' + chr(10) + '?|' + chr(10))})),
+    stops AS (SELECT lid, s, e FROM ({matches('lines', 'lid', 'txt', '[.!?]+')})),
+    good AS (SELECT t.lid, t.e FROM stops t JOIN lines l ON l.lid = t.lid
+             WHERE (t.e = length(txt) OR regexp_matches(substring(txt, CAST(t.e + 1 AS BIGINT), 1), '^[\s\p{{Z}}\x{{0b}}\x{{85}}]'))
+               AND lower(regexp_extract(substring(txt, 1, CAST(t.s AS BIGINT)), '([\p{{L}}\p{{N}}_]+)\.?$', 1)) NOT IN {sql_list(ABBREVIATIONS)}),
+    ends AS (SELECT lid, e FROM good UNION SELECT lid, length(txt) FROM lines),
+    units AS (SELECT note_id, ls + coalesce(lag(e) OVER (PARTITION BY n.lid ORDER BY e), 0) AS s, ls + e AS e FROM ends n JOIN lines l ON l.lid = n.lid)
+"""
+
+SPACE = r"\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}"
+CHUNK_END = r"\.[\t\r\f \x{0b}\x{1c}-\x{1f}\x{85}\p{Z}][" + SPACE + "]*|" + chr(10)
+CHUNKS = f"""
+    m AS (SELECT row_id, e AS p FROM ({matches('sv_pure3', 'row_id', 'source_text', CHUNK_END)})),
+    b AS (SELECT row_id, p, false AS z FROM m UNION ALL SELECT row_id, length(source_text), true FROM sv_pure3 WHERE source_text IS NOT NULL),
+    c AS (SELECT row_id, row_number() OVER w - 1 AS chunk_no, coalesce(lag(p) OVER w, 0) AS s, p AS e FROM b WINDOW w AS (PARTITION BY row_id ORDER BY p, z)),
+    k AS (SELECT c.*, privacy_mask FROM c JOIN sv_pure3 r ON r.row_id = c.row_id WHERE regexp_matches(substring(source_text, CAST(s + 1 AS BIGINT), CAST(e - s AS BIGINT)), '[^{SPACE}]'))
+"""
+
+RENDERED = f"""
+    WITH c AS ({CLUSTERS}), texts AS ({TEXTS}),
+    runs AS (SELECT DISTINCT a.run_label, a.note, t.text FROM audit a JOIN texts t ON t.note = a.note),
+    q AS (SELECT *, lag(end_pos) OVER w AS pe, lag(replacement) OVER w AS pr FROM c WINDOW w AS (PARTITION BY run_label, note ORDER BY start_pos)),
+    p AS (
+        SELECT r.run_label, r.note, r.text, max(end_pos) AS last,
+               string_agg(substring(r.text, CAST(coalesce(pe, 0) + 1 AS BIGINT), CAST(start_pos - coalesce(pe, 0) AS BIGINT)) || CASE WHEN coalesce(pe = start_pos AND pr = replacement, false) THEN '' ELSE replacement END, '' ORDER BY start_pos) AS head
+        FROM runs r LEFT JOIN q ON q.run_label = r.run_label AND q.note = r.note GROUP BY r.run_label, r.note, r.text)
+    SELECT run_label, note, coalesce(head || substring(text, CAST(last + 1 AS BIGINT)), text) AS rendered FROM p
+"""
+
 GAZETTEER = rf"""
     names AS (SELECT wikidata_id, {case_map("coalesce(category, '')", CATEGORY_LABELS, "'private_address'")} AS label, variant, {strip('raw')} AS name
               FROM (SELECT wikidata_id, category, 0 AS variant, label_sv AS raw FROM gazetteer UNION ALL SELECT wikidata_id, category, 1, label_en FROM gazetteer) WHERE raw IS NOT NULL),
@@ -248,6 +280,10 @@ def sql() -> dict[str, str]:
         "judge_votes": panel(2),
         "judge_first_flags": f"WITH {FLAGS} SELECT note, seq, judge, quote FROM (SELECT *, row_number() OVER (PARTITION BY note, quote ORDER BY seq) AS r FROM flags WHERE quote <> '') WHERE r = 1",
         "needs_review": f"WITH s AS ({panel(1)}), h AS (SELECT DISTINCT note FROM s), t AS ({TEXTS}) SELECT t.note, h.note IS NOT NULL AS needs_review FROM t LEFT JOIN h ON h.note = t.note",
+        "sentence_units": f"WITH {UNITS} SELECT note_id, row_number() OVER (PARTITION BY note_id ORDER BY s) - 1 AS unit_no, CAST(s AS BIGINT) AS start_pos, CAST(e AS BIGINT) AS end_pos FROM units",
+        "training_chunks": f"""WITH {CHUNKS} SELECT row_id, chunk_no, CAST(s AS BIGINT) AS start_pos, CAST(e AS BIGINT) AS end_pos,
+            CAST(coalesce(len(list_filter(privacy_mask, lambda x: x.start_pos >= s AND x.end_pos <= e)), 0) AS BIGINT) AS n_spans FROM k""",
+        "review_rendered": RENDERED,
         "char_windows": """
             WITH n AS (SELECT doc_id, length(text) AS l FROM documents WHERE text IS NOT NULL AND text <> ''),
             w AS (SELECT doc_id, l, unnest(generate_series(0, CASE WHEN l <= 1000 THEN 0 ELSE CAST(ceil((l - 1000) / 950.0) AS BIGINT) END)) AS i FROM n)
