@@ -27,7 +27,17 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
+    odd = (
+        "nfc_normalize(v) <> v OR regexp_matches(v, '[\\x{ff01}-\\x{ff5e}\\x{ffe0}-\\x{ffe6}]') OR regexp_matches(v, '[\\p{Cf}\\p{Cc}\\x{34f}\\x{115f}\\x{1160}\\x{3164}\\x{ffa0}\\x{fe00}-\\x{fe0f}]') "
+        "OR regexp_matches(v, '[\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]') "
+        "OR len(list_filter(regexp_extract_all(v, '[\\p{L}\\p{M}]+'), lambda r: CAST(regexp_matches(r, '\\p{Latin}') AS INT) + CAST(regexp_matches(r, '\\p{Cyrillic}') AS INT) + CAST(regexp_matches(r, '\\p{Greek}') AS INT) > 1)) > 0"
+    )
     return {
+        "p5_found": f"""
+            WITH x AS (SELECT 'audit' AS tbl, audit_id AS row_id, original AS v FROM audit
+                       UNION ALL SELECT 'synthetic_notes_key', item_id, text FROM synthetic_notes_key WHERE item_group = 'should_redact')
+            SELECT tbl, row_id FROM x WHERE {odd}
+        """,
         "p3_found": """
             SELECT 'notes' AS tbl, note_id AS row_id FROM notes, size_limits
             WHERE size_limits.tbl = 'notes' AND length(text) > max_size
