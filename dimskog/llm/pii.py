@@ -23,7 +23,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from bisect import bisect_right
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -122,23 +122,28 @@ class Names:
         return w in self.surnames or any(w[:i] in self.heads and w[i:] in self.tails for i in range(2, len(w) - 1))
 
 
+_NAME = re.compile(rf"[{UPPER}][^\W\d_]*[^\W\d_{UPPER}][^\W\d_]*(?:[-’ ][{UPPER}][^\W\d_]+)*$")
+
+
 def learn_names(spark: SparkSession, sf_dir: str) -> Names:
-    """Vocabulary from the masks of at most LABELLED_ROWS rows and from the gazetteer (fixed size)."""
-    rows = table(spark, sf_dir, "sv_pure3").where("size(privacy_mask) > 0 and source_text is not null").limit(LABELLED_ROWS)
-    spans = rows.select(F.explode("privacy_mask").alias("m"), "source_text").where("m.label in ('GIVENNAME', 'SURNAME')")
-    value = F.expr("substring(source_text, m.start_pos + 1, m.end_pos - m.start_pos)")
-    edges = F.expr("substring(source_text, greatest(m.start_pos, 1), m.end_pos - greatest(m.start_pos, 1) + 2)")
-    words = (
-        spans.select(F.col("m.label").alias("label"), value.alias("v"), edges.alias("e"))
-        .where(r"v rlike '^\\p{Lu}[\\p{L}’-]*\\p{Ll}[\\p{L}’-]*( \\p{Lu}[\\p{L}-]+)*$' and e rlike '^[^\\p{L}]?\\p{Lu}.*[^\\p{L}]$'")
-        .where("not v rlike '[ÃÂ√├¤¶Γσ]'")
-        .groupBy("label", "v")
-        .count()
-        .where("count >= 2")
-        .collect()  # bounded by LABELLED_ROWS
+    """Vocabulary from the masks of at most LABELLED_ROWS rows and from the gazetteer (fixed size).
+
+    ``take`` reads only as many partitions as the bound needs; a value counts when it occurs twice,
+    looks like a name and its span does not begin or end inside a word (shifted masks do).
+    """
+    rows = table(spark, sf_dir, "sv_pure3").where("size(privacy_mask) > 0 and source_text is not null")
+    names = F.expr(
+        "transform(filter(privacy_mask, m -> m.label in ('GIVENNAME', 'SURNAME')), m -> struct(m.label as label, "
+        "substring(source_text, m.start_pos + 1, m.end_pos - m.start_pos) as v, "
+        "substring(source_text, greatest(m.start_pos, 1), if(m.start_pos > 0, 1, 0)) as b, substring(source_text, m.end_pos + 1, 1) as a))"
     )
-    given = {p.lower() for r in words if r.label == "GIVENNAME" for p in r.v.split(" ")}
-    surnames = {p.lower() for r in words if r.label == "SURNAME" for w in r.v.split(" ")[-1:] for p in w.split("-")}
+    seen: Counter = Counter()
+    for row in rows.select(names.alias("names")).take(LABELLED_ROWS):
+        for m in row.names:
+            if m.v and not m.b.isalpha() and not m.a.isalpha() and _NAME.match(m.v) and codecs.best_chain(m.v) is None:
+                seen[m.label, m.v] += 1
+    given = {p.lower() for (label, v), n in seen.items() if label == "GIVENNAME" and n > 1 for p in v.split(" ")}
+    surnames = {p.lower() for (label, v), n in seen.items() if label == "SURNAME" and n > 1 for p in v.split(" ")[-1].split("-")}
     for r in table(spark, sf_dir, "gazetteer").where("category in ('given_name', 'family_name')").collect():  # fixed size
         for v in (r.label_sv, r.label_en):
             if v:
