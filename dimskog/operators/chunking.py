@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dimskog.functions.scan import scanner
 from dimskog.functions.text import spans
 
 # Abbreviations whose full stop ends no sentence.
@@ -62,6 +63,9 @@ def windows(text: Column, size: int, overlap: int) -> Column:
     return F.transform(index, lambda i: F.struct((i * step).cast("int").alias("start"), F.least(i * step + size, n).cast("int").alias("end")))
 
 
+_breaks = scanner([("", r"\n|(?<=\.)\s+")])
+
+
 def training_chunks(rows: DataFrame, key: str) -> DataFrame:
     """(key, chunk_no, start, end, n_spans, spans) of (key, source_text, privacy_mask).
 
@@ -69,10 +73,11 @@ def training_chunks(rows: DataFrame, key: str) -> DataFrame:
     inside, counted from its start.  Blank chunks are left out; null masks have no spans.
     """
     text = F.col("source_text")
-    at = F.transform(spans(text, r"(?U)\n|(?<=\.)\s+"), lambda s: s["end"])
+    at = F.transform(_breaks(text), lambda s: s["end"])
     cuts = F.concat(F.array(F.lit(0)), at, F.array(F.length(text)))
-    pairs = F.transform(F.slice(cuts, F.lit(1), F.size(cuts) - 1), lambda s, i: F.struct(s.alias("start"), F.get(cuts, i + 1).alias("end")))
-    chunks = rows.where(text.isNotNull()).select(key, "source_text", "privacy_mask", F.posexplode(pairs).alias("chunk_no", "c"))
+    found = rows.where(text.isNotNull()).select(key, "source_text", "privacy_mask", cuts.alias("cuts_"))
+    pairs = F.transform(F.slice("cuts_", F.lit(1), F.size("cuts_") - 1), lambda s, i: F.struct(s.alias("start"), F.get("cuts_", i + 1).alias("end")))
+    chunks = found.select(key, "source_text", "privacy_mask", F.posexplode(pairs).alias("chunk_no", "c"))
     piece = F.expr("substring(source_text, c.start + 1, c.end - c.start)")
     inside = F.filter(F.coalesce("privacy_mask", F.array().cast("array<struct<start_pos:int,end_pos:int,label:string>>")), lambda s: (s["start_pos"] >= F.col("c.start")) & (s["end_pos"] <= F.col("c.end")))
     moved = F.transform(inside, lambda s: F.struct((s["start_pos"] - F.col("c.start")).alias("start_pos"), (s["end_pos"] - F.col("c.start")).alias("end_pos"), s["label"].alias("label")))

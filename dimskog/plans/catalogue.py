@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from dimskog.operators import backend, chunking, conflicts, coreference, gazetteer, judge, redact, review, rules, scoring, tagging, training
+from dimskog.operators import backend, chunking, conflicts, coreference, gazetteer, judge, model, redact, review, rules, scoring, tagging, training
 from dimskog.plans import oracle, pipeline
 from dimskog.runtime import spread, table
 from dimskog.schema import CONFIDENCE, SOURCES, taxonomy
@@ -94,6 +94,12 @@ def mock_entities(spark: SparkSession, d: str) -> DataFrame:
     return _long(pipeline.backend_entities(docs, "doc_id", "mock", False).drop("confidence"), "start", "end").withColumnsRenamed({"start": "start_pos", "end": "end_pos"})
 
 
+def model_entities(spark: SparkSession, d: str) -> DataFrame:
+    """Findings of the stand-in token model over all notes, in sentence chunks."""
+    out = model.detect(_notes(spark, d).select("note_id", "text"), "note_id").withColumnsRenamed({"start": "start_pos", "end": "end_pos"})
+    return _long(out.select("note_id", "seq", "text", "label", "start_pos", "end_pos"), "start_pos", "end_pos")
+
+
 # ---------------------------------------------------------------- conflicts and rewriting
 
 
@@ -370,6 +376,7 @@ def queries() -> dict:
         "gazetteer_patterns": gazetteer_patterns,
         "gazetteer_spans": gazetteer_spans,
         "mock_entities": mock_entities,
+        "model_entities": model_entities,
         "deidentified_text": lambda s, d: deidentified("redacted")(s, d).select("note_id", "redacted"),
         "deidentified_audit": deidentified("audit"),
         "backstop_audit": deidentified("audit", pipeline.Options(mode="no_bert", backstop=True)),

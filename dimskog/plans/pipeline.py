@@ -54,7 +54,7 @@ def rule_entities(docs: DataFrame, key: str) -> DataFrame:
 
 
 def backend_entities(docs: DataFrame, key: str, family: str, direct: bool) -> DataFrame:
-    found = llm.resolve_all(docs, llm.claims(llm.replies(docs, key, "text", family, direct=direct), key), key)
+    found = llm.resolve_all(docs, llm.sweep(docs, key, family, direct), key)
     return found.select(
         key, F.col("item").alias("seq"), "text", "label", F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end"),
         F.lit("llm").alias("source"), F.lit(CONFIDENCE["llm"]).alias("confidence"), "generalized", "risk",
