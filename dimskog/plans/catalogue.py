@@ -90,13 +90,20 @@ def deidentified(part: str, options: pipeline.Options = pipeline.Options()):
 
 
 def mock_entities(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").select("doc_id", "text")
+    """Findings of the mock over documents with an occupation put before each (the mock knows few words)."""
+    docs = table(spark, d, "documents").select("doc_id", F.concat(F.lit("Är snickare. "), "text").alias("text"))
     return _long(pipeline.backend_entities(docs, "doc_id", "mock", False).drop("confidence"), "start", "end").withColumnsRenamed({"start": "start_pos", "end": "end_pos"})
 
 
+def note_model() -> model.DictionaryModel:
+    """A small dictionary model for the notes: some given names, places, and a word it is unsure of."""
+    names = dict.fromkeys(("Elsa", "Hassan", "Birgitta", "Torsten", "Dr"), ("Name", 0.96))
+    return model.DictionaryModel(names | dict.fromkeys(("Lomkulla", "Hägerberga", "Videboda"), ("Address", 0.97)) | {"Puls": ("Name", 0.6)})
+
+
 def model_entities(spark: SparkSession, d: str) -> DataFrame:
     """Findings of the stand-in token model over all notes, in sentence chunks."""
-    out = model.detect(_notes(spark, d).select("note_id", "text"), "note_id").withColumnsRenamed({"start": "start_pos", "end": "end_pos"})
+    out = model.detect(_notes(spark, d).select("note_id", "text"), "note_id", "dimskog.plans.catalogue:note_model").withColumnsRenamed({"start": "start_pos", "end": "end_pos"})
     return _long(out.select("note_id", "seq", "text", "label", "start_pos", "end_pos"), "start_pos", "end_pos")
 
 

@@ -257,6 +257,8 @@ def sql() -> dict[str, str]:
             grams AS (SELECT a.note_id, a.s, b.e FROM toks a JOIN toks b ON b.note_id = a.note_id AND b.i BETWEEN a.i AND a.i + 3 WHERE regexp_matches(a.txt, '^\p{{Lu}}')),
             cut AS (SELECT g.note_id, s, e, substring(n.text, CAST(s + 1 AS BIGINT), CAST(e - s AS BIGINT)) AS text FROM grams g JOIN notes n ON n.note_id = g.note_id)
             SELECT note_id, CAST(s AS BIGINT) AS start_pos, CAST(e AS BIGINT) AS end_pos, text, label FROM cut JOIN patterns ON key = lower(text)""",
+        "mock_entities": """SELECT doc_id, CAST(0 AS BIGINT) AS seq, 'snickare' AS text, 'demographics' AS label, CAST(3 AS BIGINT) AS start_pos, CAST(11 AS BIGINT) AS end_pos, 'llm' AS source,
+            'hantverkare' AS generalized, 'medium' AS risk FROM documents WHERE text IS NOT NULL""",
         "greedy_accept": GREEDY,
         "redaction_plan": f"WITH {PLAN} SELECT run_label, note, seq, label, source, start_pos, end_pos, whole, generalized FROM plan",
         "replacements": f"SELECT audit_id, {replacement('original', 'label', 'generalized_to')} AS replacement FROM audit",
