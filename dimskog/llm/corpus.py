@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from dimskog.runtime import table
 
 
+#: Arrow batches hold at most so many bytes, so that a run of very long texts does not fill a worker.
+BATCH_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 32 * 2**20
+
+
 def note_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``notes`` and ``sv_pure3`` as (tbl, row_id, source, text).
 
@@ -34,6 +38,9 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dic
     from pyspark.sql.types import StructType
 
     arrow = to_arrow_schema(StructType.fromDDL(schema))
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_CONF, None) in (None, str(2**31 - 1)):  # the default leaves batches of long texts unbounded
+        conf.set(BATCH_CONF, str(BATCH_BYTES))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()

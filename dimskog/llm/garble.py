@@ -135,17 +135,16 @@ def fit(counts: list[tuple[str, int, int, int]], rows: int, rounds: int = 25) ->
     return out
 
 
-def posteriors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(tbl, row_id, source, chain, posterior) of every record with any evidence."""
-    texts = note_texts(spark, sf_dir)
-    seen = letter_contexts(texts)
+def posteriors(texts: DataFrame, seen: dict) -> DataFrame:
+    """(tbl, row_id, source, chain, bin, hits, posterior) of every record with any evidence."""
+    spark = texts.sparkSession
     features = cut(_features(texts, seen))
     totals = texts.groupBy("tbl", "source").agg(F.count("*").alias("rows"))
     rows = max(1, totals.agg(F.sum("rows")).first()[0] or 0)
     counts = [tuple(r) for r in features.groupBy("chain", "bin", "hits").count().collect()]  # bounded: chains x signatures
     ratio = fit(counts, rows)
     if not ratio:
-        return features.select("tbl", "row_id", "source", "chain", F.lit(0.0).alias("posterior")).limit(0)
+        return features.withColumn("posterior", F.lit(0.0)).limit(0)
     ratios = F.broadcast(spark.createDataFrame([(*k, v) for k, v in ratio.items()], "chain string, bin int, hits int, ratio double"))
     scored = features.join(ratios, ["chain", "bin", "hits"])
     # source and field weights: one more E/M step per (tbl, source, chain), smoothed towards the whole corpus
@@ -165,7 +164,8 @@ def posteriors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows with damaged text: the posterior of some chain is at least one half."""
-    return posteriors(spark, sf_dir).where("posterior >= 0.5").select("tbl", "row_id").distinct()
+    texts = note_texts(spark, sf_dir)
+    return posteriors(texts, letter_contexts(texts)).where("posterior >= 0.5").select("tbl", "row_id").distinct()
 
 
 def restore(text: str, chain: str, seen: dict) -> str:
@@ -187,14 +187,13 @@ def restore(text: str, chain: str, seen: dict) -> str:
 def restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """tbl, row_id, chain, posterior and restored text of every damaged row, by its most probable chain."""
     texts = note_texts(spark, sf_dir)
+    seen = letter_contexts(texts)
     best = (
-        posteriors(spark, sf_dir)
+        posteriors(texts, seen)
         .where("posterior >= 0.5")
         .groupBy("tbl", "row_id")
         .agg(F.max_by("chain", F.struct("hits", "bin", "posterior", "chain")).alias("chain"), F.max("posterior").alias("posterior"))
     )
-    seen = letter_contexts(texts)
-
     def make():
         def step(batch):
             tbl, row, chain, posterior, text = (batch.column(i).to_pylist() for i in range(5))

@@ -16,6 +16,7 @@ import base64
 import re
 from functools import cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
@@ -73,7 +74,9 @@ def encoded(docs: DataFrame, folder: str = FOLDER, name: str = "byte_bpe_50k") -
         enc = encoding(folder, name)
 
         def step(batch):
-            return {"doc_id": batch.column(0), "ids": pa.array([encode(t, enc) for t in batch.column(1).to_pylist()], pa.list_(pa.int32()))}
+            parts = [np.array(encode(t, enc), dtype=np.int32) for t in batch.column(1).to_pylist()]  # 4 bytes an id while the batch is built
+            bounds = pa.array(np.concatenate([[0], np.cumsum([len(p) for p in parts])]), pa.int32())
+            return {"doc_id": batch.column(0), "ids": pa.ListArray.from_arrays(bounds, pa.array(np.concatenate(parts)))}
 
         return step
 
