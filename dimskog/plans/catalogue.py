@@ -369,7 +369,7 @@ def review_rendered(spark: SparkSession, d: str) -> DataFrame:
 def deliveries(spark: SparkSession, d: str) -> DataFrame:
     """The last delivery of each note (notes arrive twice, and late)."""
     last = W.partitionBy("doc_id").orderBy(F.col("received_at").desc_nulls_last(), F.col("note_id").desc())
-    return table(spark, d, "notes").withColumn("n", F.row_number().over(last)).where("n = 1").select("doc_id", "note_id", F.length("text").cast("long").alias("n_chars"))
+    return table(spark, d, "notes").withColumn("n", F.row_number().over(last)).where("n = 1").select("doc_id", "note_id", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_chars"))
 
 
 def queries() -> dict:

@@ -331,5 +331,5 @@ def sql() -> dict[str, str]:
             SELECT run_label, note, region, CAST(item AS BIGINT) AS item, 'ent_' || region AS id, from_name, type, start_pos, end_pos, original AS text, value, meta FROM x""",
         "review_round_trip": f"""SELECT run_label, note, coalesce(original, '') AS text, label, start_pos, end_pos, source, nullif({strip('generalized_to')}, '') AS generalized, coalesce(risk, 'low') AS risk FROM audit""",
         "review_clusters": CLUSTERS,
-        "deliveries": """SELECT doc_id, note_id, length(text) AS n_chars FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY received_at DESC NULLS LAST, note_id DESC) AS r FROM notes) WHERE r = 1""",
+        "deliveries": """SELECT doc_id, note_id, coalesce(length(text), 0) AS n_chars FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY received_at DESC NULLS LAST, note_id DESC) AS r FROM notes) WHERE r = 1""",
     }
