@@ -40,6 +40,16 @@ def test_offsets(spark):
     assert spans == [19, 32] and got[0] == got[1] == "neurolog" and got[2] == "barnneurolg" and 3 not in got
 
 
+def test_claims_beyond_the_occurrences(spark):
+    """A claimed span is not given again: not to an equal claim, nor to a near one, nor to an exact one after a near one."""
+    text = "Besök 14/2/2024 hos barnneurolog; sjukskriven snickare."
+    want = ["14/2/2024", "14/2/2024", "barnneurologg", "barnneurologg", "barnneurolog", "snickare", "snickare"]
+    docs = spark.createDataFrame([(1, text), (2, text), (3, None)], "id int, text string")
+    claims = spark.createDataFrame([(d, i, w, "l", "low", None) for d in (1, 3) for i, w in enumerate(want)], "id int, item long, text string, label string, risk string, generalized string")
+    got = sorted((r.id, r.item, r.text, text[r.start : r.end]) for r in backend.resolve_all(docs, claims, "id").collect())
+    assert got == [(1, 0, "14/2/2024", "14/2/2024"), (1, 2, "barnneurolog", "barnneurolog"), (1, 5, "snickare", "snickare")]
+
+
 def test_mock_pipeline(spark):
     text = "Anna är snickare, ring 0701234567. Som snickare är hon 34 år."
     docs = spark.createDataFrame([(1, text), (2, None), (3, "")], "id int, text string")
