@@ -70,6 +70,7 @@ STREET_HEAD = re.compile(
 
 # Swedish digit words.
 DIGIT_WORDS = {"noll": "0", "ett": "1", "en": "1", "två": "2", "tre": "3", "fyra": "4", "fem": "5", "sex": "6", "sju": "7", "åtta": "8", "nio": "9"}
+DIGIT_WORDS |= {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
 _D = "|".join(DIGIT_WORDS)
 SPELLED = re.compile(rf"(?<!\w)(?:plus )?(?:{_D})(?:[ ,-]+(?:{_D})){{6,}}(?!\w)", re.I)
 
@@ -231,7 +232,7 @@ def normal_form(text: str) -> tuple[str, Mapper]:
     if "\ufffd" in text or "?" in text and codecs.questions(text):
         text, marks = _lost(text)
         mapper.add(marks)
-    if "noll" in text or "Noll" in text:
+    if SPELLED.search(text):
         text, marks = _digits(text)
         mapper.add(marks)
     return text, mapper

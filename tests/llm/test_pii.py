@@ -71,3 +71,16 @@ def test_operator(spark, tables):
     assert got == {(t, i, s, e, k) for t, i in (("notes", 1), ("notes", 4), ("sv_pure3", 1)) for s, e, k in ((0, 13, "person"), (15, 26, "email"))}
     red = {(r.tbl, r.row_id): r.redacted for r in pii.redacted(spark, folder).collect()}
     assert red["notes", 1] == "[PERSON], [E-POST], dos 20 mg, Hb 120." and red["notes", 3] == "" and red["sv_pure3", 2] == "inget"
+
+
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ("ring NOLL SJU NOLL ETT TVÅ TRE FYRA FEM SEX SJU nu", ("NOLL SJU NOLL ETT TVÅ TRE FYRA FEM SEX SJU", "phone")),
+        ("call zero seven zero one two three four five six seven now", ("zero seven zero one two three four five six seven", "phone")),
+        ("ring plus fyra sex sju ett två tre fyra fem sex sju åtta nu", ("plus fyra sex sju ett två tre fyra fem sex sju åtta", "phone")),
+    ],
+)
+def test_spelled_digits(text, want):
+    """In capitals, in English and without a zero."""
+    assert want in found(text)
