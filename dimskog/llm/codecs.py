@@ -93,14 +93,14 @@ MULTI = [c for c in STEPS if c.startswith("utf8")]
 
 def _lead_chars() -> set[str]:
     chars = {g[0] for c in STEPS for g in inverse(c)[0]} | {"\ufffd"} | set(SEVEN_BIT)
-    return chars - set("åäöÅÄÖéÉüÜ–”°")  # everyday characters do not mark a text; their garbles begin otherwise
+    return chars - set("åäöÅÄÖéÉüÜ–”°")  # everyday characters mark a text only as far as ``_suspect`` says
 
 
-#: Java pattern of texts that may be damaged: any character but the everyday ones, with "?" and square
-#: brackets only beside letters.  One negated class, so that clean text is passed over quickly.
+#: Java pattern of texts that may be damaged: any character but the everyday letters, with "?", square
+#: brackets and everyday signs only beside letters.  One negated class, so that clean text is passed over quickly.
 SUSPECT = (
-    r"[^\x00-\x3e\x40-\x5a\x5f\x61-\x7aåäöÅÄÖéÉüÜ°–”]"
-    r"(?:(?<=[^?\[\]])|(?<=\?)(?=\p{L})|(?<=\p{L}[\[\]])(?=\p{L})|(?<=\s\[)(?=\p{Ll}{2,}[\s,.]))"
+    r"[^\x00-\x3e\x40-\x5a\x5f\x61-\x7aåäöÅÄÖéÉüÜ]"
+    r"(?:(?<=[^?\[\]°–”])|(?<=\?)(?=\p{L})|(?<=\p{L}[\[\]°–”])(?=\p{L})|(?<=\s\[)(?=\p{Ll}{2,}[\s,.]))"
 )
 
 
@@ -189,7 +189,7 @@ def repair_spans(text: str, chain: str) -> list[tuple[int, int, str]]:
 
 @cache
 def _suspect() -> re.Pattern:
-    return re.compile("[" + "".join(re.escape(c) for c in sorted(_lead_chars())) + "]")
+    return re.compile("[" + "".join(re.escape(c) for c in sorted(_lead_chars())) + r"]|(?<=[^\W\d_])[”–°](?=[^\W\d_])")
 
 
 def is_suspect(text: str) -> bool:

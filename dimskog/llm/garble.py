@@ -5,14 +5,15 @@ Latent-chain mixture, fitted by expectation-maximization
 Every record has, for each encoding chain, a latent bit "this chain damaged the record".  A record
 that shows none of the chain's sequences cannot be damaged by it.  For the others the evidence is a
 small signature: how usual the best repaired letter is between its neighbours (from letter contexts
-counted over *all* texts) and how many sequences there are.  The two emission tables over signatures
-(damaged / as written) and the chain weights per source and field are fitted by EM on aggregated
-counts.  Weak evidence of one record (a lone sign that might be meant) is thus pooled with what the
-same chain does elsewhere in its source.  Each record is then judged by its own posterior.
+counted over *all* texts) and how many sequences there are.  Two emission tables over signatures
+(damaged / as written), shared by all records, and a weight of each chain in each source and field are
+fitted together, round after round, on aggregated counts.  Weak evidence of one record (a lone sign
+that might be meant) is thus pooled with what the same chain does elsewhere in its source.  Each record
+is then judged, and each stretch of it repaired, by its own posterior.
 
-Scale: one pass counts letter contexts (bounded by the alphabet: at most some 10^5 rows reach the
-driver), one pass extracts evidence from the few rows that hold a suspect character, everything
-after that works on counts.  EM itself runs over at most chains x signatures rows.
+Scale: one pass counts letter contexts and rows (bounded by two small alphabets, at most some 10^5 rows
+reach the driver), one pass extracts evidence from the few rows that hold a suspect character and keeps
+those rows' texts for the repair; everything after that works on counts.  No text is ever shuffled.
 
 Defined results: null texts give no row; empty and clean texts are never found; a replaced character
 that no context settles stays U+FFFD in the restored text; repeated rows count each by their own key.
@@ -21,9 +22,9 @@ that no context settles stays U+FFFD in the restored text; repeated rows count e
 from __future__ import annotations
 
 from collections import Counter
+from math import log, log1p
 
 import numpy as np
-import pyarrow as pa
 import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,36 +35,54 @@ from dimskog.runtime import cut
 
 CONTEXT = re.compile(f"(.?)([{codecs.EXPECTED}])(?=(.?))", re.S)
 BINS = (0, 1, 5, 40)  # repaired-letter contexts a million letters: lower edges of the plausibility bins
+#: So many of the largest (field, source) pairs have chain weights of their own; the sources of a field beyond them share theirs.
+OWN_SOURCES = 1_000
+#: A source's weight leans on the corpus's as if it had seen so many more rows.
+LEAN = 50
+#: A letter so usual (a million letters) is repaired also in a context never seen.
+USUAL = 200.0
 
+Context = tuple[str, str, str]
 
-def letter_contexts(texts: DataFrame) -> dict[tuple[str, str, str], int]:
-    """How often each expected letter stands between each pair of neighbours, over all texts."""
+
+def _near(char: str) -> str:
+    """A neighbour as contexts know it: a letter of the Latin blocks, '' for all else."""
+    return char if char < "ɐ" and codecs.LETTER.match(char) else ""
+
+
+def corpus_counts(texts: DataFrame) -> tuple[dict[Context, int], list[tuple[str, str | None, int]], dict[str, int]]:
+    """In one pass over all texts: how often each expected letter stands between each pair of neighbours;
+    the rows of the OWN_SOURCES largest (tbl, source); the rows of each tbl."""
 
     def make():
         def step(batch):
-            n = Counter()
-            for t in batch.column(0).to_pylist():
+            n, rows = Counter(), Counter()
+            for tbl, source, t in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                rows[tbl, source] += 1
                 if not t.isascii():
                     n.update(CONTEXT.findall(t))
             merged = Counter()
             for (a, c, b), k in n.items():
-                merged[(a if codecs.LETTER.match(a) else "", c, b if codecs.LETTER.match(b) else "")] += k
-            keys = list(merged)
-            return {"a": [k[0] for k in keys], "c": [k[1] for k in keys], "b": [k[2] for k in keys], "n": list(merged.values())}
+                merged[_near(a), c, _near(b)] += k
+            keys = [*merged, *((t, None, s) for t, s in rows)]  # rows are told apart by their null letter
+            return {"a": [k[0] for k in keys], "c": [k[1] for k in keys], "b": [k[2] for k in keys], "n": [*merged.values(), *rows.values()]}
 
         return step
 
-    counts = map_batches(texts.select("text"), make, "a string, c string, b string, n long").groupBy("a", "c", "b").agg(F.sum("n").alias("n"))
-    return {(r.a, r.c, r.b): r.n for r in counts.collect()}  # bounded: letters^3
+    counts = cut(map_batches(texts.select("tbl", "source", "text"), make, "a string, c string, b string, n long").groupBy("a", "c", "b").agg(F.sum("n").alias("n")))
+    seen = {(r.a, r.c, r.b): r.n for r in counts.where("c is not null").collect()}  # bounded: expected letters x (Latin letters + 1)^2
+    rows = counts.where("c is null")
+    own = [(r.a, r.b, r.n) for r in rows.orderBy(F.desc("n"), "a", "b").limit(OWN_SOURCES).collect()]
+    return seen, own, {r.a: r.n for r in rows.groupBy("a").agg(F.sum("n").alias("n")).collect()}  # one row a table
 
 
-def _rate(seen: dict, total: int, context: tuple[str, str, str]) -> float:
+def _rate(seen: dict, total: int, context: Context) -> float:
     left, c, right = context
     if not (left or right) or c not in codecs.EXPECTED:
         return 0.0
     if left.islower() and c.isupper():
         return 0.0
-    return seen.get(context, 0) * 1e6 / total
+    return seen.get((_near(left), c, _near(right)), 0) * 1e6 / total
 
 
 def evidence(text: str, seen: dict, total: int) -> list[tuple[str, int, int]]:
@@ -93,90 +112,150 @@ def evidence(text: str, seen: dict, total: int) -> list[tuple[str, int, int]]:
     return out
 
 
-def _features(texts: DataFrame, seen: dict) -> DataFrame:
-    total = max(1, sum(seen.values()))
+def _features(texts: DataFrame, seen: dict, groups: dict, with_text: bool) -> DataFrame:
+    """(tbl, row_id, g, chain, bin, hits, text): one row a record with any evidence, three lists and, if asked, its text."""
+    shared = texts.sparkSession.sparkContext.broadcast((seen, groups))  # bounded: see corpus_counts
 
     def make():
+        seen, groups = shared.value
+        total = max(1, sum(seen.values()))
+
         def step(batch):
             rows = []
             for tbl, row, source, text in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                rows += [(tbl, row, source, *e) for e in evidence(text, seen, total)]
-            return {k: [r[i] for r in rows] for i, k in enumerate(("tbl", "row_id", "source", "chain", "bin", "hits"))}
+                e = evidence(text, seen, total)
+                if e:
+                    g = groups.get((tbl, source), groups.get(tbl))
+                    rows.append((tbl, row, g, *map(list, zip(*e)), text if with_text else None))
+            return {k: [r[i] for r in rows] for i, k in enumerate(("tbl", "row_id", "g", "chain", "bin", "hits", "text"))}
 
         return step
 
     near = texts.where(F.col("text").rlike(codecs.SUSPECT))
-    return map_batches(near.select("tbl", "row_id", "source", "text"), make, "tbl string, row_id long, source string, chain string, bin int, hits int")
+    return map_batches(near.select("tbl", "row_id", "source", "text"), make, "tbl string, row_id long, g int, chain array<string>, bin array<int>, hits array<int>, text string")
 
 
-def fit(counts: list[tuple[str, int, int, int]], rows: int, rounds: int = 25) -> dict[tuple[str, int, int], float]:
-    """Evidence ratio P(signature | damaged) / P(signature | as written) by EM over (chain, bin, hits, n)."""
+def fit(counts: list[tuple[int, str, int, int, int]], rows: list[int], rounds: int = 25) -> dict[tuple[int, str, int, int], float]:
+    """Posterior of (group, chain, bin, hits) by EM over their counts n; ``rows`` has the records of each group.
+
+    E: the posterior of each cell from its group's weight and the two emissions of its signature.  M: the
+    emissions from all groups, the weights from each group, leaning on the whole corpus.  The first round
+    takes usual repaired letters to speak for damage; the same prior stays as one pseudo-record a signature.
+    """
     out = {}
-    for chain in sorted({c[0] for c in counts}):
-        sig = [(b, h) for c, b, h, _ in counts if c == chain]
-        n = np.array([float(k) for c, _, _, k in counts if c == chain])
-        # start: usual repaired letters speak for damage, unusual ones against it
-        post = np.array([{1: 0.15, 2: 0.6, 3: 0.9}[max(1, b)] + (0.05 if h > 1 else 0.0) for b, h in sig])
-        post = np.minimum(post, 0.97)
+    size = np.array(rows, dtype=float)
+    for chain in sorted({c[1] for c in counts}):
+        cells = [(g, b, h, k) for g, c, b, h, k in counts if c == chain]
+        signatures = sorted({(b, h) for _, b, h, _ in cells})
+        at = np.array([signatures.index((b, h)) for _, b, h, _ in cells])
+        group, n = np.array([c[0] for c in cells]), np.array([float(c[3]) for c in cells])
+        prior = np.array([min(0.97, {1: 0.15, 2: 0.6, 3: 0.9}[max(1, b)] + (0.05 if h > 1 else 0.0)) for b, h in signatures])
         if chain in codecs.MULTI or chain == codecs.LOST:
-            post = np.full(len(sig), 0.97)
-        start = post.copy()
+            prior = np.full(len(signatures), 0.97)
+        post = prior[at]
         for _ in range(rounds):
-            damaged, written = (post * n).sum() + 0.5, ((1 - post) * n).sum() + 0.5
-            weight = damaged / (rows + 1.0)
-            g = (post * n + start) / (damaged + start.sum())
-            w = ((1 - post) * n + (1 - start)) / (rows - damaged + (1 - start).sum() + 1.0)
-            new = weight * g / (weight * g + (1 - weight) * w)
+            mass = np.bincount(group, post * n, len(size))
+            damaged = mass.sum()
+            base = (damaged + 0.5) / (size.sum() + 1.0)
+            weight = ((mass + LEAN * base) / (size + LEAN))[group]
+            hurt = (np.bincount(at, post * n, len(signatures)) + prior) / (damaged + prior.sum())
+            meant = (np.bincount(at, (1 - post) * n, len(signatures)) + (1 - prior)) / (size.sum() - damaged + (1 - prior).sum() + 1.0)
+            weight = np.minimum(weight, 1 - 1e-9)
+            new = weight * hurt[at] / (weight * hurt[at] + (1 - weight) * meant[at])
             if np.abs(new - post).max() < 1e-6:
                 break
             post = 0.5 * post + 0.5 * new
-        for s, a, b in zip(sig, g, w):
-            out[(chain, *s)] = float(a / b)
+        out.update({(g, chain, b, h): float(p) for (g, b, h, _), p in zip(cells, new)})
     return out
 
 
-def posteriors(texts: DataFrame, seen: dict) -> DataFrame:
-    """(tbl, row_id, source, chain, bin, hits, posterior) of every record with any evidence."""
-    spark = texts.sparkSession
-    features = cut(_features(texts, seen))
-    totals = texts.groupBy("tbl", "source").agg(F.count("*").alias("rows"))
-    rows = max(1, totals.agg(F.sum("rows")).first()[0] or 0)
-    counts = [tuple(r) for r in features.groupBy("chain", "bin", "hits").count().collect()]  # bounded: chains x signatures
-    ratio = fit(counts, rows)
-    if not ratio:
-        return features.withColumn("posterior", F.lit(0.0)).limit(0)
-    ratios = F.broadcast(spark.createDataFrame([(*k, v) for k, v in ratio.items()], "chain string, bin int, hits int, ratio double"))
-    scored = features.join(ratios, ["chain", "bin", "hits"])
-    # source and field weights: one more E/M step per (tbl, source, chain), smoothed towards the whole corpus
-    overall = scored.groupBy("chain").agg((F.sum(F.col("ratio") / (F.col("ratio") + 200.0)) / rows).alias("base"))
-    local = scored.groupBy("tbl", "source", "chain").agg(F.sum(F.col("ratio") / (F.col("ratio") + 200.0)).alias("mass"))
-    weights = (
-        local.join(overall, "chain")
-        .join(totals.withColumnRenamed("source", "s").withColumnRenamed("tbl", "t"), F.expr("tbl = t and source <=> s"))
-        .select("tbl", "source", "chain", ((F.col("mass") + 50 * F.col("base")) / (F.col("rows") + 50)).alias("weight"))
-    )
-    w = weights.select(F.col("tbl").alias("t"), F.col("source").alias("s"), F.col("chain").alias("c"), "weight")
-    odds = F.col("ratio") * F.col("weight") / F.greatest(F.lit(1e-9), 1 - F.col("weight"))
-    return scored.join(w, F.expr("tbl = t and source <=> s and chain = c")).select(
-        "tbl", "row_id", "source", "chain", "bin", "hits", (odds / (1 + odds)).alias("posterior")
-    )
+def posteriors(texts: DataFrame, with_text: bool = False) -> tuple[DataFrame, dict, dict]:
+    """(records with any evidence, posterior of each of their cells, letter contexts); see ``_features`` and ``fit``."""
+    seen, own, rows = corpus_counts(texts)
+    groups = {(t, s): i for i, (t, s, _) in enumerate(own)}
+    rest = {t: n - sum(k for u, _, k in own if u == t) for t, n in rows.items()}
+    groups.update({t: len(own) + i for i, t in enumerate(rest)})
+    features = cut(_features(texts, seen, groups, with_text))
+    each = features.select("g", F.explode(F.arrays_zip("chain", "bin", "hits")).alias("e"))
+    counts = [tuple(r) for r in each.groupBy("g", "e.chain", "e.bin", "e.hits").count().collect()]  # bounded: groups x chains x signatures
+    return features, fit(counts, [n for *_, n in own] + list(rest.values())), seen
 
 
 def found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows with damaged text: the posterior of some chain is at least one half."""
-    texts = note_texts(spark, sf_dir)
-    return posteriors(texts, letter_contexts(texts)).where("posterior >= 0.5").select("tbl", "row_id").distinct()
+    features, fitted, _ = posteriors(note_texts(spark, sf_dir))
+    shared = spark.sparkContext.broadcast(fitted)
 
+    def make():
+        damaged = {cell for cell, p in shared.value.items() if p >= 0.5}
 
-def restore(text: str, chain: str, seen: dict) -> str:
-    """The text as it was written, where the chain and the letter contexts tell."""
-    if chain in codecs.ALL:
-        return codecs.splice(text, codecs.repair_spans(text, chain))[0]
+        def step(batch):
+            tbl, row, g, chain, bins, hits = (batch.column(i).to_pylist() for i in range(6))
+            kept = [i for i in range(len(g)) if any((g[i], *e) in damaged for e in zip(chain[i], bins[i], hits[i]))]
+            return {"tbl": [tbl[i] for i in kept], "row_id": [row[i] for i in kept]}
+
+        return step
+
+    return map_batches(features.drop("text"), make, "tbl string, row_id long").distinct()
+
+
+def _stretches(text: str, odds: dict[str, float], seen: dict, total: int, usual: dict[str, float]) -> list[tuple[int, int, str]]:
+    """The stretches to replace: of all readings by the record's chains the disjoint ones of most weight.
+
+    A reading weighs the log odds of its chain in this record and how usual its letter is in its place;
+    single-byte readings of a letter that is not seen there, nor usual at all, are none.
+    """
+    readings = []
+    for chain, odd in odds.items():
+        spans = codecs.repair_spans(text, chain)
+        for (s, e, c), context in zip(spans, codecs.contexts(text, spans)):
+            rate = _rate(seen, total, context)
+            if chain not in codecs.MULTI and c in codecs.EXPECTED and not rate and usual.get(c, 0.0) < USUAL:
+                continue
+            readings.append((e, s, c, odd + log1p(rate) + 0.1 * log1p(usual.get(c, 0.0)) + (e - s - 1)))
+    readings.sort()
+    best: list[tuple[float, tuple]] = [(0.0, ())]  # weight of the first k readings, chain of choices
+    ends = [r[0] for r in readings]
+    from bisect import bisect_right
+
+    for k, (_, s, c, weight) in enumerate(readings):
+        before = best[bisect_right(ends, s, 0, k)]
+        take = (before[0] + weight, (before[1], k))
+        best.append(max(best[-1], take, key=lambda x: x[0]))
+    chosen, left = best[-1][1], []
+    while chosen:
+        chosen, k = chosen
+        left.append((readings[k][1], readings[k][0], readings[k][2]))
+    return left[::-1]
+
+
+def restore(text: str, posterior: dict[str, float], seen: dict) -> str:
+    """The text as it was written, where the posteriors of its chains and the letter contexts tell.
+
+    Stretches are replaced until none is left (a text may have gone through several chains, one after
+    another or side by side); then lost letters are settled by their contexts.
+    """
+    total = max(1, sum(seen.values()))
+    usual = Counter()
+    for (_, c, _), n in seen.items():
+        usual[c] += n * 1e6 / total
+    odds = {c: min(6.0, log(max(p, 1e-9) / max(1 - p, 1e-9))) for c, p in posterior.items() if c in codecs.ALL}
+    for _ in range(4):
+        spans = _stretches(text, odds, seen, total, usual)
+        if not spans:
+            break
+        text = codecs.splice(text, spans)[0]
+    for kind in (codecs.LOST, codecs.QUESTION):
+        if kind in posterior:
+            text = _settled(text, [(m.start(), m.end()) for m in re.finditer("�+", text)] if kind == codecs.LOST else codecs.questions(text), seen)
+    return text
+
+
+def _settled(text: str, marks: list[tuple[int, int]], seen: dict) -> str:
+    """Lost letters that their contexts leave one choice for."""
     spans = []
-    marks = [(m.start(), m.end()) for m in re.finditer("�+", text)] if chain == codecs.LOST else codecs.questions(text)
     for s, e in marks:
-        left, right = text[s - 1 : s], text[e : e + 1]
-        left, right = left if codecs.LETTER.match(left) else "", right if codecs.LETTER.match(right) else ""
+        left, right = _near(text[s - 1 : s]), _near(text[e : e + 1])
         votes = Counter({c: seen.get((left, c, right), 0) for c in codecs.EXPECTED})
         (best, most), (_, next_most) = votes.most_common(2)
         if e - s <= 3 and most >= 20 and most >= 9 * next_most:
@@ -185,25 +264,22 @@ def restore(text: str, chain: str, seen: dict) -> str:
 
 
 def restored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """tbl, row_id, chain, posterior and restored text of every damaged row, by its most probable chain."""
-    texts = note_texts(spark, sf_dir)
-    seen = letter_contexts(texts)
-    best = (
-        posteriors(texts, seen)
-        .where("posterior >= 0.5")
-        .groupBy("tbl", "row_id")
-        .agg(F.max_by("chain", F.struct("hits", "bin", "posterior", "chain")).alias("chain"), F.max("posterior").alias("posterior"))
-    )
+    """tbl, row_id, most probable chain, its posterior and the restored text of every damaged row."""
+    features, fitted, seen = posteriors(note_texts(spark, sf_dir), with_text=True)
+    shared = spark.sparkContext.broadcast((fitted, seen))
+
     def make():
+        fitted, seen = shared.value
+
         def step(batch):
-            tbl, row, chain, posterior, text = (batch.column(i).to_pylist() for i in range(5))
-            fixed = []
-            for t, c in zip(text, chain):
-                own = codecs.best_chain(t) if c in codecs.ALL else None
-                fixed.append(restore(t, own or c, seen))
-            return {"tbl": tbl, "row_id": row, "chain": chain, "posterior": posterior, "restored": fixed}
+            rows = []
+            for tbl, row, g, chain, bins, hits, text in zip(*(batch.column(i).to_pylist() for i in range(7))):
+                own = {e[0]: p for e in zip(chain, bins, hits) if (p := fitted[(g, *e)]) >= 0.5}
+                if own:
+                    top = max(own, key=lambda c: (own[c], c))
+                    rows.append((tbl, row, top, own[top], restore(text, own, seen)))
+            return {k: [r[i] for r in rows] for i, k in enumerate(("tbl", "row_id", "chain", "posterior", "restored"))}
 
         return step
 
-    joined = best.join(texts, ["tbl", "row_id"]).select("tbl", "row_id", "chain", "posterior", "text")
-    return map_batches(joined, make, "tbl string, row_id long, chain string, posterior double, restored string")
+    return map_batches(features, make, "tbl string, row_id long, chain string, posterior double, restored string")

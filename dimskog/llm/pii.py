@@ -45,8 +45,10 @@ PARTICLE = r"(?:(?:af|von|de|van|der|la|di|du|el|al) )"
 RUN = re.compile(rf"(?:[{UPPER}]\.|{CAP})(?:,? {PARTICLE}*(?:[{UPPER}]\.|{CAP}))*\.?")
 TOKEN = re.compile(rf"(,? ?)({PARTICLE}*)({CAP}\.?)")
 TITLES = frozenset("dr dr. doktor prof prof. fru herr ssk överläkare st-läkare läkare psykolog sjuksköterska professor".split())
+LONGEST_TITLE = max(map(len, TITLES))
 AT = re.compile(r"@|＠|[\[(] ?(?:at|snabel-?a) ?[\])]", re.I)
 DOT = r"(?:\.| ?[\[(] ?(?:punkt|dot) ?[\])] ?)"
+LONGEST_DOT = len(" [ punkt ] ")
 LOCAL = re.compile(rf"(?:[\w+%-]+{DOT})*[\w+%-]+ ?$", re.I)
 DOMAIN = re.compile(rf" ?(?:[^\W_][\w-]*{DOT})+[^\W\d_]{{2,}}", re.I)
 ROLE = frozenset("info registrator kontakt reception remiss support noreply no-reply kansli postmaster avdelningen mottagningen".split())
@@ -55,10 +57,13 @@ PHONE = re.compile(r"(?<![\w+/.\-])(?:\+\d{1,3}|00\d\d|0)(?: ?\(0\))?(?:(?: - |[
 IDENT = re.compile(r"(?<![\w\-+])(?:(?:19|20)\d\d(\d\d)(\d\d)[-+ ]?\d{4}|\d\d(\d\d)(\d\d)[-+ ]\d{4})(?![\w]|-\d)")
 PASSPORT = re.compile(r"(?<!\w)[A-Z]{2}\d{7}(?!\w)")
 NOT_PERSONAL = re.compile(r"(?:orgnr|(?<!telefon)(?<!tel)(?<!mobil)\w(?:nr|nummer)|ocr|box|mätvärden|portvärde|serie|lot|batch|faktura|artikel|remiss|referens|ref|organisationsnummer)[.:]? ?$", re.I)
+#: No word of the two patterns, with its sign and space, is longer.
+LONGEST_MARK = len("xorganisationsnummer: ")
 PERSONAL = re.compile(r"(?:person|samordnings|pass|telefon|mobil|nytt )(?:nr|nummer)[.:]? ?$", re.I)
 WAYS = "gatan|gata|vägen|väg|stigen|stig|gränden|gränd|backen|backe|allén|allé|torget|torg|stranden|promenaden|platsen"
 WAYS = "|".join([WAYS, *(re.sub("[^a-z]", LOST_LOWER, w) for w in WAYS.split("|") if not w.isascii())])
 _WAY_ENDS = tuple(WAYS.split("|"))
+LONGEST_WAY = max(map(len, _WAY_ENDS))
 HOUSE = re.compile(r" (\d{1,4}(?: ?- ?\d{1,4}| ?[A-H](?![\w/]))?)(?!\w)")
 ADJECTIVES = "Norra|Södra|Östra|Västra|Stora|Lilla|Gamla|Nya|Övre|Nedre|Inre|Yttre"
 ADJECTIVES += "|" + ADJECTIVES.upper()
@@ -73,6 +78,9 @@ DIGIT_WORDS = {"noll": "0", "ett": "1", "en": "1", "två": "2", "tre": "3", "fyr
 DIGIT_WORDS |= {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
 _D = "|".join(DIGIT_WORDS)
 SPELLED = re.compile(rf"(?<!\w)(?:plus )?(?:{_D})(?:[ ,-]+(?:{_D})){{6,}}(?!\w)", re.I)
+_APART = str.maketrans(",-", "  ")
+#: Characters that encoding damage leaves in a text of ASCII alone.
+_NATIONAL = re.compile("[" + re.escape("".join(codecs.SEVEN_BIT)) + "]")
 
 #: The placeholders of the project, by kind.
 PLACEHOLDERS = {"email": "[E-POST]", "phone": "[TELEFON]", "id_number": "[ID-NUMMER]", "street": "[ADRESS]", "person": "[PERSON]"}
@@ -129,8 +137,8 @@ _NAME = re.compile(rf"[{UPPER}][^\W\d_]*[^\W\d_{UPPER}][^\W\d_]*(?:[-’ ][{UPPE
 def learn_names(spark: SparkSession, sf_dir: str) -> Names:
     """Vocabulary from the masks of at most LABELLED_ROWS rows and from the gazetteer (fixed size).
 
-    ``take`` reads only as many partitions as the bound needs; a value counts when it occurs twice,
-    looks like a name and its span does not begin or end inside a word (shifted masks do).
+    The rows are those of lowest hash, so they stand for all sources and days; a value counts when it
+    occurs twice, looks like a name and its span does not begin or end inside a word (shifted masks do).
     """
     rows = table(spark, sf_dir, "sv_pure3").where("size(privacy_mask) > 0 and source_text is not null")
     names = F.expr(
@@ -139,7 +147,8 @@ def learn_names(spark: SparkSession, sf_dir: str) -> Names:
         "substring(source_text, greatest(m.start_pos, 1), if(m.start_pos > 0, 1, 0)) as b, substring(source_text, m.end_pos + 1, 1) as a))"
     )
     seen: Counter = Counter()
-    for row in rows.select(names.alias("names")).take(LABELLED_ROWS):
+    sample = rows.select(names.alias("names"), F.xxhash64("row_id").alias("h")).orderBy("h").limit(LABELLED_ROWS)
+    for row in sample.collect():  # bounded
         for m in row.names:
             if m.v and not m.b.isalpha() and not m.a.isalpha() and _NAME.match(m.v) and codecs.best_chain(m.v) is None:
                 seen[m.label, m.v] += 1
@@ -217,7 +226,7 @@ def _lost(text: str) -> tuple[str, list]:
 
 def normal_form(text: str) -> tuple[str, Mapper]:
     mapper = Mapper()
-    if not text.isascii() or "{" in text or "|" in text or "}" in text:
+    if not text.isascii() or _NATIONAL.search(text):
         for _ in range(3):  # a text may have gone through more than one chain
             if not codecs.is_suspect(text):
                 break
@@ -232,12 +241,17 @@ def normal_form(text: str) -> tuple[str, Mapper]:
     if "\ufffd" in text or "?" in text and codecs.questions(text):
         text, marks = _lost(text)
         mapper.add(marks)
-    if SPELLED.search(text):
+    if _may_spell(text) and SPELLED.search(text):
         text, marks = _digits(text)
         mapper.add(marks)
     return text, mapper
 
 
+def _may_spell(text: str) -> bool:
+    """Whether a text holds six digit words at all: the seventh of a number may touch a full stop."""
+    return sum(map(DIGIT_WORDS.__contains__, text.lower().translate(_APART).split())) >= 6
+
+
 # ---------------------------------------------------------------- detectors
 
 
@@ -245,7 +259,7 @@ def _emails(t: str) -> list[tuple[int, int, str]]:
     out, at = [], 0
     if "@" in t or "＠" in t or ")" in t or "]" in t:
         for m in AT.finditer(t):
-            left = LOCAL.search(t, max(at, m.start() - 90), m.start())
+            left = _local(t, at, m.start())
             right = DOMAIN.match(t, m.end())
             if left and right:
                 s, e = left.start(), right.end()
@@ -259,6 +273,17 @@ def _emails(t: str) -> list[tuple[int, int, str]]:
     return out
 
 
+def _local(t: str, low: int, at: int) -> re.Match | None:
+    """The local part that ends at ``at``, whatever its length: a window that grows until none of it, nor a dot, is cut."""
+    size = 90
+    while True:
+        pos = max(low, at - size)
+        left = LOCAL.search(t, pos, at)
+        if pos == low or left is None or left.start() - pos > LONGEST_DOT:
+            return left
+        size *= 4
+
+
 def _numbers(t: str) -> list[tuple[int, int, str]]:
     out = []
     for chunk in DIGITS.finditer(t):
@@ -282,16 +307,19 @@ def _numbers(t: str) -> list[tuple[int, int, str]]:
 
 def _other(t: str, at: int) -> bool:
     """Whether the words before say that the number belongs to a thing or an organisation."""
-    before = t[max(0, at - 24) : at]
+    before = t[max(0, at - LONGEST_MARK) : at]
     return bool(NOT_PERSONAL.search(before)) and not PERSONAL.search(before)
 
 
 def _streets(t: str) -> list[tuple[int, int, str]]:
     out = []
     for m in HOUSE.finditer(t):
-        if not t[max(0, m.start() - 12) : m.start()].lower().endswith(_WAY_ENDS):
+        if not t[max(0, m.start() - LONGEST_WAY) : m.start()].lower().endswith(_WAY_ENDS):
             continue
-        head = STREET_HEAD.search(t, max(0, m.start() - 48), m.start())
+        pos = m.start()
+        for _ in range(4):  # a head has three words at most
+            pos = max(0, t.rfind(" ", 0, pos))
+        head = STREET_HEAD.search(t, pos, m.start())
         if head and (head.start() == 0 or not (t[head.start() - 1].isalnum() or t[head.start() - 1] in "-_")):
             out.append((head.start(), m.end(1), "street"))
     return out
@@ -359,12 +387,10 @@ def _persons(t: str, names: Names, lower) -> list[tuple[int, int, str]]:
                         out.append((_particle(t, ps if part else s), end, "person"))
                         i = j + 1
                         continue
-                before = t[max(0, s - 16) : s].split()
-                if before and before[-1].lower() in TITLES:
+                if _word_before(t, s) in TITLES:
                     out.append((_particle(t, ps if part else s), e, "person"))
             elif k == 2:
-                before = t[max(0, s - 16) : s].split()
-                if before and before[-1].lower() in TITLES:
+                if _word_before(t, s) in TITLES:
                     out.append((_particle(t, ps if part else s), s + len(bare), "person"))
             i += 1
     for end, key in lower.iter(t):  # names in lower case: a given name with a surname on either side
@@ -381,12 +407,29 @@ def _persons(t: str, names: Names, lower) -> list[tuple[int, int, str]]:
                 out.append((s, s + len(" ".join(words[: last + 1])), "person"))
                 continue
         g = s + len(key) - 1
-        m = LOWER_HEAD.search(t, max(0, s - 32), s)
+        m = LOWER_HEAD.search(t, _words_back(t, s), s) if t[max(0, s - 2) : s] == ", " else None
         if m and kind(m.group(2)) == 2:
             out.append((m.start(), g, "person"))
     return out
 
 
+def _word_before(t: str, s: int) -> str:
+    """The word before a position in lower case; of words longer than any title only the end."""
+    while s and t[s - 1].isspace():
+        s -= 1
+    b = s
+    while b and not t[b - 1].isspace() and s - b <= LONGEST_TITLE:
+        b -= 1
+    return t[b:s].lower()
+
+
+def _words_back(t: str, s: int) -> int:
+    """Where a surname with its particle, a comma and a space begins at the earliest."""
+    for _ in range(3):
+        s = max(0, t.rfind(" ", 0, s))
+    return s
+
+
 def _noun(t: str, s: int, end: int) -> bool:
     """A given name that is also a noun: "Sten i vänster njure", "Maj månads kontroll"."""
     if t[end : end + 7] in (" månads", " mƣnads"):
@@ -397,12 +440,14 @@ def _noun(t: str, s: int, end: int) -> bool:
 PARTICLES = frozenset("af von de van der la di du el al".split())
 LOWER_TAIL = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)*(?: [^\W\d_]+(?:-[^\W\d_]+)*){1,4}")
 LOWER_HEAD = re.compile(r"(?<!\w)((?:af |von |de )?)([^\W\d_A-ZÅÄÖ]+(?:-[^\W\d_]+)*), $")
-_BEFORE = re.compile(r"(?<!\w)(?:(?:af|von|de|van|der|la|di) )+$")
+_BEFORE = re.compile(r"(?<!\w)(?:af|von|de|van|der|la|di) $")
 
 
 def _particle(t: str, s: int) -> int:
-    m = _BEFORE.search(t, max(0, s - 12), s)
-    return m.start() if m else s
+    """Where the particles before a surname begin, however many."""
+    while m := _BEFORE.search(t, max(0, s - len(" von ")), s):
+        s = m.start()
+    return s
 
 
 class Detector:

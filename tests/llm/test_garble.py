@@ -59,3 +59,33 @@ def test_whole_operator(spark, tables):
 def test_nothing_there(spark, tables):
     assert garble.found(spark, tables()).count() == 0
     assert garble.found(spark, tables(notes=[(1, "Allt väl", "u")])).count() == 0
+
+
+def test_everyday_signs_between_letters_are_evidence(spark, tables):
+    """An ö read as a closing quotation mark, nothing else being wrong."""
+    clean = ["Mötet var bra och högst lämpligt.", "Högst möjliga dos sattes in för besvären.", "Åter till läkare om böjning gör ont i höften."]
+    notes = [(i, clean[i % 3], "u") for i in range(90)] + [(200, "Tåget Malmö–Lund gick, ”kort” sagt.", "u")]
+    rows = [(i, "train", None, clean[i].replace("ö", "”").replace("ä", "„"), None) for i in range(3)] + [(9, "train", None, "M”tet var bra.", None)]
+    folder = tables(notes=notes, rows=rows)
+    assert {(r.tbl, r.row_id) for r in garble.found(spark, folder).collect()} == {("sv_pure3", i) for i in (0, 1, 2, 9)}
+    assert {r.row_id: r.restored for r in garble.restored(spark, folder).collect()} == {**dict(enumerate(clean)), 9: "Mötet var bra."}
+
+
+def test_two_chains_in_one_text_are_both_undone():
+    seen = {}
+    for t in [CLEAN, "Modern är orolig och mötet ställdes in när hon hörde av sig."] * 50:
+        for a, c, b in garble.CONTEXT.findall(t):
+            key = (garble._near(a), c, garble._near(b))
+            seen[key] = seen.get(key, 0) + 1
+    bad = "Modern " + damage("är", "utf8_cp1252") + " orolig och m”tet st„lldes in när hon hörde av sig."
+    for own in ({"utf8_cp1252": 0.99, "cp850_latin1": 0.95}, {"utf8_cp1252": 0.99, "cp850_latin1": 0.95, "latin1_cp850": 0.6}):
+        assert garble.restore(bad, own, seen) == "Modern är orolig och mötet ställdes in när hon hörde av sig."
+    half = garble.restore(bad, {"cp850_latin1": 0.9, "latin1_mac": 0.6, "mac_latin1": 0.6}, seen)
+    assert damage("är", "utf8_cp1252") in half or "Modern är" in half
+
+
+def test_a_source_has_its_own_weight():
+    """Equal signatures: damage in a source that is full of it, as written in one that is not."""
+    counts = [(0, "latin1_cp437", 2, 1, 400), (1, "latin1_cp437", 2, 1, 3), (0, "latin1_cp437", 3, 2, 300), (1, "latin1_cp437", 1, 1, 900)]
+    p = garble.fit(counts, [1_000, 1_000_000])
+    assert p[0, "latin1_cp437", 2, 1] > 0.9 > p[1, "latin1_cp437", 2, 1]

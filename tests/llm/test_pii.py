@@ -84,3 +84,27 @@ def test_operator(spark, tables):
 def test_spelled_digits(text, want):
     """In capitals, in English and without a zero."""
     assert want in found(text)
+
+
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ("Ring plus fyra sex sju tre fem ett två sex åtta nio fyra", ("plus fyra sex sju tre fem ett två sex åtta nio fyra", "phone")),
+        ("Bor i \\rebro vid [ngsgatan 5, \\stra", ("[ngsgatan 5", "street")),
+        ("mejl " + "anna [punkt] maria [punkt] " * 9 + "elisabet (at) hem [punkt] example", ("anna [punkt] maria [punkt] " * 9 + "elisabet (at) hem [punkt] example", "email")),
+        ("bor " + "Å" + "l" * 90 + "gatan 4 B", ("Å" + "l" * 90 + "gatan 4 B", "street")),
+        ("sjuksköterska   Dalfält kom", ("Dalfält", "person")),
+        ("träffade " + "von der de la di " + "Dalfält, Anna i dag", ("von der de la di Dalfält, Anna", "person")),
+        ("hälsade " + "ekström" + "-dalström" * 6 + ", anna. ", ("ekström" + "-dalström" * 6 + ", anna", "person")),
+    ],
+)
+def test_no_window_cuts_a_span(text, want):
+    assert want in found(text)
+
+
+def test_national_letters_without_braces():
+    assert pii.normal_form("[sa [kerlund, \\stra \\rebro")[0] == "Äsa Äkerlund, Östra Örebro"  # the set reads [ as Ä
+
+
+def test_seven_equal_digit_words():
+    assert found("tel noll ett ett ett ett ett ett ett ett.") == [("noll ett ett ett ett ett ett ett ett", "phone")]
