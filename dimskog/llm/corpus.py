@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimskog.runtime import table
 
 
+#: Grapheme clusters: a base character with its marks and joiners, a flag, a syllable block.
+CLUSTER = regex.compile(r"\X")
 #: Arrow batches hold at most so many bytes, so that a run of very long texts does not fill a worker.
 BATCH_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 32 * 2**20
 

@@ -2,24 +2,28 @@
 
 Compiled longest-match transducer over grapheme clusters
 ---------------------------------------------------------
-Each grapheme cluster (a base character with its marks and joiners) is looked up as a whole in a
-compiled table; the table composes accents, narrows full-width forms, makes every space the ordinary
-one and drops invisible characters.  Clusters unknown to the table are compiled on first sight by the
-same rules, so the table covers every cluster of the data in one pass.  Runs of letters that mix
-scripts are then resolved to one script: the one into which all other letters of the run have a
-look-alike, preferring the script of most letters, then Latin.  Words wholly in another script stay.
-
-``compile_table`` checks for conflicts: no cluster may map to two forms and every form must be a fixed
-point, so applying the transducer twice changes nothing.
+One pass cuts a text into grapheme clusters (a base character with its marks and joiners, taken as long
+as they go, over invisible characters between them) and looks each up as a whole in a compiled table.
+An entry holds the plain form - accents composed, full-width forms narrowed, every space the ordinary
+one, invisible characters dropped - and, for a letter, its script and its look-alikes in other scripts.
+Letters gather in a run; where the run ends, one that mixes scripts takes each letter's look-alike in
+one script: the one into which all others have a look-alike, preferring the script of most letters, then
+Latin.  Words wholly in another script stay.
+
+``Transducer.compile`` checks every entry before it is used, those of the precomputed table and those
+of clusters first met in the data alike: a form and each look-alike must be forms of themselves, so
+applying the transducer twice changes nothing.
 
 Defined results: null gives null; the empty string is plain; a text of invisible characters only
-becomes empty; trailing ordinary spaces stay (they are plain), so matching trims them.
+becomes empty; trailing ordinary spaces stay (they are plain), so matching trims them; a run with a
+letter that looks like none of the other script's is never plain, and becomes as much Latin as it can.
 """
 
 from __future__ import annotations
 
 import unicodedata
 from functools import lru_cache
+from typing import NamedTuple
 
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -31,7 +35,9 @@ from dimskog.runtime import table
 # Letters of other scripts that look like a Latin one.
 _CYRILLIC = dict(zip("аеорсухіјѕһԁԛԝьАВЕКМНОРСТУХІЈЅԌԚԜЬ", "aeopcyxijshdqwbABEKMHOPCTYXIJSGQWb"))
 _GREEK = dict(zip("οναρικυχγηωΑΒΕΖΗΙΚΜΝΟΡΤΥΧϲϳ", "ovapikuxynwABEZHIKMNOPTYXcj"))
-_BASE = _CYRILLIC | _GREEK
+_ARMENIAN = dict(zip("զհյոսցօԼՍՏՕ", "qhjnugoLUSO"))
+_CHEROKEE = dict(zip("ᎠᎡᎢᎥᎩᎪᎫᎬᎳᎷᎻᎽᏀᏃᏏᏕᏙᏞᏟᏢᏦᏧᏴ", "DRTiYAJEWMHYGZbSVLCPKdB"))
+_BASE = _CYRILLIC | _GREEK | _ARMENIAN | _CHEROKEE
 
 
 def _lookalikes() -> dict[str, str]:
@@ -48,16 +54,15 @@ def _lookalikes() -> dict[str, str]:
 
 
 LOOKALIKE = _lookalikes()
-_BACK = {
-    "Cyrillic": {v: k for k, v in reversed(LOOKALIKE.items()) if "Ѐ" <= k <= "ԯ"},
-    "Greek": {v: k for k, v in reversed(LOOKALIKE.items()) if "Ͱ" <= k <= "Ͽ"},
-}
-
-_CLUSTER = regex.compile(r"\X")
-_RUN = regex.compile(r"[\p{L}\p{M}]+")
-_SCRIPTS = {s: regex.compile(rf"\p{{Script={s}}}") for s in ("Latin", "Cyrillic", "Greek", "Armenian", "Hebrew", "Arabic", "Georgian", "Cherokee", "Han", "Hangul", "Hiragana", "Katakana", "Thai", "Devanagari")}
+
 # Invisible characters that are not format or control characters.
 _UNSEEN = frozenset("͏ᅟᅠㅤﾠ឴឵") | {chr(c) for c in range(0xFE00, 0xFE10)} | {chr(c) for c in range(0xE0100, 0xE01F0)}
+# A cluster goes on over invisible characters to the marks, and a syllable to the vowels, that join it once those are gone.
+_HIDDEN = r"[\p{Cf}\x00-\x08\x0e-\x1b\x7f-\x84\x86-\x9f\u034f\u115f\u1160\u17b4\u17b5\u3164\uffa0]"
+_UNIT = regex.compile(rf"[\u1100-\u115e\ua960-\ua97c\uac00-\ud7a3](?:{_HIDDEN}*[\u1161-\u11ff\p{{M}}])+|\X(?:{_HIDDEN}+\p{{M}}+)*")
+_LETTER, _NEUTRAL = regex.compile(r"[\p{L}\p{M}]"), regex.compile(r"[\p{Script=Common}\p{Script=Inherited}]")
+#: Scripts that one language writes together count as one.
+_TOGETHER = dict.fromkeys(("HIRAGANA", "KATAKANA", "HANGUL", "BOPOMOFO", "KATAKANA-HIRAGANA"), "CJK")
 
 
 def _char(c: str) -> str:
@@ -73,73 +78,123 @@ def _char(c: str) -> str:
     return c
 
 
-@lru_cache(maxsize=200_000)
-def _cluster(cluster: str) -> str:
+def _form(cluster: str) -> str:
     return unicodedata.normalize("NFC", "".join(map(_char, unicodedata.normalize("NFC", cluster))))
 
 
 @lru_cache(maxsize=10_000)
-def _script(c: str) -> str:
-    for name, pattern in _SCRIPTS.items():
-        if pattern.match(c):
-            return name
-    return "Common"
-
-
-def compile_table(clusters) -> dict[str, str]:
-    """The checked table of the given clusters; raises on a conflict."""
-    out = {}
-    for c in clusters:
-        form = _cluster(c)
-        again = "".join(_cluster(x) for x in _CLUSTER.findall(form))
-        if again != form or out.setdefault(c, form) != form:
-            raise ValueError(f"conflicting forms of {c!r}: {form!r}, {again!r}")
-        if form != c:
-            out.setdefault(form, form)
-    return out
+def script(c: str) -> str:
+    """The script of a letter, by its Unicode name; '' for letters that go with any."""
+    if _NEUTRAL.match(c):
+        return ""
+    name = unicodedata.name(c, "").split(" ")[0]
+    return _TOGETHER.get(name, name)
+
+
+class Entry(NamedTuple):
+    """What a cluster becomes; ``script`` is None for all but letters, ``alike`` has its look-alike by script."""
+
+    form: str
+    script: str | None = None
+    alike: dict[str, str] = {}
+
+
+class Transducer:
+    """A table of clusters and the pass that applies it; unknown clusters are compiled when first met."""
+
+    #: Entries kept beyond the precomputed ones; more only cost their compilation again.
+    KEPT = 500_000
+
+    def __init__(self, clusters=()):
+        self.back: dict[str, dict[str, str]] = {}
+        for c, latin in LOOKALIKE.items():
+            self.back.setdefault(script(c), {}).setdefault(latin, c)
+        self.table: dict[str, Entry] = {}
+        for c in clusters:
+            if self.compile(c) is None:
+                raise ValueError(f"conflicting forms of {c!r}")
+
+    def entry(self, cluster: str) -> Entry:
+        form = _form(cluster)
+        if not form or not _LETTER.match(form):
+            return Entry(form)
+        own = script(form[0])
+        base, marks = unicodedata.normalize("NFD", form)[0], unicodedata.normalize("NFD", form)[1:]
+        alike = {}
+        for other, swap in ({"LATIN": LOOKALIKE} if own != "LATIN" else self.back).items():
+            whole = swap.get(form)
+            if whole is None and base in swap:
+                whole = unicodedata.normalize("NFC", swap[base] + marks)
+            if whole is not None and other != own:
+                alike[other] = whole
+        return Entry(form, own, alike)
+
+    def compile(self, cluster: str) -> Entry | None:
+        """The checked entry of a cluster; None if its form or a look-alike would change again."""
+        made = self.entry(cluster)
+        for form in (made.form, *made.alike.values()):
+            if "".join(self.entry(x).form for x in _UNIT.findall(form)) != form:
+                return None
+        if any(script(x[0]) != other for other, x in made.alike.items()):
+            return None
+        if len(self.table) < self.KEPT:
+            self.table[cluster] = made
+        return made
+
+    def __call__(self, text: str) -> tuple[str, bool]:
+        """(plain form, whether every run of its letters has one script)."""
+        out: list[str] = []
+        run: list[Entry] = []
+        pure = True
+        for cluster in _UNIT.findall(text):
+            e = self.table.get(cluster) or self.compile(cluster) or Entry(cluster)
+            if e.script is not None:
+                run.append(e)
+            elif e.form:
+                if run:
+                    pure &= self._close(run, out)
+                    run = []
+                out.append(e.form)
+        if run:
+            pure &= self._close(run, out)
+        return "".join(out), pure
+
+    @staticmethod
+    def _close(run: list[Entry], out: list[str]) -> bool:
+        """Writes a run of letters in one script if there is one; whether there is."""
+        count: dict[str, int] = {}
+        for e in run:
+            if e.script:
+                count[e.script] = count.get(e.script, 0) + 1
+        if len(count) < 2:
+            out.extend(e.form for e in run)
+            return True
+        for target in sorted(count, key=lambda s: (-count[s], s != "LATIN")):
+            if all(e.script in (target, "") or target in e.alike for e in run):
+                out.extend(e.form if e.script in (target, "") else e.alike[target] for e in run)
+                return True
+        out.extend(e.alike.get("LATIN", e.form) for e in run)
+        return False
 
 
-#: Precomputed and checked: full-width forms, spaces, composed letters in decomposed spelling.
-TABLE = compile_table(
+#: Precomputed and checked: ASCII, full-width forms, spaces, decomposed letters, and every look-alike with its letter.
+TRANSDUCER = Transducer(
     [chr(c) for c in range(0x20, 0x7F)]
     + [chr(c) for c in range(0xFF01, 0xFF5F)]
-    + [unicodedata.normalize("NFD", chr(c)) for c in range(0xC0, 0x250)]
-    + [" ", " ", " ", " ", "　"]
+    + [f(chr(c)) for c in range(0xC0, 0x250) for f in (str, lambda c: unicodedata.normalize("NFD", c))]
+    + [f(c) for pair in LOOKALIKE.items() for c in pair for f in (str, lambda c: unicodedata.normalize("NFD", c))]
+    + ["\xa0", "\u2009", "\u202f", "\u3000"]
 )
 
 
-def _one_script(run: str) -> str:
-    scripts: dict[str, int] = {}
-    for c in run:
-        s = _script(c)
-        if s != "Common":
-            scripts[s] = scripts.get(s, 0) + 1
-    if len(scripts) < 2:
-        return run
-    for target in sorted(scripts, key=lambda s: (-scripts[s], s != "Latin")):
-        swap = LOOKALIKE if target == "Latin" else _BACK.get(target, {})
-        if all(_script(c) in (target, "Common") or c in swap for c in run):
-            return "".join(c if _script(c) in (target, "Common") else swap[c] for c in run)
-    return "".join(LOOKALIKE.get(c, c) for c in run)  # no script takes them all: as much Latin as there is
-
-
 def plain(text: str) -> str:
     """The plain form of a text."""
-    if text.isascii() and text.isprintable():
-        return text
-    get = TABLE.get
-    out = "".join(f if (f := get(c)) is not None else _cluster(c) for c in _CLUSTER.findall(text))
-    out = unicodedata.normalize("NFC", out)  # marks that met their base once a joiner fell away
-    return unicodedata.normalize("NFC", _RUN.sub(lambda m: m.group() if m.group().isascii() else _one_script(m.group()), out))
+    return text if text.isascii() and text.isprintable() else TRANSDUCER(text)[0]
 
 
 def is_plain(text: str) -> bool:
     """Whether a text is in plain form already (mixed runs that no look-alike resolves are not plain)."""
-    if text.isascii() and text.isprintable():
-        return True
-    if plain(text) != text:
-        return False
-    return all(len({_script(c) for c in m.group()} - {"Common"}) < 2 for m in _RUN.finditer(text))
+    return text.isascii() and text.isprintable() or TRANSDUCER(text) == (text, True)
 
 
 def _values(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,9 +19,10 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from dimskog.llm.corpus import map_batches, note_texts
+from dimskog.llm.corpus import CLUSTER, map_batches, note_texts
 from dimskog.runtime import table
 
 _SPACE = np.array(sorted({9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000}), dtype=np.uint32)
@@ -64,13 +65,12 @@ def successors(text: str, limit: int, overlap: int) -> np.ndarray:
         best = np.where((best < 0) & (last >= half), last, best)
     last = np.maximum.accumulate(np.where(strength >= 1, here, -1))[reach]
     best = np.where((best < 0) & (last > here), last, best)
-    # a hard cut keeps marks, joiners, surrogate-like halves and CRLF together where that still advances
-    joined = np.zeros(n + 1, dtype=bool)
-    if n:
-        mark = ((codes >= 0x300) & (codes < 0x370)) | (codes == 0x200D) | ((codes >= 0xFE00) & (codes < 0xFE10)) | ((codes >= 0x1F3FB) & (codes <= 0x1F3FF))
-        joined[:n] |= mark
-        joined[1:n] |= (codes[:-1] == 0x200D) | ((codes[:-1] == 13) & (codes[1:] == 10))
-    hard = np.maximum.accumulate(np.where(joined, -1, here))[reach]
+    # a hard cut keeps grapheme clusters whole where that still advances
+    whole = np.ones(n + 1, dtype=bool)
+    if (best < 0).any() and not text.isascii() or "\r" in text:
+        whole[:n] = False
+        whole[[m.start() for m in CLUSTER.finditer(text)]] = True
+    hard = np.maximum.accumulate(np.where(whole, here, -1))[reach]
     hard = np.where(hard > here, hard, reach)
     best = np.where(best < 0, hard, best)
     return np.where(reach >= n, n, best)
@@ -138,6 +138,21 @@ def all_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces(note_texts(spark, sf_dir).select("tbl", "row_id", "text"), _limits(spark, sf_dir))
 
 
+def rejoined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per text: its length, whether no piece is over the limit, whether each shares the overlap with the one before,
+    and whether the pieces without their overlaps give the text again."""
+    texts, limits = note_texts(spark, sf_dir).select("tbl", "row_id", "text"), _limits(spark, sf_dir)
+    own = F.when(F.col("piece_no") == 0, F.col("piece")).otherwise(F.expr("substring(piece, overlap_size + 1)"))
+    shared = (F.col("piece_no") == 0) | (F.col("start_pos") == F.col("before") - F.col("overlap_size"))
+    before = F.lag("end_pos").over(W.partitionBy("tbl", "row_id").orderBy("piece_no"))
+    each = pieces(texts, limits).join(F.broadcast(limits), "tbl").withColumn("before", before)
+    back = each.groupBy("tbl", "row_id").agg(
+        F.bool_and(F.length("piece") <= F.col("max_size")).alias("within_limit"), F.bool_and(shared).alias("overlaps"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("piece_no", own.alias("own")))), lambda x: x["own"]), "").alias("again"),
+    )
+    return texts.join(back, ["tbl", "row_id"]).select("tbl", "row_id", F.length("text").cast("long").alias("n_chars"), "within_limit", "overlaps", (F.col("again") == F.col("text")).alias("same"))
+
+
 def found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """tbl, row_id of the rows that had to be cut: those with a second piece."""
     sized = note_texts(spark, sf_dir).select("tbl", "row_id", "text").join(F.broadcast(_limits(spark, sf_dir)), "tbl")

@@ -63,3 +63,15 @@ def test_operator(spark, tables):
     every = pieces.all_pieces(spark, folder).collect()
     assert {(r.tbl, r.row_id, r.n_pieces) for r in every if r.n_pieces == 1} == {("notes", 2, 1), ("notes", 4, 1), ("sv_pure3", 2, 1)}
     assert all(r.piece == ("x " * 100)[r.start_pos : r.end_pos] for r in every if r.tbl == "notes" and r.row_id == 1)
+
+
+def test_hard_cuts_keep_clusters_whole():
+    for unit in ("🇸🇪", "👩‍⚕️", "각", "á", "नि"):
+        t = unit * 60
+        for end in pieces.cuts(t, 21, 0)[:-1]:
+            assert end % len(unit) == 0, (unit, end)
+
+
+def test_rejoined(spark, tables):
+    folder = tables(notes=[(1, "x " * 100, "u"), (2, None, "u"), (3, "", "u"), (4, "🇸🇪" * 99, "u")], rows=[(1, "train", "s", "y" * 41, None)])
+    assert {tuple(r) for r in pieces.rejoined(spark, folder).collect()} == {(t, i, n, True, True, True) for t, i, n in (("notes", 1, 200), ("notes", 3, 0), ("notes", 4, 198), ("sv_pure3", 1, 41))}

@@ -27,9 +27,27 @@ def test_odd_becomes_plain(text, want):
 
 
 def test_conflicts_are_refused(monkeypatch):
-    monkeypatch.setattr(lookalike, "_cluster", lambda c: c + "x")
+    monkeypatch.setattr(lookalike, "_form", lambda c: c + "x")
     with pytest.raises(ValueError):
-        lookalike.compile_table(["a"])
+        lookalike.Transducer(["a"])
+
+
+def test_every_script_with_look_alikes_is_mapped():
+    for text, want in {"Aոna": "Anna", "Կarin": None, "ᎪᎷanda": "AManda", "Օlof": "Olof", "Ꮶarin": "Karin", "а\u030asa": None, "K\u0430\u030artor": "Kårtor"}.items():
+        got = lookalike.plain(text)
+        if want:
+            assert got == want and lookalike.is_plain(got) and not lookalike.is_plain(text)
+    assert not lookalike.is_plain("Կarin") and lookalike.plain("Կarin") == "Կarin"  # looks like no Latin letter
+    assert lookalike.is_plain("東京タワーの") and lookalike.is_plain("ᎠᎡᎢ") and lookalike.is_plain("Հայաստան")
+
+
+def test_once_is_enough():
+    rnd = random.Random(8)
+    pool = ["a", "е", "ο", "\u0301", "\u200b", "\u200d", " ", "\xa0", "Ａ", "1", "ö", "o\u0308", "Ս", "\u1100", "\u1161", "ﾠ", "\ufe0f", "🇸", "🇪", "한", "ß", "\u0345", "µ", "Å"]
+    for _ in range(3_000):
+        t = "".join(rnd.choice(pool) for _ in range(rnd.randint(0, 12)))
+        once = lookalike.plain(t)
+        assert lookalike.plain(once) == once == unicodedata.normalize("NFC", once), (t, once)
 
 
 def test_lookalike_queries(spark, data):
