@@ -189,11 +189,14 @@ def repair_spans(text: str, chain: str) -> list[tuple[int, int, str]]:
 
 @cache
 def _suspect() -> re.Pattern:
-    return re.compile("[" + "".join(re.escape(c) for c in sorted(_lead_chars())) + r"]|(?<=[^\W\d_])[”–°](?=[^\W\d_])")
+    return re.compile("[" + "".join(re.escape(c) for c in sorted(_lead_chars())) + "]")
+
+
+_SIGN = re.compile(r"[”–°](?<=[^\W\d_].)(?=[^\W\d_])")
 
 
 def is_suspect(text: str) -> bool:
-    return _suspect().search(text) is not None
+    return (_suspect().search(text) or _SIGN.search(text)) is not None
 
 
 def best_chain(text: str) -> str | None:

@@ -32,7 +32,7 @@ from dimskog.llm import codecs
 from dimskog.llm.corpus import map_batches, note_texts
 from dimskog.runtime import table
 
-#: At most so many labelled rows are read to learn names; the vocabulary saturates long before.
+#: About so many labelled rows at most teach names; the vocabulary saturates long before.
 LABELLED_ROWS = 8_000
 #: A surname part counts when it joins so many different other parts.
 PART_SUPPORT = 6
@@ -46,16 +46,16 @@ RUN = re.compile(rf"(?:[{UPPER}]\.|{CAP})(?:,? {PARTICLE}*(?:[{UPPER}]\.|{CAP}))
 TOKEN = re.compile(rf"(,? ?)({PARTICLE}*)({CAP}\.?)")
 TITLES = frozenset("dr dr. doktor prof prof. fru herr ssk överläkare st-läkare läkare psykolog sjuksköterska professor".split())
 LONGEST_TITLE = max(map(len, TITLES))
-AT = re.compile(r"@|＠|[\[(] ?(?:at|snabel-?a) ?[\])]", re.I)
+AT = re.compile(r"[@＠\[(](?:(?<=[@＠])| ?(?:at|snabel-?a) ?[\])])", re.I)
 DOT = r"(?:\.| ?[\[(] ?(?:punkt|dot) ?[\])] ?)"
 LONGEST_DOT = len(" [ punkt ] ")
 LOCAL = re.compile(rf"(?:[\w+%-]+{DOT})*[\w+%-]+ ?$", re.I)
 DOMAIN = re.compile(rf" ?(?:[^\W_][\w-]*{DOT})+[^\W\d_]{{2,}}", re.I)
 ROLE = frozenset("info registrator kontakt reception remiss support noreply no-reply kansli postmaster avdelningen mottagningen".split())
-DIGITS = re.compile(r"(?<![\w])[+(]?\d[\d \-./()+]{6,}\d")
+DIGITS = re.compile(r"[+(\d](?<!\w.)(?:(?<=\d)|\d)[\d \-./()+]{6,}\d")
 PHONE = re.compile(r"(?<![\w+/.\-])(?:\+\d{1,3}|00\d\d|0)(?: ?\(0\))?(?:(?: - |[ \-/.])?\d){6,11}(?![\w]|-\d)")
 IDENT = re.compile(r"(?<![\w\-+])(?:(?:19|20)\d\d(\d\d)(\d\d)[-+ ]?\d{4}|\d\d(\d\d)(\d\d)[-+ ]\d{4})(?![\w]|-\d)")
-PASSPORT = re.compile(r"(?<!\w)[A-Z]{2}\d{7}(?!\w)")
+PASSPORT = re.compile(r"[A-Z]{2}(?<!\w..)\d{7}(?!\w)")
 NOT_PERSONAL = re.compile(r"(?:orgnr|(?<!telefon)(?<!tel)(?<!mobil)\w(?:nr|nummer)|ocr|box|mätvärden|portvärde|serie|lot|batch|faktura|artikel|remiss|referens|ref|organisationsnummer)[.:]? ?$", re.I)
 #: No word of the two patterns, with its sign and space, is longer.
 LONGEST_MARK = len("xorganisationsnummer: ")
@@ -78,7 +78,8 @@ DIGIT_WORDS = {"noll": "0", "ett": "1", "en": "1", "två": "2", "tre": "3", "fyr
 DIGIT_WORDS |= {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
 _D = "|".join(DIGIT_WORDS)
 SPELLED = re.compile(rf"(?<!\w)(?:plus )?(?:{_D})(?:[ ,-]+(?:{_D})){{6,}}(?!\w)", re.I)
-_APART = str.maketrans(",-", "  ")
+#: Six digit words after another one, in lower case; begins with a plain set, so that texts without are passed over quickly.
+_MAY_SPELL = re.compile(rf"[ ,-](?:{_D})(?:[ ,-]+(?:{_D})){{5}}")
 #: Characters that encoding damage leaves in a text of ASCII alone.
 _NATIONAL = re.compile("[" + re.escape("".join(codecs.SEVEN_BIT)) + "]")
 
@@ -137,18 +138,20 @@ _NAME = re.compile(rf"[{UPPER}][^\W\d_]*[^\W\d_{UPPER}][^\W\d_]*(?:[-’ ][{UPPE
 def learn_names(spark: SparkSession, sf_dir: str) -> Names:
     """Vocabulary from the masks of at most LABELLED_ROWS rows and from the gazetteer (fixed size).
 
-    The rows are those of lowest hash, so they stand for all sources and days; a value counts when it
-    occurs twice, looks like a name and its span does not begin or end inside a word (shifted masks do).
+    The rows are taken by hash, so they stand for all sources and days; a value counts when it occurs
+    twice, looks like a name and its span does not begin or end inside a word (shifted masks do).
     """
-    rows = table(spark, sf_dir, "sv_pure3").where("size(privacy_mask) > 0 and source_text is not null")
+    every = table(spark, sf_dir, "sv_pure3")
+    rows = every.where("size(privacy_mask) > 0 and source_text is not null")
     names = F.expr(
         "transform(filter(privacy_mask, m -> m.label in ('GIVENNAME', 'SURNAME')), m -> struct(m.label as label, "
         "substring(source_text, m.start_pos + 1, m.end_pos - m.start_pos) as v, "
         "substring(source_text, greatest(m.start_pos, 1), if(m.start_pos > 0, 1, 0)) as b, substring(source_text, m.end_pos + 1, 1) as a))"
     )
     seen: Counter = Counter()
-    sample = rows.select(names.alias("names"), F.xxhash64("row_id").alias("h")).orderBy("h").limit(LABELLED_ROWS)
-    for row in sample.collect():  # bounded
+    each = -(-max(1, every.count()) // LABELLED_ROWS)
+    sample = rows.where(F.pmod(F.xxhash64("row_id"), F.lit(each)) == 0).select(names.alias("names"))
+    for row in sample.collect():  # about LABELLED_ROWS at most
         for m in row.names:
             if m.v and not m.b.isalpha() and not m.a.isalpha() and _NAME.match(m.v) and codecs.best_chain(m.v) is None:
                 seen[m.label, m.v] += 1
@@ -241,17 +244,12 @@ def normal_form(text: str) -> tuple[str, Mapper]:
     if "\ufffd" in text or "?" in text and codecs.questions(text):
         text, marks = _lost(text)
         mapper.add(marks)
-    if _may_spell(text) and SPELLED.search(text):
+    if _MAY_SPELL.search(text.lower()):
         text, marks = _digits(text)
         mapper.add(marks)
     return text, mapper
 
 
-def _may_spell(text: str) -> bool:
-    """Whether a text holds six digit words at all: the seventh of a number may touch a full stop."""
-    return sum(map(DIGIT_WORDS.__contains__, text.lower().translate(_APART).split())) >= 6
-
-
 # ---------------------------------------------------------------- detectors
 
 
