@@ -1,6 +1,6 @@
 """Reading level of each document, in any of its languages.
 
-Sentence lengths, word lengths and syllables (by hyphenation-style rules for each language) feed six
+Sentence lengths, word lengths and syllables (words hyphenated by rules of each language) feed six
 classic formulas - Flesch-Kincaid, Gunning fog, SMOG, automated readability, Coleman-Liau and the
 Anderson grade of Bjoernsson's long-word rate.  The median of these grades is the estimate; a formula
 that a layout misleads (a list without full stops, a text in capitals) is outvoted.  The language comes
@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from statistics import median
 
 import numpy as np
@@ -41,67 +42,89 @@ _WORDS_OF = {lang: frozenset(w.split()) for lang, w in FUNCTION_WORDS.items()}
 LONG_WORD_GRADES = (0.2, 0.5, 0.8, 1.3, 1.8, 2.4, 3.0, 3.7, 4.5, 5.3, 6.2, 7.2)
 
 WORD = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*")
-SENTENCE = re.compile(r"[.!?…]+[\"”’)\]]*(?=\s|$)|\n[ \t]*(?=[-•*\d]|\n)|\n+")
+LETTER = re.compile(r"[^\W\d_]")
+STOPS = re.compile(r"[.!?…]")
+STOP = re.compile(r"[.!?…]+[\"”’)\]]*(?=\s|$)")
 ABBREVIATION = re.compile(r"\b(?:t\.ex|bl\.a|d\.v\.s|m\.m|o\.s\.v|ca|kl|dr|prof|mr|mrs|e\.g|i\.e|nr|tel|jfr|f\.ö|s\.k)\.$", re.I)
 
-_NUCLEI = {
-    "sv": re.compile(r"[aeiouyåäöéüà]"),  # every vowel is a nucleus but for the few below
-    "no": re.compile(r"(?:ei|øy|au|ai|oi|[aeiouyæøåéü])"),
-    "fi": re.compile(r"(?:aa|ee|ii|oo|uu|yy|ää|öö|ai|ei|oi|ui|yi|äi|öi|au|eu|iu|ou|ey|iy|äy|öy|ie|uo|yö|[aeiouyäöå])"),
-    "en": re.compile(r"[aeiouy]+"),
+#: Vowels that are one nucleus; a run of vowels is cut into as many as the language speaks.
+_NUCLEUS = {
+    "sv": re.compile(r"[ae]u(?=[a-zåäö])|(?<=[st])io(?=n)|(?<!q)u|[aeioyåäöéüà]"),
+    "no": re.compile(r"ei|øy|au|ai|oi|[aeiouyæøåéü]"),
+    "fi": re.compile(r"aa|ee|ii|oo|uu|yy|ää|öö|ai|ei|oi|ui|yi|äi|öi|au|eu|iu|ou|ey|iy|äy|öy|ie|uo|yö|[aeiouyäöå]"),
+    "en": re.compile(r"(?:(?!ia|io(?!u|n)|eo|iu|uo|ua(?!r)|ying)[aeiouy])*[aeiouy]"),
 }
-_SV_GLIDES = re.compile(r"au(?=[a-zåäö])|eu(?=[a-zåäö])|(?<=[st])io(?=n)|qu")
 _EN_SILENT = re.compile(r"(?:[^aeiouyl]e|[^aeiouy]le(?<!.[^aeiouy]le)|[^aeioudt]ed|[^aeiouscxz]es)$")
-_EN_SPLIT = re.compile(r"ia|io(?!u|n)|eo|iu|uo|ua(?!r)|ying")
+#: Consonants that may begin a syllable together; Finnish syllables begin with one.
+_ONSET = re.compile(r"(?:s?(?:[ptk][rlvj]?|ch|[mnlv])|[bdfgv][rlj]?|[tpswgc]h|sj|ck|[^\W\d_])$")
+
+#: Words of a language whose measures are kept a process; a fuller memory only saves work.
+_KEPT = 200_000
+_KNOWN: dict[str, dict[str, tuple]] = {lang: {} for lang in _WORDS_OF}
+
+
+def hyphenated(word: str, lang: str) -> list[str]:
+    """The syllables of a word in lower case: one a nucleus, consonants between two going to the later as far as they can begin it."""
+    nuclei = [m.span() for m in _NUCLEUS[lang].finditer(word)]
+    if lang == "en" and len(nuclei) > 1 and _EN_SILENT.search(word):
+        nuclei.pop()
+    cuts = [0]
+    for (_, a), (b, _) in zip(nuclei, nuclei[1:]):
+        cluster = word[a:b]
+        onset = (cluster[-1:] if lang == "fi" else m.group() if (m := _ONSET.search(cluster)) else "")
+        cuts.append(b - len(onset))
+    return [word[a:b] for a, b in zip(cuts, [*cuts[1:], len(word)])]
 
 
 def syllables(word: str, lang: str) -> int:
-    w = word.lower()
-    n = len(_NUCLEI[lang].findall(w))
-    if lang == "sv":
-        n -= len(_SV_GLIDES.findall(w))
-    elif lang == "en":
-        n += len(_EN_SPLIT.findall(w))
-        if n > 1 and _EN_SILENT.search(w):
-            n -= 1
-    return max(1, n)
+    return len(hyphenated(word.lower(), lang))
 
 
-def language(words: list[str]) -> str:
-    """The language with most function words; ties and none go to Swedish, then in listed order."""
-    return max(_WORDS_OF, key=lambda lang: (sum(w in _WORDS_OF[lang] for w in words), lang == "sv"))
+def language(words: dict[str, int]) -> str:
+    """The language with most function words of counted words; ties and none go to Swedish, then in listed order."""
+    return max(_WORDS_OF, key=lambda lang: (sum(map(words.get, _WORDS_OF[lang] & words.keys())), lang == "sv"))
 
 
 def count_sentences(text: str) -> int:
-    n, at = 0, 0
-    for m in SENTENCE.finditer(text):
-        part = text[at : m.end()]
-        if part[-1:] in "." and ABBREVIATION.search(text[max(0, m.end() - 12) : m.end()]):
-            continue
-        if WORD.search(part):
-            n += 1
-        at = m.end()
-    return n + bool(WORD.search(text[at:]))
+    """Stretches with a letter between full stops and line ends; an abbreviation's stop ends none."""
+    n = 0
+    for line in text.split("\n"):
+        at = 0
+        if STOPS.search(line):
+            for m in STOP.finditer(line):
+                end = m.end()
+                if line[end - 1] == "." and ABBREVIATION.search(line, max(0, end - 12), end):
+                    continue
+                n += LETTER.search(line, at, end) is not None
+                at = end
+        n += LETTER.search(line, at) is not None
+    return n
+
+
+def _measured_word(word: str, lang: str) -> tuple[int, int, bool, bool]:
+    """(syllables, letters, long, of many syllables); an unbroken run of letters is one long word, not a measure of its own."""
+    n = syllables(word[:200], lang)
+    out = min(n, 12), min(len(word), 30), len(word) > 6, n > 2
+    if len(_KNOWN[lang]) < _KEPT:
+        _KNOWN[lang][word] = out
+    return out
 
 
 def measures(text: str | None) -> tuple | None:
     """(language, sentences, words, lix, flesch, fk, fog, smog, ari, coleman_liau, rix_grade, grade)."""
-    found = WORD.findall(text) if text else []
-    if not found:
+    words = Counter(WORD.findall(text.lower())) if text else {}
+    if not words:
         return None
-    low = [w.lower() for w in found]
-    lang = language(low)
-    w, s = len(found), max(1, count_sentences(text))
-    memo: dict[str, int] = {}
+    lang = language(words)
+    known = _KNOWN[lang]
+    w, s = words.total(), max(1, count_sentences(text))
     syl = long = many = letters = 0
-    for x in low:
-        n = memo.get(x)
-        if n is None:
-            n = memo[x] = syllables(x, lang)
-        syl += min(n, 12)  # an unbroken run of letters is one long word, not a measure of its own
-        letters += min(len(x), 30)
-        long += len(x) > 6
-        many += n > 2
+    for x, k in words.items():
+        a, b, c, d = known.get(x) or _measured_word(x, lang)
+        syl += a * k
+        letters += b * k
+        long += c * k
+        many += d * k
     fk = 0.39 * w / s + 11.8 * syl / w - 15.59
     fog = 0.4 * (w / s + 100 * many / w)
     smog = 1.043 * math.sqrt(many * 30 / s) + 3.1291
