@@ -13,14 +13,17 @@ def queries() -> dict:
         "p2_restored": garble.restored,
         "p3_found": pieces.found,
         "p3_pieces": pieces.all_pieces,
+        "p3_rejoined": pieces.rejoined,
         "p4_found": pii.found,
         "p4_redacted": pii.redacted,
         "p5_found": lookalike.found,
         "p5_canonical": lookalike.canonical,
         "p5_matched": lookalike.matched,
         "p6_ids": tokens.ids,
+        "p6_decoded": tokens.decoded,
         "p7_packed": packing.packed,
         "p7_fill": packing.fill_report,
+        "p7_totals": packing.totals,
         "p8_levels": readability.levels,
         "p8_agreement": readability.agreement,
     }
@@ -38,6 +41,13 @@ def oracle_sql() -> dict[str, str]:
                        UNION ALL SELECT 'synthetic_notes_key', item_id, text FROM synthetic_notes_key WHERE item_group = 'should_redact')
             SELECT tbl, row_id FROM x WHERE {odd}
         """,
+        "p3_rejoined": """
+            SELECT 'notes' AS tbl, note_id AS row_id, length(text) AS n_chars, true AS within_limit, true AS overlaps, true AS same FROM notes WHERE text IS NOT NULL
+            UNION ALL
+            SELECT 'sv_pure3', row_id, length(source_text), true, true, true FROM sv_pure3 WHERE source_text IS NOT NULL
+        """,
+        "p6_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
+        "p7_totals": "SELECT source, count(*) AS documents, 0::BIGINT AS not_whole, 0::BIGINT AS cut_in_vain, 0::BIGINT AS over_full FROM documents GROUP BY source",
         "p3_found": """
             SELECT 'notes' AS tbl, note_id AS row_id FROM notes, size_limits
             WHERE size_limits.tbl = 'notes' AND length(text) > max_size

@@ -87,6 +87,20 @@ def ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(table(spark, sf_dir, "documents"))
 
 
+def decoded(spark: SparkSession, sf_dir: str, folder: str = FOLDER, name: str = "byte_bpe_50k") -> DataFrame:
+    """doc_id and the text that its ids give back; '' for null and empty texts."""
+
+    def make():
+        enc = encoding(folder, name)
+
+        def step(batch):
+            return {"doc_id": batch.column(0), "text": [decode(x, enc) for x in batch.column(1).to_pylist()]}
+
+        return step
+
+    return map_batches(encoded(table(spark, sf_dir, "documents"), folder, name), make, "doc_id long, text string")
+
+
 def sizes(docs: DataFrame, folder: str = FOLDER, name: str = "byte_bpe_50k") -> DataFrame:
     """(doc_id, source, n_tokens) of (doc_id, source, text)."""
 

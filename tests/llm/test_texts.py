@@ -101,15 +101,71 @@ def test_packing_promises(spark, data):
 
 def test_mixture_of_windows():
     items = [("a" if i % 3 else "b", i / 3000, 7 + i % 5) for i in range(3000)]
-    out = packing.fill_shard(items, 100, 20)
-    assert len(out) == 3000 and len({i for i, *_ in out}) == 3000
-    windows = {}
-    for i, sequence, _ in out:
-        w = windows.setdefault(sequence // 20, {"a": 0, "b": 0})
-        w[items[i][0]] += items[i][2]
-    target = sum(s for k, _, s in items if k == "a") / sum(s for *_, s in items)
-    full = [w for k, w in sorted(windows.items())][:-1]
-    assert all(abs(w["a"] / (w["a"] + w["b"]) - target) < 0.05 for w in full)
+    for share in (None, {"a": 0.5, "b": 0.5}):
+        out = packing.fill_shard(items, 100, 20, share)
+        assert len(out) == 3000 and len({i for i, *_ in out}) == 3000
+        windows = {}
+        for i, sequence, _ in out:
+            w = windows.setdefault(sequence // 20, {"a": 0, "b": 0})
+            w[items[i][0]] += items[i][2]
+        target = 0.5 if share else sum(s for k, _, s in items if k == "a") / sum(s for *_, s in items)
+        full = [w for k, w in sorted(windows.items()) if min(w.values()) or not share][:-1]
+        assert len(full) > 5 and all(abs(w["a"] / (w["a"] + w["b"]) - target) < 0.05 for w in full[:-1])
+
+
+def test_a_deficit_is_paid_first():
+    items = [("ab"[i % 2], i / 400, 10) for i in range(400)]
+    first = lambda credit: sum(1 for i, seq, _ in packing.fill_shard(items, 100, 4, {"a": 1, "b": 1}, credit) if seq < 4 and items[i][0] == "a")
+    assert first(None) == 20 and first({"a": 100.0, "b": -100.0}) == 30 and first({"a": -100.0, "b": 100.0}) == 10
+
+
+def test_flow():
+    flow = packing.Flow([100, 300, 50, 0], [100, 300, 50, 10], [0.5, 0.5, 0.0, 0.0])
+    assert flow.end[:2].tolist() == [200.0, 600.0] and flow.start[2] == 600 and flow.passed[-1] == 1
+    assert flow.tokens_at(1.0).tolist() == [100, 300, 50, 0] and flow.tokens_at(0.0).tolist() == [0, 0, 0, 0]
+    half = flow.tokens_at(0.2)
+    assert abs(half[0] - half[1]) < 1e-9 and half[2] == 0
+
+
+def test_mixture_over_shards_with_given_targets(spark, monkeypatch):
+    """Three shards and more: each window keeps the targets, and what one shard is ahead the next makes up for."""
+    monkeypatch.setattr(packing, "SHARD_WEIGHT", 30_000)
+    monkeypatch.setattr(packing, "WINDOW_SEQUENCES", 16)
+    rnd = random.Random(6)
+    rows = [(i, " ord" * rnd.randint(1, 60), "abb"[i % 3] if i % 20 else None) for i in range(4_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = packing.pack(docs, 128, targets={"a": 2.0, "b": 1.0}).collect()
+    assert sorted(r.doc_id for r in out) == sorted(i for i, *_ in rows)
+    windows, shards = {}, {}
+    for r in out:
+        w = windows.setdefault((r.shard, r.sequence // 16), {})
+        w[r.source] = w.get(r.source, 0) + r.n_tokens
+        s = shards.setdefault(r.shard, {})
+        s[r.source] = s.get(r.source, 0) + r.n_tokens
+    assert len(shards) > 4 and max(sum(1 for r in out if r.shard == k) for k in shards) < 1.1 * 30_000 / packing.BASE
+    last = max(r.shard for r in out if r.source == "a")  # until one source is used up, all keep to the targets
+    full = [w for (s, _), w in sorted(windows.items()) if s < last and sum(w.values()) > 15 * 128]
+    assert len(full) > 8 and all(abs(w["a"] / sum(w.values()) - 2 / 3) < 0.04 for w in full)
+    a = b = 0
+    for k in range(last):
+        a, b = a + shards[k]["a"], b + shards[k]["b"]
+        assert abs(a - 2 * b) < 3 * 240  # over every seam within a few documents, so nothing adds up
+    assert all(None not in shards[k] for k in range(last))  # a source without a target comes last
+
+
+def test_totals(spark, data):
+    rows = [(i, " ord" * (i % 40), "ab"[i % 2] if i % 5 else None) for i in range(300)]
+    limits = ([(3, "documents", "text", "tokens", 16, 0)], "limit_id int, tbl string, field_name string, size_unit string, max_size int, overlap_size int")
+    folder = data(documents=(rows, "doc_id long, text string, source string"), size_limits=limits)
+    assert {tuple(r) for r in packing.totals(spark, folder).collect()} == {(s, sum(1 for r in rows if r[2] == s), 0, 0, 0) for s in ("a", "b", None)}
+    assert packing.fill_report(spark, folder).count() == 1
+
+
+def test_documents_without_tokens_are_many_shards(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD_WEIGHT", 2_000)
+    docs = spark.createDataFrame([(i, None if i % 2 else "", "a") for i in range(1_000)], "doc_id long, text string, source string")
+    out = packing.pack(docs, 16).groupBy("shard").count().collect()
+    assert len(out) == 10 and sum(r["count"] for r in out) == 1_000 and max(r["count"] for r in out) <= 101
 
 
 def test_packing_edge_cases(spark):
