@@ -4,8 +4,8 @@ Pointer doubling
 ----------------
 Every position of a text has at most one legal successor: the farthest cut that keeps the piece within
 the limit, taken at the strongest break of the later half of the reach (blank line, line, sentence,
-clause, word), else at the farthest word break of the reach, else at the limit itself (never inside a
-grapheme cluster).  A piece starts ``overlap`` code points before the cut of the one before.  The
+clause, word), else at the farthest word break of the reach, else at the limit itself (not inside a
+grapheme cluster that fits).  The first cut leaves more than the overlap before it.  A piece starts ``overlap`` code points before the cut of the one before.  The
 successor table of all positions is built with array operations; squaring it (table of 1, 2, 4, ...
 steps) yields all greedy cuts from the start in log2(pieces) rounds instead of one after another.
 
@@ -57,21 +57,23 @@ def successors(text: str, limit: int, overlap: int) -> np.ndarray:
     strength = strengths(codes)
     here = np.arange(n + 1)
     reach = np.minimum(here - np.where(here == 0, 0, overlap) + limit, n)
-    half = np.maximum(here + 1, (here + reach + 1) // 2)
+    least = here + 1
+    least[0] = overlap + 1  # the second piece begins inside the text
+    half = np.maximum(least, (here + reach + 1) // 2)
     best = np.full(n + 1, -1, dtype=np.int64)
     for k in (5, 4, 3, 2, 1):
         last = np.maximum.accumulate(np.where(strength >= k, here, -1))
         last = last[reach]
         best = np.where((best < 0) & (last >= half), last, best)
     last = np.maximum.accumulate(np.where(strength >= 1, here, -1))[reach]
-    best = np.where((best < 0) & (last > here), last, best)
+    best = np.where((best < 0) & (last >= least), last, best)
     # a hard cut keeps grapheme clusters whole where that still advances
     whole = np.ones(n + 1, dtype=bool)
     if (best < 0).any() and not text.isascii() or "\r" in text:
         whole[:n] = False
         whole[[m.start() for m in CLUSTER.finditer(text)]] = True
     hard = np.maximum.accumulate(np.where(whole, here, -1))[reach]
-    hard = np.where(hard > here, hard, reach)
+    hard = np.where(hard >= least, hard, reach)
     best = np.where(best < 0, hard, best)
     return np.where(reach >= n, n, best)
 

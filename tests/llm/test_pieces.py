@@ -27,7 +27,7 @@ def test_doubling_equals_greedy(limit, overlap):
         ends = pieces.cuts(t, limit, overlap)
         assert ends == ([len(t)] if len(t) <= limit else one_by_one(t, limit, overlap))
         spans = pieces.spans(t, limit, overlap)
-        assert all(e - s <= limit for s, e in spans) and spans[-1][1] == len(t) and spans[0][0] == 0
+        assert all(0 <= s and e - s <= limit for s, e in spans) and spans[-1][1] == len(t) and spans[0][0] == 0
         assert all(b[0] == a[1] - overlap for a, b in zip(spans, spans[1:]))
         whole = t[spans[0][0] : spans[0][1]] + "".join(t[a[1] : b[1]] for a, b in zip(spans, spans[1:]))
         assert whole == t
@@ -50,6 +50,11 @@ def test_random_promises():
         assert pieces.cuts(t, limit, overlap) == ([len(t)] if len(t) <= limit else one_by_one(t, limit, overlap))
 
 
+def test_first_piece_is_longer_than_the_overlap():
+    t = "kort ord " + "x" * 300
+    assert pieces.spans(t, 60, 40)[:2] == [(0, 60), (20, 80)]
+
+
 def test_bad_overlap():
     with pytest.raises(ValueError):
         pieces.cuts("x" * 99, 10, 10)
