@@ -15,7 +15,10 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_KINDS = {"int": (T.IntegerType(), pa.int32()), "bigint": (T.LongType(), pa.int64()), "string": (T.StringType(), pa.string()), "double": (T.DoubleType(), pa.float64())}
+_KINDS = {
+    "int": (T.IntegerType(), pa.int32()), "bigint": (T.LongType(), pa.int64()), "string": (T.StringType(), pa.string()), "double": (T.DoubleType(), pa.float64()),
+    "boolean": (T.BooleanType(), pa.bool_()),
+}
 
 
 def array_of(fields: dict[str, str]) -> T.ArrayType:

@@ -40,7 +40,7 @@ def units(text: Column) -> Column:
     return F.flatten(F.transform(lines, of_line))
 
 
-def packed(parts: Column, most: int) -> Column:
+def packed(parts: Column, most: int | Column) -> Column:
     """Units packed in order into chunks of at most ``most`` characters; a longer unit is a chunk alone."""
     zero = F.struct(F.lit(None).cast("struct<start:int,end:int>").alias("now"), F.array().cast(UNIT).alias("out"))
 
@@ -54,16 +54,19 @@ def packed(parts: Column, most: int) -> Column:
     return F.aggregate(parts, zero, step, lambda acc: F.when(acc["now"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(acc["now"]))))
 
 
-def windows(text: Column, size: int, overlap: int) -> Column:
+def windows(text: Column, size: int | Column, overlap: int) -> Column:
     """Character windows with an overlap; the last one is the first to reach the end."""
-    step = max(size - overlap, 1)
+    size = F.lit(size) if isinstance(size, int) else size
+    step = F.greatest(size - overlap, F.lit(1))
     n = F.length(text)
     count = F.when(n <= 0, 0).otherwise(F.greatest(F.lit(1), F.ceil((n - size) / step).cast("int") + 1))
     index = F.slice(F.sequence(F.lit(0), F.greatest(count, F.lit(1))), F.lit(1), count)
     return F.transform(index, lambda i: F.struct((i * step).cast("int").alias("start"), F.least(i * step + size, n).cast("int").alias("end")))
 
 
-_breaks = scanner([("", r"\n|(?<=\.)\s+")])
+# Fixed value: what ends a training chunk.
+CHUNK_BREAK = r"\n|(?<=\.)\s+"
+_breaks = scanner([("", CHUNK_BREAK)])
 
 
 def training_chunks(rows: DataFrame, key: str) -> DataFrame:

@@ -1,18 +1,23 @@
 """Conflict resolution: which of overlapping entities stand, and who owns each stretch of text.
 
-Both kernels are native: the greedy acceptance is a fold over a sorted array (one document's findings,
-bounded by its length), the redaction plan is windows over atomic intervals, keyed by document.
+Both work on the array of one document's findings, bounded by its length: the greedy acceptance is a
+native fold over the sorted array, the redaction plan an Arrow pass that sweeps over its boundaries.
 """
 
 from __future__ import annotations
 
+from heapq import heappop, heappush
+from itertools import pairwise
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from dimskog.functions.scan import array_of, lists
 from dimskog.functions.text import strip
 from dimskog.schema import DIRECT, ENTITY_TYPE, GROUND_TRUTH, PROTECTED, is_direct
 
+_DIRECT, _PROTECTED, _TRUTH = frozenset(DIRECT), frozenset(PROTECTED), frozenset(GROUND_TRUTH)
 FIELDS = ("seq", "text", "label", "start", "end", "source", "confidence", "generalized", "risk")
 
 
@@ -78,40 +83,62 @@ def greedy(entities: DataFrame, keys: list[str]) -> DataFrame:
     return kept.select(*keys, F.col("rank").cast("long").alias("rank"), "e.*")
 
 
+_FRAGMENT = {
+    "seq": "bigint", "text": "string", "label": "string", "source": "string", "start": "int", "end": "int", "whole": "boolean", "generalized": "string",
+}
+
+
+def owned(entities: list[dict]) -> list[tuple]:
+    """The fragments of one document, by position: a sweep over its boundaries with a heap of the open entities.
+
+    The least open entity by (direct, protected ground truth, longest, first) owns each stretch; stretches
+    of one owner that touch are one fragment.
+    """
+    spans = sorted((e["start"], i) for i, e in enumerate(entities) if e["start"] < e["end"])
+    bounds = sorted({x for s, i in spans for x in (s, entities[i]["end"])})
+    order = [(e["label"] not in _DIRECT, not (e["source"] in _TRUTH and e["label"] in _PROTECTED), e["start"] - e["end"], e["seq"], i) for i, e in enumerate(entities)]
+    pieces: list[list[int]] = []
+    mine = [0] * len(entities)
+    open_: list[tuple] = []
+    at = 0
+    for lo, hi in pairwise(bounds):
+        while at < len(spans) and spans[at][0] == lo:
+            heappush(open_, order[spans[at][1]])
+            at += 1
+        while open_ and entities[open_[0][-1]]["end"] <= lo:
+            heappop(open_)
+        if open_:
+            i = open_[0][-1]
+            mine[i] += hi - lo
+            if pieces and pieces[-1][0] == i and pieces[-1][2] == lo:
+                pieces[-1][2] = hi
+            else:
+                pieces.append([i, lo, hi])
+    out = []
+    for i, lo, hi in pieces:
+        e = entities[i]
+        whole = mine[i] == e["end"] - e["start"]
+        text = e["text"] if whole or e["text"] is None else e["text"][lo - e["start"] : hi - e["start"]]
+        out.append((e["seq"], text, e["label"], e["source"], lo, hi, whole, e["generalized"] if whole else None))
+    return out
+
+
+@F.arrow_udf(array_of(_FRAGMENT))
+def fragments(entities: pa.Array) -> pa.Array:
+    """``owned`` over arrays of entities; null stays null."""
+    return lists([None if es is None else owned(es) for es in entities.to_pylist()], _FRAGMENT)
+
+
 def plan(entities: DataFrame, keys: list[str]) -> DataFrame:
-    """Non-overlapping fragments (keys, seq, label, source, start, end, generalized, whole) that cover every entity.
+    """Non-overlapping fragments (keys, seq, label, source, start, end, whole, generalized, text) that cover every entity.
 
     Each stretch between neighbouring boundaries belongs to the covering entity that is direct, then
     protected ground truth, then longest, then first.  An entity that owns all of its span keeps its
-    generalization, a fragment has none.  Joins carry the document keys, so they hash on them.
+    generalization, a fragment has none.  One shuffle gathers a document's entities.
     """
-    e = entities.where("start < end").select(*keys, "seq", "text", "label", "source", "start", "end", "generalized")
-    cuts = e.select(*keys, F.explode(F.array("start", "end")).alias("lo")).distinct()
-    pieces = cuts.withColumn("hi", F.lead("lo").over(W.partitionBy(*keys).orderBy("lo"))).where("hi is not null")
-    same = [pieces[k].eqNullSafe(e[k]) for k in keys]
-    cover = pieces.join(e, [*same, e["start"] <= pieces["lo"], e["end"] >= pieces["hi"]])
-    cover = cover.select(*[pieces[k] for k in keys], "lo", "hi", "seq", "text", "label", "source", "start", "end", "generalized")
-    order = F.struct(
-        (~is_direct(F.col("label"))).cast("int"),
-        (~F.coalesce(F.col("source").isin(*GROUND_TRUTH) & F.col("label").isin(*PROTECTED), F.lit(False))).cast("int"),
-        F.col("start") - F.col("end"),
-        F.col("seq"),
-    )
-    owner = cover.groupBy(*keys, "lo", "hi").agg(F.min_by(F.struct("seq", "text", "label", "source", "start", "end", "generalized"), order).alias("o"))
-    owned = owner.select(*keys, "lo", "hi", "o.*")
-    by = W.partitionBy(*keys, "seq").orderBy("lo")
-    marked = owned.withColumn("new", F.coalesce((F.lag("hi").over(by) != F.col("lo")).cast("int"), F.lit(1)))
-    marked = marked.withColumn("island", F.sum("new").over(by)).withColumn("mine", F.sum(F.col("hi") - F.col("lo")).over(W.partitionBy(*keys, "seq")))
-    whole = F.col("mine") == F.col("end") - F.col("start")
-    return (
-        marked.withColumn("whole", whole)
-        .groupBy(*keys, "seq", "island", "label", "source", "whole", F.col("generalized").alias("g"), F.col("text").alias("full_text"), F.col("start").alias("full_start"))
-        .agg(F.min("lo").alias("start"), F.max("hi").alias("end"))
-        .select(
-            *keys, "seq", "label", "source", "start", "end", "whole", F.when(F.col("whole"), F.col("g")).alias("generalized"),
-            F.when(F.col("whole"), F.col("full_text")).otherwise(F.expr("substring(full_text, start - full_start + 1, end - start)")).alias("text"),
-        )
-    )
+    docs = collected(entities.where("start < end"), keys)
+    each = docs.select(*keys, F.explode(fragments(F.col("entities"))).alias("f"))
+    return each.select(*keys, *[f"f.{c}" for c in ("seq", "label", "source", "start", "end", "whole", "generalized", "text")])
 
 
-__all__ = ["accept", "collected", "distrust", "entity", "greedy", "plan", "ranked", "DIRECT"]
+__all__ = ["accept", "collected", "distrust", "entity", "fragments", "greedy", "plan", "ranked", "DIRECT"]

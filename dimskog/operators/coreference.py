@@ -9,12 +9,12 @@ from __future__ import annotations
 import re
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimskog.functions.scan import array_of, lists
 
-# Titles that are no part of a name.
+# Titles that are no part of a name, and the length of the shortest part.
 TITLES = frozenset(("dr", "dr.", "professor", "prof", "prof."))
 SHORTEST = 3
 
@@ -54,11 +54,20 @@ _FOUND = {"seq": "bigint", "start": "int", "end": "int"}
 def _mentions(texts: pa.Array, entities: pa.Array) -> pa.Array:
     rows = []
     for t, es in zip(texts.to_pylist(), entities.to_pylist()):
+        if t is None or es is None:
+            rows.append(None)
+            continue
         known = sorted((e["seq"], e["text"], e["label"], e["start"], e["end"]) for e in es)
         rows.append(mentions(t, known))
     return lists(rows, _FOUND)
 
 
+def new_mentions(text: Column, entities: Column) -> Column:
+    """``mentions`` as an array over an array of (seq, text, label, start, end); null text or entities give null."""
+    one = lambda e: F.struct(e["seq"].alias("seq"), F.coalesce(e["text"], F.lit("")).alias("text"), F.coalesce(e["label"], F.lit("")).alias("label"), e["start"].alias("start"), e["end"].alias("end"))
+    return F.when(text.isNotNull() & entities.isNotNull(), _mentions(text, F.transform(entities, one)))
+
+
 def propagate(docs: DataFrame, entities: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, n, seq, start, end, text) of the new mentions, in order of discovery; seq is the entity cloned.
 

@@ -2,8 +2,8 @@
 
 A pattern starts and ends with a letter or digit and must stand between others, so an occurrence is a
 run of whole tokens.  The scan is therefore an equi-join: every token n-gram of a text (n up to the
-longest pattern) against the patterns.  Texts with many tokens stay native; nothing is broadcast
-unless the patterns are below the session's broadcast limit.
+longest pattern, which is counted) against the patterns.  Nothing is broadcast unless the patterns are
+below the session's broadcast limit.
 """
 
 from __future__ import annotations
@@ -59,26 +59,32 @@ def patterns(rows: DataFrame) -> DataFrame:
 _TOKEN = re.compile(r"[^\W_]+")
 
 
-def _grams(longest: int):
-    """A UDF text -> (start, end, lower-case text) of every run of 1..longest tokens that begins upper-case."""
-    fields = {"start": "int", "end": "int", "text": "string"}
+def _grams(most: int, beyond: int):
+    """A UDF text -> (start, end, text, after) of every run of 1..most tokens that begins upper-case, with what follows it."""
+    fields = {"start": "int", "end": "int", "text": "string", "after": "string"}
 
     @F.arrow_udf(array_of(fields))
     def grams(texts: pa.Array) -> pa.Array:
         out = []
         for t in texts.to_pylist():
             spans = [m.span() for m in _TOKEN.finditer(t)] if t else []
-            out.append(None if t is None else [(s, e, t[s:e]) for i, (s, _) in enumerate(spans) if t[s].isupper() for _, e in spans[i : i + longest]])
+            out.append(None if t is None else [(s, e, t[s:e], t[e : e + beyond]) for i, (s, _) in enumerate(spans) if t[s].isupper() for _, e in spans[i : i + most]])
         return lists(out, fields)
 
     return grams
 
 
-def scan(docs: DataFrame, names: DataFrame, key: str, longest: int = 4) -> DataFrame:
-    """(key, start, end, text, label) of every whole-word occurrence that begins upper-case.
+def scan(docs: DataFrame, names: DataFrame, key: str) -> DataFrame:
+    """(key, start, end, text, label) of every occurrence between non-alphanumerics that begins upper-case.
 
-    ``longest`` is the number of tokens of the longest pattern.  Overlapping hits are all returned.
+    Patterns of any length match, also those that end in signs ("Hotellet (gamla)"); overlapping hits are
+    all returned.  The longest pattern and the longest such ending are counted over all patterns.
     """
-    each = docs.where("text is not null").select(key, F.explode(_grams(longest)(F.col("text"))).alias("g_"))
-    found = each.select(key, "g_.start", "g_.end", "g_.text").withColumn("k_", F.lower("text"))
-    return found.join(names.select(F.col("key").alias("k_"), "label"), "k_").select(key, "start", "end", "text", "label")
+    core = F.regexp_replace("key", r"[^\p{L}\p{N}]+$", "")
+    known = names.select(core.alias("k_"), F.expr("substring(key, length(regexp_replace(key, '[^\\\\p{L}\\\\p{N}]+$', '')) + 1)").alias("tail_"), "label")
+    most, beyond = known.agg(F.max(F.size(F.regexp_extract_all("k_", F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))), F.max(F.length("tail_"))).first()
+    each = docs.where("text is not null").select(key, F.explode(_grams(most or 0, beyond + 1 if beyond else 0)(F.col("text"))).alias("g_"))
+    found = each.select(key, "g_.start", "g_.end", "g_.text", "g_.after").withColumn("k_", F.lower("text"))
+    whole = F.lower("after").startswith(F.col("tail_")) & ~F.expr("substring(after, length(tail_) + 1, 1)").rlike(r"[\p{L}\p{N}]")
+    hits = found.join(known, "k_").where((F.col("tail_") == "") | whole)
+    return hits.select(key, "start", (F.col("end") + F.length("tail_")).alias("end"), F.concat("text", F.expr("substring(after, 1, length(tail_))")).alias("text"), "label")

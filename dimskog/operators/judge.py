@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -43,7 +45,7 @@ def first_flags(flags: DataFrame, key: str) -> DataFrame:
     return flags.where("quote <> ''").withColumn("n_", n).where("n_ = 1").drop("n_")
 
 
-def rounds(docs: DataFrame, review, retry, key: str, most: int = 2):
+def rounds(docs: DataFrame, review, retry, key: str, most: int = 2, min_votes: int = 1):
     """The bounded retry loop: (documents after the last round, surviving flags).
 
     ``review(docs)`` gives flags, ``retry(docs, flags)`` redacted documents.  Only flagged documents go on;
@@ -53,13 +55,10 @@ def rounds(docs: DataFrame, review, retry, key: str, most: int = 2):
 
     done, open_ = [], docs
     for _ in range(most):
-        flags = cut(panel(review(open_), key))
+        flags = cut(panel(review(open_), key, min_votes))
         done.append(open_.join(flags.select(key).distinct(), key, "left_anti"))
         open_ = cut(open_.join(flags.select(key).distinct(), key, "left_semi"))
         if open_.isEmpty():
-            break
+            return reduce(DataFrame.unionByName, done), flags.limit(0)
         open_ = cut(retry(open_, flags))
-    out = open_
-    for d in done:
-        out = out.unionByName(d)
-    return out, panel(review(open_), key)
+    return reduce(DataFrame.unionByName, done, open_), panel(review(open_), key, min_votes)

@@ -1,8 +1,9 @@
 """Token-classification models as detectors: chunk planning, prediction per chunk, decoding, repair.
 
 A model is any object with ``predict(text) -> [(tag, confidence, start, end), ...]`` for the tokens of a
-text, built once a worker process from an importable factory ("module:function").  Predictions come back
-as rows, so decoding, confidence filter, de-duplication and repair are the operators every detector uses.
+text, built once a worker process from an importable factory ("module:function").  Predictions are
+decoded where they are made, so only spans leave the pass; de-duplication and repair are the operators
+every detector uses.  A model that knows its tokens (``count``) has its limit in tokens.
 """
 
 from __future__ import annotations
@@ -54,50 +55,81 @@ def built(factory: str) -> TokenModel:
     return _BUILT[factory]
 
 
-def chunked(docs: DataFrame, key: str, limit: int, by_sentence: bool = True) -> DataFrame:
+def chunked(docs: DataFrame, key: str, limit: int, by_sentence: bool = True, factory: str | None = None) -> DataFrame:
     """(key, chunk_no, start, text): the whole text where it fits the limit, else sentence chunks or windows.
 
-    The limit is in characters; sizes follow the text, so short documents are never cut.
+    The limit is in the tokens of the factory's model if it counts them: a text over it is cut at FILL of
+    the limit by its own characters a token.  Without a count it is in characters.
     """
-    size = max(1, int(limit * FILL))
-    text = F.col("text")
+    text, n = F.col("text"), F.length("text")
+    counted = F.length(text) if factory is None else _counted(factory)(text)
+    known = docs.where(text.isNotNull()).select(key, "text", counted.alias("n_"))
+    size = F.greatest(F.lit(1), F.floor(F.lit(limit * FILL) * n / F.greatest("n_", F.lit(1))).cast("int"))
     cut = chunking.packed(chunking.units(text), size) if by_sentence else chunking.windows(text, size, OVERLAP)
-    whole = F.array(F.struct(F.lit(0).alias("start"), F.length(text).alias("end")))
-    each = docs.where(text.isNotNull()).select(key, "text", F.posexplode(F.when(F.length(text) <= limit, whole).otherwise(cut)).alias("chunk_no", "c_"))
+    whole = F.array(F.struct(F.lit(0).alias("start"), n.alias("end")))
+    each = known.select(key, "text", F.posexplode(F.when(F.col("n_") <= limit, whole).otherwise(cut)).alias("chunk_no", "c_"))
     return each.select(key, F.col("chunk_no").cast("long").alias("chunk_no"), F.col("c_.start").cast("long").alias("start"), F.expr("substring(text, c_.start + 1, c_.end - c_.start)").alias("text"))
 
 
-def tokens(chunks: DataFrame, key: str, factory: str) -> DataFrame:
-    """(key, chunk_no, tok_idx, tag, conf, cs, ce): predictions with offsets of the whole document; special tokens keep (0, 0)."""
-    kind = dict(chunks.dtypes)[key]
+def _counted(factory: str):
+    """A UDF text -> tokens by the model's own count, characters where it has none."""
+
+    @F.arrow_udf("int")
+    def counted(texts: pa.Array) -> pa.Array:
+        count = getattr(built(factory), "count", len)
+        return pa.array([count(t) for t in texts.to_pylist()], pa.int32())
+
+    return counted
+
+
+def _predicted(model: TokenModel, start: int, text: str) -> list[tuple[str, float, int, int]]:
+    """The predictions of a chunk with offsets of the whole document; special tokens keep (0, 0)."""
+    return [(tag, conf, *((0, 0) if s == e == 0 else (s + start, e + start))) for tag, conf, s, e in model.predict(text)]
+
+
+def _each(chunks: DataFrame, key: str, factory: str, step, fields: dict[str, str]) -> DataFrame:
+    """(key, chunk_no, fields) rows of ``step(predictions)`` for each chunk, in one pass."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    schema = ", ".join([f"{key} {dict(chunks.dtypes)[key]}", "chunk_no long", *(f"{k} {t}" for k, t in fields.items())])
+    kinds = to_arrow_schema(StructType.fromDDL(", ".join(f"{k} {t}" for k, t in fields.items())))
 
     def run(batches):
         model = built(factory)
         for b in batches:
-            ids, rows = [], []
+            ids, numbers, rows = [], [], []
             for i, (n, start, text) in enumerate(zip(*(b.column(k).to_pylist() for k in (1, 2, 3)))):
-                for k, (tag, conf, s, e) in enumerate(model.predict(text)):
+                for row in step(_predicted(model, start, text)):
                     ids.append(i)
-                    rows.append((n, k, tag, conf, *((0, 0) if s == e == 0 else (s + start, e + start))))
-            columns = list(zip(*rows)) or [()] * 6
-            kinds = (pa.int64(), pa.int64(), pa.string(), pa.float64(), pa.int64(), pa.int64())
+                    numbers.append(n)
+                    rows.append(row)
+            columns = list(zip(*rows)) or [()] * len(fields)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(pa.array(ids, pa.int64())), *[pa.array(c, t) for c, t in zip(columns, kinds)]],
-                names=[key, "chunk_no", "tok_idx", "tag", "conf", "cs", "ce"],
+                [b.column(0).take(pa.array(ids, pa.int64())), pa.array(numbers, pa.int64()), *[pa.array(c, f.type) for c, f in zip(columns, kinds)]], names=[key, "chunk_no", *fields]
             )
 
-    schema = f"{key} {kind}, chunk_no long, tok_idx long, tag string, conf double, cs long, ce long"
     return chunks.select(key, "chunk_no", "start", "text").mapInArrow(run, schema)
 
 
+def tokens(chunks: DataFrame, key: str, factory: str) -> DataFrame:
+    """(key, chunk_no, tok_idx, tag, conf, cs, ce): the predictions for every token."""
+    fields = {"tok_idx": "long", "tag": "string", "conf": "double", "cs": "long", "ce": "long"}
+    return _each(chunks, key, factory, lambda found: [(k, *x) for k, x in enumerate(found)], fields)
+
+
+def spans(chunks: DataFrame, key: str, factory: str) -> DataFrame:
+    """(key, chunk_no, start, end, label, tokens, confidence): the predictions decoded where they are made."""
+    fields = {"start": "long", "end": "long", "label": "string", "tokens": "long", "confidence": "double"}
+    return _each(chunks, key, factory, tagging.decoded, fields)
+
+
 def detect(docs: DataFrame, key: str, factory: str = "dimskog.operators.model:DictionaryModel", limit: int = 2000, by_sentence: bool = True) -> DataFrame:
     """Entities of a token model (columns of the entity schema): decoded, de-duplicated over chunks, repaired."""
-    tagged = tokens(chunked(docs, key, limit, by_sentence), key, factory)
-    unit = F.struct(F.col(key).alias("k"), "chunk_no").alias("unit_")
-    spans = tagging.decode(tagged.select(unit, "tok_idx", "tag", "conf", "cs", "ce"), "unit_").select(F.col("unit_.k").alias(key), "start", "end", "label", "confidence")
+    spans_ = spans(chunked(docs, key, limit, by_sentence, factory), key, factory).select(key, "start", "end", "label", "confidence")
     order = F.row_number().over(W.partitionBy(key).orderBy("start", "end", "label"))
     none = F.lit(None).cast("string")
-    rows = spans.distinct().select(
+    rows = spans_.distinct().select(
         key, order.cast("long").alias("seq"), F.lit("").alias("text"), "label", F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end"),
         F.lit("bert").alias("source"), "confidence", none.alias("generalized"), F.lit("high").alias("risk"),
     )
@@ -112,4 +144,4 @@ def detect(docs: DataFrame, key: str, factory: str = "dimskog.operators.model:Di
     )
 
 
-__all__ = ["ENTITY", "DictionaryModel", "TokenModel", "built", "chunked", "detect", "tokens"]
+__all__ = ["ENTITY", "DictionaryModel", "TokenModel", "built", "chunked", "detect", "spans", "tokens"]

@@ -11,6 +11,7 @@ TEMPLATES = {
     "full": "Hitta allt som direkt eller indirekt pekar ut en person. Ge för varje ställe {fields}. " + _RULES,
     "quasi": "Namn, nummer och adresser är redan funna ({labels}). Hitta det övriga som i samverkan pekar ut en person. Ge för varje ställe {fields}. " + _RULES,
 }
+SYSTEM = "Du granskar svenska journaltexter så att ingen person kan kännas igen i dem."
 JUDGE = 'Texten nedan är avidentifierad. Ange det som ändå pekar ut en person som JSON-lista av "quote" och "reason". Platshållare inom hakparentes räknas inte.'
 GENERALIZE = 'Skriv om varje numrerat utdrag så att det inte pekar ut någon. Svara med JSON-lista av "index" och "generalize".'
 

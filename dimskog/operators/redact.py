@@ -56,20 +56,37 @@ def splice(text: Column, spans: Column) -> Column:
     return F.aggregate(spans, zero, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
 
 
+def replacements(fragments: Column, no_generalize: bool = False) -> Column:
+    """The (start, end, replacement) spans of an array of fragments, by position."""
+    one = lambda f: F.struct(f["start"].alias("start"), f["end"].alias("end"), replacement(f["text"], f["label"], f["generalized"], no_generalize).alias("replacement"))
+    return F.array_sort(F.transform(fragments, one))
+
+
+def rewritten(text: Column, fragments: Column, no_generalize: bool = False) -> Column:
+    """A text by its plan; without fragments it stays as it is."""
+    return F.when(fragments.isNull(), text).otherwise(splice(text, replacements(fragments, no_generalize)))
+
+
 def redacted(docs: DataFrame, fragments: DataFrame, keys: list[str], no_generalize: bool = False) -> DataFrame:
     """(keys, text, redacted) of documents (keys, text) by their plan; documents without fragments stay as they are."""
-    piece = F.struct("start", "end", replacement(F.col("text"), F.col("label"), F.col("generalized"), no_generalize).alias("replacement"))
-    spans = fragments.groupBy(*keys).agg(F.array_sort(F.collect_list(piece)).alias("spans"))
-    joined = docs.join(spans, keys, "left")
-    return joined.select(*keys, "text", F.when(F.col("spans").isNull(), F.col("text")).otherwise(splice(F.col("text"), F.col("spans"))).alias("redacted"))
+    spans = fragments.groupBy(*keys).agg(F.collect_list(F.struct("start", "end", "text", "label", "generalized")).alias("spans"))
+    return docs.join(spans, keys, "left").select(*keys, "text", rewritten(F.col("text"), F.col("spans"), no_generalize).alias("redacted"))
+
+
+def redact_all(docs: DataFrame, entities: DataFrame, keys: list[str], no_generalize: bool = False) -> DataFrame:
+    """(keys, text, redacted) of documents and their entities: one shuffle of the entities, one join."""
+    from dimskog.operators.conflicts import collected, fragments
+
+    joined = docs.join(collected(entities.where("start < end"), keys), keys, "left")
+    return joined.select(*keys, "text", rewritten(F.col("text"), fragments(F.col("entities")), no_generalize).alias("redacted"))
 
 
-def audit(entities: DataFrame, keys: list[str]) -> DataFrame:
+def audit(entities: DataFrame, keys: list[str], no_generalize: bool = False) -> DataFrame:
     """The audit rows of all entities (not of the plan), numbered by position and list order."""
     from pyspark.sql import Window as W
 
     position = F.row_number().over(W.partitionBy(*keys).orderBy("start", "seq")).cast("long")
     return entities.select(
         *keys, position.alias("position"), F.col("text").alias("original"), "label", F.col("start").cast("long").alias("start_pos"), F.col("end").cast("long").alias("end_pos"),
-        "source", "risk", replacement(F.col("text"), F.col("label"), F.col("generalized")).alias("generalized_to"),
+        "source", "risk", replacement(F.col("text"), F.col("label"), F.col("generalized"), no_generalize).alias("generalized_to"),
     )

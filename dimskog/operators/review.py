@@ -55,8 +55,8 @@ def regions(entities: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def tasks(docs: DataFrame, items: DataFrame, keys: list[str]) -> DataFrame:
-    """One JSON task a document (keys, task): data and a single prediction with all items in order."""
+def tasks(docs: DataFrame, items: DataFrame, keys: list[str], data: list[str] = []) -> DataFrame:
+    """One JSON task a document (keys, task): its text with further ``data`` columns, and a single prediction with all items in order."""
     value = F.struct(
         F.col("start_pos").alias("start"), F.col("end_pos").alias("end"), "text",
         F.when(F.col("type") == "labels", F.array("value")).alias("labels"), F.when(F.col("type") == "choices", F.array("value")).alias("choices"),
@@ -65,11 +65,11 @@ def tasks(docs: DataFrame, items: DataFrame, keys: list[str]) -> DataFrame:
     one = F.struct("region", "item", F.struct("id", "from_name", F.lit("text").alias("to_name"), "type", value.alias("value"), meta.alias("meta")).alias("r"))
     result = items.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(one)), lambda x: x["r"]).alias("result"))
     joined = docs.join(result, keys, "left")
-    task = F.struct(F.struct("text").alias("data"), F.array(F.struct(F.lit("dimskog").alias("model_version"), F.coalesce("result", F.array()).alias("result"))).alias("predictions"))
+    task = F.struct(F.struct("text", *data).alias("data"), F.array(F.struct(F.lit("dimskog").alias("model_version"), F.coalesce("result", F.array()).alias("result"))).alias("predictions"))
     return joined.select(*keys, F.to_json(task).alias("task"))
 
 
-TASK = f"data STRUCT<text: STRING>, predictions ARRAY<STRUCT<result: ARRAY<{ITEM}>>>, annotations ARRAY<STRUCT<was_cancelled: BOOLEAN, result: ARRAY<{ITEM}>>>"
+TASK = f"data STRUCT<text: STRING, output_file: STRING>, predictions ARRAY<STRUCT<result: ARRAY<{ITEM}>>>, annotations ARRAY<STRUCT<was_cancelled: BOOLEAN, result: ARRAY<{ITEM}>>>"
 
 
 def chosen(task: Column, layer: str = "auto") -> Column:

@@ -1,7 +1,9 @@
 """Scores of runs against the gold key: per note, in total, as an ensemble, by seed and side by side.
 
 Gold items meet a run's redacted text and its findings by containment.  The containment itself cannot
-hash, but it always has the note as an equality, and findings are reduced to distinct texts first.
+hash, but it always has the note as an equality.  The items of a note travel as one array, once for each
+of SALTS parts of the other side, so a note that was run every night is split; findings are reduced to
+distinct texts first, and containment is an expression over arrays.
 """
 
 from __future__ import annotations
@@ -12,6 +14,18 @@ from pyspark.sql import functions as F
 from dimskog.functions.text import norm
 
 KEYS = ["run_label", "note"]
+#: Parts that the runs or findings of one note are split into.
+SALTS = 16
+
+
+def _items(gold: DataFrame, *fields: str) -> DataFrame:
+    """(note, salt, items): the gold items of a note as one array, once a salt."""
+    one = gold.groupBy("note").agg(F.collect_list(F.struct(*fields)).alias("items"))
+    return one.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
+def _salted(df: DataFrame, *by: str) -> DataFrame:
+    return df.withColumn("salt", F.pmod(F.xxhash64(*by), F.lit(SALTS)).cast("int"))
 
 
 def item_outcomes(gold: DataFrame, redacted: DataFrame, findings: DataFrame) -> DataFrame:
@@ -26,7 +40,8 @@ def item_outcomes(gold: DataFrame, redacted: DataFrame, findings: DataFrame) ->
     f = findings.select(*KEYS, norm(F.col("original")).alias("o"), (F.coalesce(F.col("label"), F.lit("")) == "medication").alias("med")).where("o <> ''").groupBy(*KEYS).agg(
         F.collect_set("o").alias("all"), F.collect_set(F.when(F.col("med"), F.col("o"))).alias("meds")
     )
-    j = g.join(r, "note").join(f, KEYS, "left")
+    met = _salted(r.join(f, KEYS, "left"), "run_label").join(_items(g, "item_id", "item_group", "pii_type", "n"), ["note", "salt"])
+    j = met.select(*KEYS, "red", "all", "meds", F.explode("items").alias("i")).select(*KEYS, "red", "all", "meds", "i.*")
     kept = (F.col("n") != "") & F.contains("red", "n")
     near = lambda xs: F.coalesce(F.exists(xs, lambda o: F.contains(o, F.col("n")) | F.contains(F.col("n"), o)), F.lit(False)) & (F.col("n") != "")
     kind = F.when(F.col("item_group") == "should_redact", F.col("pii_type")).when(F.col("item_group") == "should_not_flag", "decoy").otherwise("med")
@@ -72,13 +87,19 @@ def ensemble(outcomes: DataFrame, runs: list[str]) -> DataFrame:
     return by.groupBy("kind").agg(F.count("*").alias("total"), F.count_if(hit).alias("hits"))
 
 
+def misses(outcomes: DataFrame, gold: DataFrame) -> DataFrame:
+    """(run_label, note, kind, items): the texts of the items a run missed on a note, sorted, each as often as it was missed."""
+    missed = outcomes.where(~F.col("hit")).join(gold.select("item_id", F.coalesce("text", F.lit("")).alias("text")), "item_id")
+    return missed.groupBy(*KEYS, "kind").agg(F.array_sort(F.collect_list("text")).alias("items"))
+
+
 def detector_compare(gold: DataFrame, findings: DataFrame) -> DataFrame:
     """Per detector: direct items covered, decoys left alone, and findings."""
-    from dimskog.functions.text import overlaps
-
-    g = gold.where("(item_group = 'should_redact' and pii_type = 'direct') or item_group = 'should_not_flag'").select("item_id", F.col("note").alias("gn"), "item_group", "text")
-    f = findings.select("source", "note", "original").where("original is not null").distinct()
-    met = f.join(g, (f.note == g.gn) & overlaps(F.col("original"), F.col("text"))).select("source", "item_id", "item_group").distinct()
+    g = gold.where("(item_group = 'should_redact' and pii_type = 'direct') or item_group = 'should_not_flag'").select("item_id", "note", "item_group", norm(F.col("text")).alias("n"))
+    f = findings.select("source", "note", norm(F.col("original")).alias("o")).where("o <> ''").distinct()
+    near = F.filter("items", lambda i: (i["n"] != "") & (F.contains(i["n"], F.col("o")) | F.contains(F.col("o"), i["n"])))
+    met = _salted(f, "source", "o").join(_items(g, "item_id", "item_group", "n"), ["note", "salt"]).select("source", F.explode(near).alias("i"))
+    met = met.select("source", "i.item_id", "i.item_group").distinct()
     sources = findings.groupBy("source").agg(F.count("*").alias("findings"))
     counts = met.groupBy("source").agg(F.count_if(F.col("item_group") == "should_redact").alias("covered"), F.count_if(F.col("item_group") == "should_not_flag").alias("flagged"))
     totals = g.agg(F.count_if(F.col("item_group") == "should_redact").alias("direct"), F.count_if(F.col("item_group") == "should_not_flag").alias("decoys"))

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import re
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from dimskog.operators import backend, chunking, conflicts, coreference, gazetteer, judge, model, redact, review, rules, scoring, tagging, training
 from dimskog.plans import oracle, pipeline
-from dimskog.runtime import spread, table
+from dimskog.runtime import scratch, spread, table
 from dimskog.schema import CONFIDENCE, SOURCES, taxonomy
+from dimskog.sources import files
 
 RUN = ["run_label", "note"]
 
@@ -89,12 +93,62 @@ def deidentified(part: str, options: pipeline.Options = pipeline.Options()):
     return run
 
 
+# Words of the notes that a stand-in for a language model finds, with label, risk and generalization.
+NOTE_WORDS = {
+    "midsommar": ("temporal", "low", "en högtid"), "tonåren": ("temporal", "low", "ungdomen"), "flytten": ("social", "medium", "en händelse"),
+    "semestern": ("temporal", "low", "ledigheten"), "boendet": ("social", "medium", "hemmet"), "skorstensfejare": ("demographics", "high", "hantverkare"),
+}
+
+
+class NoteBackend(backend.MockBackend):
+    """A stand-in that finds NOTE_WORDS as whole words, flags long runs of digits, and settles what it is asked about as secrets."""
+
+    def detect(self, text: str, request: backend.Request = backend.Request()) -> str:
+        if request.quotes:
+            return backend.json_of([{"text": q, "label": "secret", "risk": "high"} for q in request.quotes])
+        words = {w: v for w, v in NOTE_WORDS.items() if re.search(rf"(?<![^\W_]){w}(?![^\W_])", text)}
+        return backend.json_of([{"text": w, "label": v[0], "risk": v[1]} | ({} if request.omit_generalize else {"generalize": v[2]}) for w, v in words.items()])
+
+    def judge(self, redacted_text: str, thinking: bool = False) -> str:
+        return "<think>siffror</think>" + backend.json_of([{"quote": q, "reason": "siffror"} for q in dict.fromkeys(re.findall(r"[0-9]{6,}", redacted_text))])
+
+
+backend.register("note_words", "dimskog.plans.catalogue:NoteBackend")
+
+
+def word_entities(spark: SparkSession, d: str) -> DataFrame:
+    """Findings of the stand-in language model over all notes, whole texts at once."""
+    out = pipeline.backend_entities(_notes(spark, d).select("note_id", "text"), "note_id", "note_words", True).drop("confidence")
+    return _long(out, "start", "end").withColumnsRenamed({"start": "start_pos", "end": "end_pos"})
+
+
 def mock_entities(spark: SparkSession, d: str) -> DataFrame:
-    """Findings of the mock over documents with an occupation put before each (the mock knows few words)."""
-    docs = table(spark, d, "documents").select("doc_id", F.concat(F.lit("Är snickare. "), "text").alias("text"))
+    """Findings of the mock over all documents, in sentence chunks."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
     return _long(pipeline.backend_entities(docs, "doc_id", "mock", False).drop("confidence"), "start", "end").withColumnsRenamed({"start": "start_pos", "end": "end_pos"})
 
 
+#: Rules and the stand-in alone: what SQL can follow to the end.
+PLAIN = pipeline.Options(mode="no_bert", backends=("note_words",), gazetteer=False, propagate=False)
+
+
+def plain_generalized(spark: SparkSession, d: str) -> DataFrame:
+    """Findings of the stand-in with the proposals of the separate generalization stage, and how many are filled."""
+    options = replace(PLAIN, generalize_backend="note_words")
+    e = deidentified("entities", options)(spark, d).where("source = 'llm'")
+    return e.groupBy("label", "generalized").agg(F.count("*").alias("n"), F.count("generalized").alias("filled"))
+
+
+def judged_notes(spark: SparkSession, d: str) -> DataFrame:
+    """Notes after the judge's rounds: whether they need review, what runs of digits are left, and secrets found by retry."""
+    options = replace(PLAIN, judges=("note_words",))
+    docs = _notes(spark, d).select("note_id", "text")
+    out = pipeline.deidentify(docs, "note_id", options)
+    secrets = out["entities"].where("label = 'secret'").groupBy("note_id").agg(F.count("*").alias("n"))
+    left = F.col("redacted").rlike("[0-9]{6,}")
+    return out["redacted"].join(secrets, "note_id", "left").select("note_id", "needs_review", left.alias("digits_left"), (F.coalesce("n", F.lit(0)) > 0).alias("retried"))
+
+
 def note_model() -> model.DictionaryModel:
     """A small dictionary model for the notes: some given names, places, and a word it is unsure of."""
     names = dict.fromkeys(("Elsa", "Hassan", "Birgitta", "Torsten", "Dr"), ("Name", 0.96))
@@ -133,7 +187,7 @@ def age_decades(spark: SparkSession, d: str) -> DataFrame:
 
 
 def redacted_runs(spark: SparkSession, d: str) -> DataFrame:
-    return redact.redacted(_run_texts(spark, d), conflicts.plan(_entities(spark, d), RUN), RUN).select(*RUN, "redacted")
+    return redact.redact_all(_run_texts(spark, d), _entities(spark, d), RUN).select(*RUN, "redacted")
 
 
 def audit_log(spark: SparkSession, d: str) -> DataFrame:
@@ -189,8 +243,10 @@ def token_budgets(spark: SparkSession, d: str) -> DataFrame:
 
 
 def quantization_tiers(spark: SparkSession, d: str) -> DataFrame:
-    p = table(spark, d, "part")
-    return p.select("p_partkey", backend.quantization(F.col("p_retailprice") / 20, F.col("p_size").cast("double")).alias("tier"))
+    """The tier of every registered chat model on accelerators of usual sizes, and on none."""
+    sizes = ", ".join(f"('{name}', {billions}D)" for name, (_, _, billions) in backend.REGISTRY.items())
+    grid = spark.sql(f"SELECT backend, params_b, vram FROM VALUES {sizes} AS r(backend, params_b) LATERAL VIEW explode(array(CAST(null AS DOUBLE), 8D, 16D, 24D, 40D, 48D, 80D)) v AS vram")
+    return grid.select("backend", "vram", backend.quantization(F.col("vram"), F.col("params_b")).alias("tier"))
 
 
 # ---------------------------------------------------------------- judge
@@ -237,38 +293,59 @@ def char_windows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def training_chunks(spark: SparkSession, d: str) -> DataFrame:
-    return chunking.training_chunks(spread(table(spark, d, "sv_pure3").select("row_id", "source_text", "privacy_mask")), "row_id").withColumn("n_spans", F.size("spans").cast("long")).drop("spans")
+    out = chunking.training_chunks(spread(table(spark, d, "sv_pure3").select("row_id", "source_text", "privacy_mask")), "row_id")
+    shown = F.transform("spans", lambda x: F.concat_ws(":", x["start_pos"].cast("string"), x["end_pos"].cast("string"), F.coalesce(x["label"], F.lit(""))))
+    return out.withColumn("n_spans", F.size("spans").cast("long")).withColumn("spans", F.array_join(shown, ","))
 
 
 # ---------------------------------------------------------------- tags and metrics
 
 
 def _masks(spark: SparkSession, d: str) -> DataFrame:
-    each = table(spark, d, "sv_pure3").where("privacy_mask is not null").select("row_id", F.posexplode("privacy_mask").alias("span_seq", "m"))
-    return each.select("row_id", "span_seq", F.col("m.start_pos").alias("start"), F.col("m.end_pos").alias("end"), tagging.mapped(F.col("m.label"), tagging.MASK).alias("category"))
+    """(row_id, source_text, spans): each training row with its mask by category."""
+    one = lambda m: F.struct(m["start_pos"].alias("start"), m["end_pos"].alias("end"), tagging.mapped(m["label"], tagging.MASK).alias("category"))
+    return spread(table(spark, d, "sv_pure3").select("row_id", "source_text", F.transform("privacy_mask", one).alias("spans")))
 
 
 def token_tags(spark: SparkSession, d: str) -> DataFrame:
-    rows = spread(table(spark, d, "sv_pure3").select("row_id", "source_text"))
-    return tagging.align(tagging.tokens(rows, "row_id", "source_text"), _masks(spark, d), "row_id")
+    each = _masks(spark, d).select("row_id", F.explode(tagging.tags(F.col("source_text"), F.col("spans"))).alias("t"))
+    return each.select("row_id", "t.*")
+
+
+def _decoded(spark: SparkSession, d: str) -> DataFrame:
+    """Tags and back, text by text: (row_id, start, end, label, tokens, confidence)."""
+    each = _masks(spark, d).select("row_id", F.explode(tagging.decode(tagging.tags(F.col("source_text"), F.col("spans")))).alias("s"))
+    return each.select("row_id", "s.*")
 
 
 def decoded_spans(spark: SparkSession, d: str) -> DataFrame:
-    out = tagging.decode(token_tags(spark, d), "row_id")
+    out = _decoded(spark, d)
     return out.select("row_id", F.col("start").alias("start_pos"), F.col("end").alias("end_pos"), "label", "tokens")
 
 
+def model_tokens(spark: SparkSession, d: str) -> DataFrame:
+    """Tokens of the stand-in token model that carry a tag, and whether it is sure enough to count."""
+    notes = model.chunked(_notes(spark, d).select("note_id", "text"), "note_id", 2000)
+    t = model.tokens(notes, "note_id", "dimskog.plans.catalogue:note_model").where("tag <> 'O'")
+    return t.groupBy("tag").agg(F.count("*").alias("n"), F.count_if(F.col("conf") >= tagging.LOWEST_CONFIDENCE).alias("counted"))
+
+
 def _gold_spans(spark: SparkSession, d: str) -> DataFrame:
-    return _masks(spark, d).where("category is not null").select("row_id", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), tagging.mapped(F.col("category"), tagging.MODEL).alias("label"))
+    each = _masks(spark, d).where("source_text is not null").select("row_id", F.explode("spans").alias("m")).where("m.category is not null")
+    return each.select("row_id", F.col("m.start").cast("long").alias("start"), F.col("m.end").cast("long").alias("end"), tagging.mapped(F.col("m.category"), tagging.MODEL).alias("label"))
 
 
 def f_scores(by_label: bool):
     def run(spark: SparkSession, d: str) -> DataFrame:
-        return training.f_scores(_gold_spans(spark, d), tagging.decode(token_tags(spark, d), "row_id"), ["row_id"], by_label)
+        return training.f_scores(_gold_spans(spark, d), _decoded(spark, d), ["row_id"], by_label)
 
     return run
 
 
+def ner_report(spark: SparkSession, d: str) -> DataFrame:
+    return training.report(f_scores(True)(spark, d))
+
+
 def fragment_repair(spark: SparkSession, d: str) -> DataFrame:
     rows = spread(table(spark, d, "sv_pure3").where("source_text is not null and privacy_mask is not null").select("row_id", "source_text", "privacy_mask"))
     label = lambda m: F.coalesce(tagging.mapped(tagging.mapped(m["label"], tagging.MASK), tagging.MODEL), m["label"])
@@ -289,6 +366,25 @@ def tuning_rows(spark: SparkSession, d: str) -> DataFrame:
     return training.tuning_rows(_run_texts(spark, d), _entities(spark, d), RUN, "Hitta identifierande uppgifter och svara med JSON.")
 
 
+def _export(spark: SparkSession, d: str) -> DataFrame:
+    """(run_label, note, task): the audit as an export of review tasks."""
+    texts = table(spark, d, "audit").select(*RUN).distinct().join(_texts(spark, d), "note", "left").select(*RUN, "text")
+    out = review.tasks(texts, review.regions(_entities(spark, d), RUN), RUN)
+    return out.select(*RUN, F.from_json("task", review.TASK).alias("task"))
+
+
+def export_ner_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Training rows for entity recognition out of an export: text length, spans, and the sum of their ends."""
+    rows = training.export_rows(_export(spark, d), RUN)
+    ends = F.aggregate("privacy_mask", F.lit(0).cast("long"), lambda a, m: a + m["end_pos"])
+    return rows.select(*RUN, F.length("source_text").cast("long").alias("n_chars"), F.size("privacy_mask").cast("long").alias("n_spans"), ends.alias("ends"))
+
+
+def export_tuning_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Tuning rows out of an export."""
+    return training.export_tuning(_export(spark, d), RUN, "Hitta identifierande uppgifter och svara med JSON.")
+
+
 def train_split(spark: SparkSession, d: str) -> DataFrame:
     return training.exact_split(table(spark, d, "sv_pure3"), "row_id", 42, 0.8)
 
@@ -297,6 +393,42 @@ def hash_split(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "sv_pure3").select("row_id", training.split_part(F.col("row_id"), 42, 0.8).alias("part"))
 
 
+# ---------------------------------------------------------------- sources and sinks
+
+
+def gazetteer_file(spark: SparkSession, d: str) -> DataFrame:
+    """The gazetteer written as CSV and read again."""
+    path = scratch(spark)
+    files.write_gazetteer(table(spark, d, "gazetteer"), path)
+    return files.gazetteer(spark, path)
+
+
+def tuning_file(spark: SparkSession, d: str) -> DataFrame:
+    """Tuning rows written as two CSV files and read again."""
+    path = scratch(spark)
+    part = training.split_part(F.concat_ws("|", *RUN), 7, 0.8)
+    files.write_tuning(tuning_rows(spark, d).select("system_prompt", "user_input", "assistant_output", part.alias("part")), path)
+    read = [spark.read.csv(f"{path}_{p}", header=True, multiLine=True, escape='"', schema="system_prompt string, user_input string, assistant_output string").withColumn("part", F.lit(p)) for p in ("train", "validation")]
+    return read[0].unionByName(read[1]).groupBy("part").agg(F.count("*").alias("n"), F.sum(F.length("user_input")).alias("chars_in"), F.sum(F.length("assistant_output")).alias("chars_out"))
+
+
+def review_file(spark: SparkSession, d: str) -> DataFrame:
+    """Review tasks written as files for import and read again: tasks and regions of each run."""
+    path = scratch(spark)
+    out = review.tasks(_run_texts(spark, d).withColumn("output_file", F.concat_ws("|", *RUN)), review.regions(_entities(spark, d), RUN), RUN, ["output_file"])
+    files.write_tasks(out, path)
+    back = files.review_export(spark, path)
+    label = F.substring_index("task.data.output_file", "|", 1)
+    return back.groupBy(label.alias("run_label")).agg(F.count("*").alias("tasks"), F.sum(F.size(review.chosen(F.col("task")))).alias("items"), F.sum(F.length("task.data.text")).alias("chars"))
+
+
+def audit_file(spark: SparkSession, d: str) -> DataFrame:
+    """Audit rows written as JSON and read again, without the time of writing."""
+    path = scratch(spark)
+    files.write_audit(audit_log(spark, d), path)
+    return spark.read.schema("run_label string, note string, position long, original string, label string, start_pos long, end_pos long, source string, risk string, generalized_to string").json(path)
+
+
 # ---------------------------------------------------------------- scores
 
 
@@ -305,6 +437,12 @@ def _outcomes(spark: SparkSession, d: str) -> DataFrame:
     return scoring.item_outcomes(gold, redacted_runs(spark, d), table(spark, d, "audit"))
 
 
+def score_misses(spark: SparkSession, d: str) -> DataFrame:
+    """What each run missed on each note, as one text a kind."""
+    gold = table(spark, d, "synthetic_notes_key").select("item_id", "text")
+    return scoring.misses(_outcomes(spark, d), gold).withColumn("items", F.array_join("items", "|"))
+
+
 def score_items(spark: SparkSession, d: str) -> DataFrame:
     return _outcomes(spark, d).select("item_id", *RUN, "kind", "kept", "detected", "hit")
 
@@ -383,6 +521,11 @@ def queries() -> dict:
         "gazetteer_patterns": gazetteer_patterns,
         "gazetteer_spans": gazetteer_spans,
         "mock_entities": mock_entities,
+        "word_entities": word_entities,
+        "plain_text": lambda s, d: deidentified("redacted", PLAIN)(s, d).select("note_id", "redacted", "needs_review"),
+        "plain_generalized": plain_generalized,
+        "judged_notes": judged_notes,
+        "model_tokens": model_tokens,
         "model_entities": model_entities,
         "deidentified_text": lambda s, d: deidentified("redacted")(s, d).select("note_id", "redacted"),
         "deidentified_audit": deidentified("audit"),
@@ -415,14 +558,22 @@ def queries() -> dict:
         "decoded_spans": decoded_spans,
         "ner_f_scores": f_scores(False),
         "ner_f_scores_by_label": f_scores(True),
+        "ner_report": ner_report,
         "fragment_repair": fragment_repair,
         "label_counts": label_counts,
         "tag_vocabulary": tag_vocabulary,
         "tuning_rows": tuning_rows,
+        "export_ner_rows": export_ner_rows,
+        "export_tuning_rows": export_tuning_rows,
+        "gazetteer_file": gazetteer_file,
+        "tuning_file": tuning_file,
+        "review_file": review_file,
+        "audit_file": audit_file,
         "train_split": train_split,
         "hash_split": hash_split,
         "score_items": score_items,
         "score_notes": score_notes,
+        "score_misses": score_misses,
         "score_compare": score_compare,
         "score_seeds": score_seeds,
         "score_ensemble": score_ensemble,

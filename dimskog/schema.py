@@ -30,12 +30,14 @@ PLACEHOLDERS = {
     "private_other": "[ÖVRIG-UPPGIFT]",
     "age": "[ÅLDER]",
 }
+# Placeholder of unknown labels.
 FALLBACK = "[REDAKTERAD]"
 # Labels that are direct identifiers whatever else is said of them.
 DIRECT = (
     "private_person", "private_email", "private_phone", "account_number", "private_date", "secret", "private_vehicle",
     "private_device", "private_url", "private_ip", "private_biometric", "private_photo", "private_other",
 )
+# Labels protected where ground truth found them, labels kept as they stand, sources of ground truth, all sources.
 PROTECTED = (*DIRECT, "private_address")
 VERBATIM = ("medication",)
 GROUND_TRUTH = ("rule", "bert", "gazetteer")

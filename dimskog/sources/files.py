@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,10 +50,28 @@ def gazetteer(spark: SparkSession, path: str) -> DataFrame:
 
 
 def review_export(spark: SparkSession, path: str) -> DataFrame:
-    """(position, task) of an export that holds one task or a list; corrupt files give no rows."""
-    read = spark.read.schema(f"{TASK}, _corrupt string").json(path, multiLine=True, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt")
-    good = read.where("data is not null or predictions is not null or annotations is not null")
-    return good.select(F.monotonically_increasing_id().alias("position"), F.struct("data", "predictions", "annotations").alias("task"))
+    """(file, position, task) of exports that hold one task or a list each; position counts in its file.
+
+    Corrupt files and tasks without data or results give no rows.
+    """
+    read = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
+    many, one = F.from_json("value", f"array<struct<{_typed(TASK)}>>"), F.from_json("value", TASK)
+    found = read.select("file", F.posexplode(F.coalesce(F.when(F.col("value").rlike(r"^\s*\["), many), F.array(one))).alias("position", "task"))
+    good = F.col("task.data").isNotNull() | F.col("task.predictions").isNotNull() | F.col("task.annotations").isNotNull()
+    return found.where(good).select("file", F.col("position").cast("long").alias("position"), "task")
+
+
+def _typed(fields: str) -> str:
+    """Column definitions ("name TYPE, ...") as fields of a struct ("name: TYPE, ...")."""
+    import re
+
+    return re.sub(r"(^|, )(data|predictions|annotations) ", r"\1\2: ", fields)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in its file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
 def split_rows(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:
@@ -84,19 +103,45 @@ def write_reasoning(rows: DataFrame, path: str) -> bool:
 
 
 def write_tasks(tasks: DataFrame, path: str, append: bool = False) -> None:
-    """Review tasks, one JSON object a line."""
-    tasks.select("task").write.mode("append" if append else "overwrite").text(path)
+    """Review tasks as JSON arrays, one a part file, so that each file can be imported; appending adds files.
 
+    What stands in the folder is never read, so a corrupt file does not stop an append.
+    """
 
-def write_reviewed(reviewed: DataFrame, path: str) -> DataFrame:
-    """Reviewed texts by stem; returns stems that several tasks share (the first task of each is written)."""
+    def arrays(batches):
+        yield pa.RecordBatch.from_arrays([pa.array(["["])], names=["value"])
+        first = True
+        for b in batches:
+            rows = [t for t in b.column(0).to_pylist() if t is not None]
+            if rows:
+                rows = [r if first and not i else f",{r}" for i, r in enumerate(rows)]
+                first = False
+                yield pa.RecordBatch.from_arrays([pa.array(rows)], names=["value"])
+        yield pa.RecordBatch.from_arrays([pa.array(["]"])], names=["value"])
+
+    tasks.select("task").mapInArrow(arrays, "value string").write.mode("append" if append else "overwrite").text(path)
+
+
+def write_reviewed(reviewed: DataFrame, audit: DataFrame, path: str) -> DataFrame:
+    """Reviewed texts and their audit rows by stem; returns stems that several tasks share (the first task of each is written).
+
+    ``reviewed`` has (file, position, stem, text), ``audit`` (file, position, audit columns).
+    """
     from pyspark.sql import Window as W
 
-    n = F.row_number().over(W.partitionBy("stem").orderBy("position"))
-    reviewed.withColumn("n_", n).where("n_ = 1").drop("n_").write.mode("overwrite").parquet(path)
+    n = F.row_number().over(W.partitionBy("stem").orderBy("file", "position"))
+    kept = reviewed.withColumn("n_", n).where("n_ = 1").drop("n_")
+    kept.write.mode("overwrite").parquet(f"{path}/texts")
+    write_audit(audit.join(kept.select("file", "position", "stem"), ["file", "position"]).drop("file", "position"), f"{path}/audit")
     return reviewed.groupBy("stem").count().where("count > 1").select("stem")
 
 
+def write_summary(scores: DataFrame, path: str) -> None:
+    """A training summary as text: a line a model (few rows), best F2 first."""
+    line = F.format_string("%-40s precision %.4f  recall %.4f  F1 %.4f  F2 %.4f", "model", "precision", "recall", "f1", "f2")
+    scores.orderBy(F.desc("f2"), "model").coalesce(1).select(line.alias("value")).write.mode("overwrite").text(path)
+
+
 def write_tuning(rows: DataFrame, base: str) -> None:
     """<base>_train and <base>_validation as CSV with a header, by the column ``part``."""
     for part in ("train", "validation"):

@@ -10,8 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from dimskog.operators.conflicts import accept
-from dimskog.operators.rules import rule_array
+from dimskog.operators.rules import accepted
 from dimskog.plans.pipeline import redact_by_rules
 
 
@@ -32,5 +31,5 @@ def deduplicated(notes: DataFrame, delay: str = "30 days") -> DataFrame:
 
 def label_counts(notes: DataFrame, window: str = "1 day", delay: str = "30 days") -> DataFrame:
     """Findings by label and window of receipt; rows later than ``delay`` are dropped by the watermark."""
-    found = notes.withWatermark("received_at", delay).where("text is not null").select("received_at", F.explode(accept(rule_array(F.col("text")))).alias("e"))
+    found = notes.withWatermark("received_at", delay).where("text is not null").select("received_at", F.explode(accepted(F.col("text"))).alias("e"))
     return found.groupBy(F.window("received_at", window).alias("w"), F.col("e.label").alias("label")).agg(F.count("*").alias("n")).select(F.col("w.start").alias("day"), "label", "n")

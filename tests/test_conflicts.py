@@ -137,6 +137,13 @@ def test_clusters(spark):
     assert out == {(0, 7): (2, "en kvinna"), (10, 16): (1, "yrke"), (16, 24): (2, "[DEMOGRAFISK-UPPGIFT]")}
 
 
+def test_null_texts_and_many_spans(spark):
+    rows = [(1, i, None if i % 3 else "x" * 40, LABELS[i % 6], i, i + 40, "rule", 1.0, None, "low") for i in range(3_000)]
+    df = spark.createDataFrame(rows, f"doc int, {ENTITY}")
+    got = conflicts.plan(df, ["doc"]).orderBy("start").collect()
+    assert got[0].start == 0 and got[-1].end == 3_039 and all(a.end == b.start for a, b in zip(got, got[1:]))
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], f"doc int, {ENTITY}")
     assert conflicts.greedy(none, ["doc"]).count() == conflicts.plan(none, ["doc"]).count() == review.clusters(none, ["doc"]).count() == 0

@@ -161,6 +161,64 @@ def test_files(spark, tmp_path):
     assert files.review_export(spark, str(tmp_path / "bad.json")).count() == 0
 
 
+def test_review_files(spark, tmp_path):
+    """Arrays that can be imported, appended to and read again; positions count in their file; corrupt files give nothing."""
+    tasks = spark.createDataFrame([(f'{{"data": {{"text": "t{i}", "output_file": "f{i}.redacted.txt"}}, "predictions": []}}',) for i in range(7)], "task string").repartition(3)
+    path = str(tmp_path / "tasks")
+    files.write_tasks(tasks, path)
+    (tmp_path / "tasks" / "part-bad").write_text("[{")
+    files.write_tasks(tasks.limit(2), path, append=True)
+    assert all(isinstance(json.loads(f.read_text()), list) for f in (tmp_path / "tasks").glob("part-0*"))
+    got = files.review_export(spark, path).collect()
+    assert len(got) == 9 and len({(r.file, r.position) for r in got}) == 9 and min(r.position for r in got) == 0
+    (tmp_path / "one.json").write_text('{"data": {"text": "ensam"}}')
+    assert [(r.position, r.task.data.text) for r in files.review_export(spark, str(tmp_path / "one.json")).collect()] == [(0, "ensam")]
+    reviewed = spark.createDataFrame([("a", 1, "s", "andra"), ("a", 0, "s", "första"), ("b", 0, "u", "egen")], "file string, position long, stem string, text string")
+    audit = spark.createDataFrame([("a", 1, "x"), ("a", 0, "y"), ("b", 0, "z")], "file string, position long, original string")
+    assert [r.stem for r in files.write_reviewed(reviewed, audit, str(tmp_path / "rev")).collect()] == ["s"]
+    assert {r.text for r in spark.read.parquet(str(tmp_path / "rev/texts")).collect()} == {"första", "egen"}
+    assert {(r.stem, r.original) for r in spark.read.json(str(tmp_path / "rev/audit")).collect()} == {("s", "y"), ("u", "z")}
+
+
+def test_training_rows_from_an_export(spark):
+    item = lambda s, e, *labels: {"id": "r", "from_name": "label", "value": {"start": s, "end": e, "text": "Anna Ek"[s:e], "labels": list(labels)}}
+    tasks = [
+        {"data": {"text": "Anna Ek"}, "annotations": [{"result": []}, {"result": [item(0, 4, "private_person"), item(5, 7)]}], "predictions": [{"result": [item(0, 7, "x")]}]},
+        {"data": {"text": "Bo"}, "predictions": [{"result": [item(0, 2, "private_person")]}]},
+        {"data": {"text": "tom"}}, {"data": {}},
+    ]
+    df = spark.createDataFrame([(i, json.dumps(t)) for i, t in enumerate(tasks)], "id int, t string").select("id", F.from_json("t", review.TASK).alias("task"))
+    got = {r.id: (r.source_text, [tuple(m) for m in r.privacy_mask]) for r in training.export_rows(df, ["id"]).collect()}
+    assert got == {0: ("Anna Ek", [(0, 4, "private_person")]), 1: ("Bo", [(0, 2, "private_person")]), 2: ("tom", [])}
+    rows = {r.id: r.assistant_output for r in training.export_tuning(df, ["id"], "p").collect()}
+    assert rows[2] == "[]" and "private_person" in rows[1]
+    with pytest.raises(ValueError):
+        training.require_labels(spark.createDataFrame([("X", 3, None)], "label string, n long, category string"))
+
+
+def test_report_and_summary(spark, tmp_path):
+    s = "label string, gold long, predicted long, correct long"
+    rows = training._rated(spark.createDataFrame([("a", 4, 2, 2), ("b", 1, 2, 1), ("c", 0, 0, 0)], s))
+    got = {r.label: r for r in training.report(rows).collect()}
+    assert got["micro"].precision == 0.75 and got["micro"].recall == 0.6 and got["macro"].recall == 0.5 and got["weighted"].recall == 0.6 and got["weighted"].support == 5
+    files.write_summary(spark.createDataFrame([("m1", 0.1, 0.2, 0.3, 0.4), ("m2", 0.5, 0.6, 0.7, 0.8)], "model string, precision double, recall double, f1 double, f2 double"), str(tmp_path / "s"))
+    lines = [r.value for r in spark.read.text(str(tmp_path / "s")).collect()]
+    assert lines[0].startswith("m2") and "F2 0.8000" in lines[0] and len(lines) == 2
+
+
+def test_hot_note_scores(spark):
+    """A note with many runs: the same outcomes whatever the split; blank and null items count as absent."""
+    from dimskog.operators import scoring
+
+    gold = spark.createDataFrame([(1, "n", "should_redact", "Anna", "direct"), (2, "n", "should_not_flag", "hund", None), (3, "n", "should_redact", " ", "quasi"), (4, "m", "should_redact", None, "direct")], "item_id long, note string, item_group string, text string, pii_type string")
+    red = spark.createDataFrame([(f"r{i}", "n", "Anna hund" if i % 2 else "[PERSON] hund") for i in range(60)] + [("r0", "m", None)], "run_label string, note string, redacted string")
+    found = spark.createDataFrame([(f"r{i}", "n", "Anna E", "x") for i in range(60)], "run_label string, note string, original string, label string")
+    out = scoring.item_outcomes(gold, red, found)
+    assert out.count() == 181 and out.where("item_id = 1 and hit and detected").count() == 30 and out.where("item_id = 2 and hit").count() == 60 and out.where("item_id = 3 and hit").count() == 60
+    lost = {(r.run_label, r.kind): r["items"] for r in scoring.misses(out, gold).collect()}
+    assert len(lost) == 30 and lost["r1", "direct"] == ["Anna"]
+
+
 def test_stream_equals_batch(spark, tmp_path):
     from dimskog.streaming import notes
 

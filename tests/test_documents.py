@@ -35,6 +35,18 @@ def test_gazetteer(spark):
     assert {(r.start, r.end) for r in hits} == {(5, 19), (5, 11), (21, 27)}
 
 
+def test_gazetteer_names_of_any_length(spark):
+    """Five tokens, signs at the end, a hit inside a longer name; nothing beside a letter or digit."""
+    rows = [("Q1", None, "Norra Björkö Gamla Stads Sjukstuga", "hospital"), ("Q2", None, "Hotellet (gamla)", "place"), ("Q3", None, "Björkö", "place"), ("Q4", None, "Eko.", "place")]
+    p = gazetteer.patterns(spark.createDataFrame(rows, "wikidata_id string, label_en string, label_sv string, category string"))
+    text = "Vid Norra Björkö gamla stads sjukstuga och Hotellet (Gamla), Hotellet (Gamla)x, Hotellet gamla; Eko. Eko.a Eko"
+    hits = gazetteer.scan(spark.createDataFrame([(1, text), (2, ""), (3, None)], "id int, text string"), p, "id").collect()
+    want = ["Norra Björkö gamla stads sjukstuga", "Björkö", "Hotellet (Gamla)", "Eko."]
+    assert sorted((r.start, r.text) for r in hits) == sorted((text.index(w), w) for w in want) and all(text[r.start : r.end] == r.text for r in hits)
+    none = spark.createDataFrame([], "key string, name string, label string")
+    assert gazetteer.scan(spark.createDataFrame([(1, text)], "id int, text string"), none, "id").count() == 0
+
+
 UNITS = ["Dr. Ek kom. Hon mår bra!\nNästa rad", "", "a", "En. Två.  Tre?!\n\nFyra kl. 8. x", "ingen punkt\n", "...", "Slut. " * 40]
 
 
@@ -92,10 +104,12 @@ def test_training_chunks(spark):
 
 
 def test_decode(spark):
-    rows = [(1, 0, "B-Name", 0.9, 0, 0), (1, 1, "B-Name", 0.9, 0, 4), (1, 2, "I-Name", 0.9, 5, 7), (1, 3, "I-Address", 0.9, 8, 12), (1, 4, "I-Address", 0.5, 13, 15), (1, 5, "S-X", 0.9, 16, 18), (1, 6, "E-X", 0.8, 19, 20), (1, 7, "B-X", 0.9, 21, 22)]
-    df = spark.createDataFrame(rows, "id int, tok_idx int, tag string, conf double, cs int, ce int")
-    got = sorted((r.start, r.end, r.label, r.confidence) for r in tagging.decode(df, "id").collect())
-    assert got == [(0, 7, "private_person", 0.9), (8, 12, "private_address", 0.9), (16, 20, "X", 0.8), (21, 22, "X", 0.9)]
+    rows = [("B-Name", 0.9, 0, 0), ("B-Name", 0.9, 0, 4), ("I-Name", 0.9, 5, 7), ("I-Address", 0.9, 8, 12), ("I-Address", 0.5, 13, 15), ("S-X", 0.9, 16, 18), ("E-X", 0.8, 19, 20), ("B-X", 0.9, 21, 22)]
+    want = [(0, 7, "private_person", 0.9), (8, 12, "private_address", 0.9), (16, 20, "X", 0.8), (21, 22, "X", 0.9)]
+    assert [(s, e, label, conf) for s, e, label, _, conf in tagging.decoded(rows)] == want
+    df = spark.createDataFrame([(rows,), (None,), ([],)], "t array<struct<tag:string,conf:double,cs:int,ce:int>>")
+    got = [r[0] for r in df.select(tagging.decode(F.col("t"))).collect()]
+    assert [(r.start, r.end, r.label, r.confidence) for r in got[0]] == want and got[1:] == [None, []]
 
 
 def test_repair(spark):
@@ -108,6 +122,17 @@ def test_repair(spark):
 
 
 def test_align(spark):
-    toks = spark.createDataFrame([(1, 0, 0, 4), (1, 1, 5, 8), (1, 2, 9, 12)], "id int, tok_idx long, cs long, ce long")
-    masks = spark.createDataFrame([(1, 0, 0, 8, "Name"), (1, 1, 6, 8, "Age"), (1, 2, 9, 12, None)], "id int, span_seq int, start int, end int, category string")
-    assert [r.tag for r in tagging.align(toks, masks, "id").orderBy("tok_idx").collect()] == ["B-Name", "B-Age", "O"]
+    df = spark.createDataFrame([("Anna Bo kom", [(0, 7, "Name"), (6, 7, "Age"), (8, 11, None), (None, 3, "Age")]), (None, []), ("x", None)], "t string, s array<struct<start:int,end:int,category:string>>")
+    got = [r[0] and [(x.tok_idx, x.cs, x.ce, x.tag) for x in r[0]] for r in df.select(tagging.tags(F.col("t"), F.col("s"))).collect()]
+    assert got == [[(0, 0, 4, "B-Name"), (1, 5, 7, "B-Age"), (2, 8, 11, "O")], None, [(0, 0, 1, "O")]]
+
+
+def test_sub_words_of_special_tokens():
+    tokens = [(0, 0), (0, 2), (2, 4), (5, 7), (0, 0)]
+    ids = tagging.aligned(tokens, [(0, 4, "Name"), (5, 7, None)])
+    assert ids == [-100, tagging.TAGS.index("B-Name"), tagging.TAGS.index("I-Name"), 0, -100]
+
+
+def test_tags_and_repair_on_awkward_spans():
+    assert tagging.repaired("", []) == [] and tagging.tagged([], [(0, 1, "Name")]) == []
+    assert tagging.repaired("ab  ", [(2, 4, "x", 0.5), (0, 1, "x", 0.9)]) == [(0, 4, "x", 0.5)]
