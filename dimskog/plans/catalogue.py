@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from dimskog.operators import backend, chunking, conflicts, coreference, gazetteer, judge, model, redact, review, rules, scoring, tagging, training
 from dimskog.plans import oracle, pipeline
+from dimskog.plans.words import NOTE_WORDS
 from dimskog.runtime import scratch, spread, table
 from dimskog.schema import CONFIDENCE, SOURCES, taxonomy
 from dimskog.sources import files
@@ -93,13 +94,6 @@ def deidentified(part: str, options: pipeline.Options = pipeline.Options()):
     return run
 
 
-# Words of the notes that a stand-in for a language model finds, with label, risk and generalization.
-NOTE_WORDS = {
-    "midsommar": ("temporal", "low", "en högtid"), "tonåren": ("temporal", "low", "ungdomen"), "flytten": ("social", "medium", "en händelse"),
-    "semestern": ("temporal", "low", "ledigheten"), "boendet": ("social", "medium", "hemmet"), "skorstensfejare": ("demographics", "high", "hantverkare"),
-}
-
-
 class NoteBackend(backend.MockBackend):
     """A stand-in that finds NOTE_WORDS as whole words, flags long runs of digits, and settles what it is asked about as secrets."""
 
@@ -110,7 +104,7 @@ class NoteBackend(backend.MockBackend):
         return backend.json_of([{"text": w, "label": v[0], "risk": v[1]} | ({} if request.omit_generalize else {"generalize": v[2]}) for w, v in words.items()])
 
     def judge(self, redacted_text: str, thinking: bool = False) -> str:
-        return "<think>siffror</think>" + backend.json_of([{"quote": q, "reason": "siffror"} for q in dict.fromkeys(re.findall(r"[0-9]{6,}", redacted_text))])
+        return "<think>siffror</think>" + backend.json_of([{"quote": q, "reason": "siffror"} for q in dict.fromkeys(re.findall(r"(?<![^\W_])[0-9]{6,}(?![^\W_])", redacted_text))])
 
 
 backend.register("note_words", "dimskog.plans.catalogue:NoteBackend")
@@ -145,7 +139,7 @@ def judged_notes(spark: SparkSession, d: str) -> DataFrame:
     docs = _notes(spark, d).select("note_id", "text")
     out = pipeline.deidentify(docs, "note_id", options)
     secrets = out["entities"].where("label = 'secret'").groupBy("note_id").agg(F.count("*").alias("n"))
-    left = F.col("redacted").rlike("[0-9]{6,}")
+    left = F.col("redacted").rlike(r"(?<![\p{L}\p{N}])[0-9]{6,}(?![\p{L}\p{N}])")
     return out["redacted"].join(secrets, "note_id", "left").select("note_id", "needs_review", left.alias("digits_left"), (F.coalesce("n", F.lit(0)) > 0).alias("retried"))
 
 

@@ -6,9 +6,12 @@ hold those against plain Python on small fixtures.
 
 from __future__ import annotations
 
+from dimskog.operators.backend import REGISTRY
 from dimskog.operators.chunking import ABBREVIATIONS
 from dimskog.operators.gazetteer import CATEGORY_LABELS, GENERIC, SUFFIXES
 from dimskog.operators.tagging import CATEGORIES, MASK, MODEL
+from dimskog.operators.training import HIGH_RISK
+from dimskog.plans.words import NOTE_WORDS
 from dimskog.schema import DIRECT, FALLBACK, GROUND_TRUTH, PLACEHOLDERS, PROTECTED, SOURCES, VERBATIM, sql_list
 
 
@@ -59,8 +62,7 @@ def age(t: str) -> str:
     return f"CASE WHEN {a} >= 90 THEN '90 år eller äldre' WHEN {a} > 0 THEN (({a} // 10) * 10)::VARCHAR || '-' || (({a} // 10) * 10 + 10)::VARCHAR || ' år' END"
 
 
-PLAN = f"""
-    ents AS ({ENTITIES}),
+PLAN_OF = f"""
     cuts AS (SELECT DISTINCT run_label, note, lo FROM (SELECT run_label, note, s AS lo FROM ents UNION ALL SELECT run_label, note, e FROM ents)),
     atoms AS (SELECT run_label, note, lo, lead(lo) OVER (PARTITION BY run_label, note ORDER BY lo) AS hi FROM cuts),
     cover AS (
@@ -74,11 +76,9 @@ PLAN = f"""
                CASE WHEN mine = e - s THEN txt ELSE substring(txt, CAST(min(lo) - s + 1 AS BIGINT), CAST(max(hi) - min(lo) AS BIGINT)) END AS txt
         FROM isl GROUP BY run_label, note, seq, label, source, island, mine, e, s, g, txt)
 """
+PLAN = f"ents AS ({ENTITIES}), {PLAN_OF}"
 
-SPLICED = f"""
-    {PLAN},
-    texts AS ({TEXTS}),
-    runs AS (SELECT DISTINCT a.run_label, a.note, t.text FROM audit a JOIN texts t ON t.note = a.note),
+SPLICE_OF = f"""
     reps AS (SELECT run_label, note, start_pos, end_pos, {replacement('txt', 'label', 'generalized')} AS rep FROM plan),
     seqd AS (SELECT *, lag(end_pos) OVER w AS pe, lag(rep) OVER w AS pr FROM reps WINDOW w AS (PARTITION BY run_label, note ORDER BY start_pos)),
     parts AS (
@@ -87,6 +87,8 @@ SPLICED = f"""
         FROM runs r JOIN seqd q ON q.run_label = r.run_label AND q.note = r.note GROUP BY r.run_label, r.note, r.text),
     redacted AS (SELECT run_label, note, head || substring(text, CAST(last + 1 AS BIGINT)) AS redacted FROM parts)
 """
+RUNS = f"texts AS ({TEXTS}), runs AS (SELECT DISTINCT a.run_label, a.note, t.text FROM audit a JOIN texts t ON t.note = a.note)"
+SPLICED = f"{PLAN}, {RUNS}, {SPLICE_OF}"
 
 OUTCOMES = f"""
     {SPLICED},
@@ -103,6 +105,75 @@ OUTCOMES = f"""
         FROM pairs p LEFT JOIN near q ON q.item_id = p.item_id AND q.run_label = p.run_label)
 """
 
+# A word begins and ends where letters, digits and underscores do; RE2 has no lookaround, so each pattern is
+# tried where a word begins, and what follows it is matched along.
+W_, S_, D_ = r"[\p{L}\p{N}_]", r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}]", r"\p{Nd}"
+EMAIL = r"[\p{L}\p{N}_.+-]+@[\p{L}\p{N}_-]+\.[a-zA-Z]{2,}"
+PHONE = rf"(?:\+46|0046|0)(?:{S_}|-)?[0-9]{{1,4}}(?:{S_}|-)?[0-9]{{3}}(?:{S_}|-)?[0-9]{{2}}(?:{S_}|-)?[0-9]{{2}}"
+BOUNDED = {
+    2: rf"07[0-9](?:{S_}|-)?{D_}{{3}}(?:{S_}|-)?{D_}{{2}}(?:{S_}|-)?{D_}{{2}}", 3: rf"(?:19|20)?{D_}{{6}}(?:{S_}|-){D_}{{4}}", 4: rf"[A-Z]{{2}}{D_}{{7}}",
+    5: rf"{D_}{{4}}[-/]{D_}{{2}}[-/]{D_}{{2}}", 6: rf"{D_}{{1,2}}{S_}+{W_}+{S_}+{D_}{{4}}", 7: rf"{D_}{{1,2}}[-/]{D_}{{1,2}}[-/]{D_}{{2,4}}", 8: rf"{D_}{{3}}{S_}?{D_}{{2}}",
+}
+RULE_LABELS = ("private_email", "private_phone", "private_phone", "account_number", "account_number", "private_date", "private_date", "private_date", "private_address")
+TRIED = " UNION ALL ".join(
+    rf"SELECT note_id, CAST({n} AS BIGINT) AS n, s, regexp_extract(substring(text, CAST(s + 1 AS BIGINT)), '(?i)^({p})(?:[^\p{{L}}\p{{N}}_]|$)', 1) AS txt FROM begins" for n, p in BOUNDED.items()
+)
+RULES = rf"""
+    begins AS (SELECT w.note_id, s, n.text FROM ({matches('notes', 'note_id', 'text', W_ + '+')}) w JOIN notes n ON n.note_id = w.note_id WHERE regexp_matches(w.txt, '^[0-9a-zA-Z\p{{Nd}}]')),
+    tried AS (SELECT note_id, n, CAST(s AS BIGINT) AS s, CAST(s + length(txt) AS BIGINT) AS e, txt FROM ({TRIED}) WHERE txt <> ''),
+    apart AS (
+        SELECT note_id, n, list_reduce(list(struct_pack(s := s, e := e, txt := txt) ORDER BY s), lambda a, x: CASE WHEN x.s >= a[-1].e THEN list_append(a, x) ELSE a END, [struct_pack(s := -1::BIGINT, e := -1::BIGINT, txt := '')])[2:] AS kept
+        FROM tried GROUP BY note_id, n),
+    spans AS (
+        SELECT note_id, CAST(0 AS BIGINT) AS n, CAST(s AS BIGINT) AS s, CAST(e AS BIGINT) AS e, txt FROM ({matches('notes', 'note_id', 'text', EMAIL)})
+        UNION ALL SELECT note_id, 1, CAST(s AS BIGINT), CAST(e AS BIGINT), txt FROM ({matches('notes', 'note_id', 'text', PHONE)})
+        UNION ALL SELECT note_id, n, k.s, k.e, k.txt FROM (SELECT note_id, n, unnest(kept) AS k FROM apart)),
+    named AS (SELECT *, ['{"', '".join(RULE_LABELS)}'][n + 1] AS label FROM spans),
+    ranked AS (SELECT *, label IN {DIRECT_LIST} AS direct, row_number() OVER (PARTITION BY note_id ORDER BY n, s) AS seq FROM named),
+    stood AS (
+        SELECT note_id, list_reduce(list(struct_pack(s := s, e := e, txt := txt, label := label) ORDER BY direct DESC, e - s DESC, seq),
+               lambda a, x: CASE WHEN len(list_filter(a, lambda y: y.s < x.e AND y.e > x.s)) = 0 THEN list_append(a, x) ELSE a END, [struct_pack(s := -1::BIGINT, e := -1::BIGINT, txt := '', label := '')])[2:] AS kept
+        FROM ranked GROUP BY note_id),
+    ruled AS (SELECT note_id, CAST(generate_subscripts(kept, 1) - 1 AS BIGINT) AS seq, unnest(kept) AS k FROM stood)
+"""
+WORDS = rf"""
+    words AS (SELECT * FROM (VALUES {", ".join(f"({i}, '{w}', '{label}', '{risk}', '{g}')" for i, (w, (label, risk, g)) in enumerate(NOTE_WORDS.items()))}) AS t(i, w, label, risk, g)),
+    spots AS (SELECT note_id, w.*, length(regexp_extract(text, '^(.*?(?:^|[^\p{{L}}\p{{N}}]))' || w || '(?:[^\p{{L}}\p{{N}}]|$)', 1, 's')) AS s FROM notes, words w
+           WHERE regexp_matches(text, '(?:^|[^\p{{L}}\p{{N}}])' || w || '(?:[^\p{{L}}\p{{N}}]|$)')),
+    claimed AS (SELECT *, CAST(row_number() OVER (PARTITION BY note_id ORDER BY i) - 1 AS BIGINT) AS seq FROM spots)
+"""
+FOUND = rf"""
+    {RULES}, {WORDS},
+    ents AS (
+        SELECT '' AS run_label, note_id AS note, seq, k.txt AS txt, k.label AS label, k.s AS s, k.e AS e, 'rule' AS source, CAST(NULL AS VARCHAR) AS g FROM ruled
+        UNION ALL SELECT '', note_id, 1000000 + seq, w, label, s, s + length(w), 'llm', g FROM claimed)
+"""
+MENTIONS = rf"""
+    texts AS ({TEXTS}),
+    runs AS (SELECT DISTINCT a.run_label, a.note, t.text FROM audit a JOIN texts t ON t.note = a.note),
+    own AS (SELECT run_label, note, seq, 0 AS k, txt AS needle FROM ents WHERE txt <> ''),
+    parts AS (
+        SELECT run_label, note, seq, k, trim(p, '.,') AS needle
+        FROM (SELECT run_label, note, seq, generate_subscripts(ps, 1) AS k, unnest(ps) AS p FROM (SELECT run_label, note, seq, string_split_regex(txt, '{S_}+') AS ps FROM ents WHERE label = 'private_person' AND txt <> ''))
+        WHERE length(trim(p, '.,')) >= 3 AND regexp_matches(trim(p, '.,'), '^\p{{Lu}}') AND lower(trim(p, '.,')) NOT IN ('dr', 'dr.', 'professor', 'prof', 'prof.')),
+    needles AS (SELECT run_label, note, needle, arg_min(seq, (seq, k)) AS seq, min((seq, k)) AS turn FROM (SELECT * FROM own UNION ALL SELECT * FROM parts) GROUP BY run_label, note, needle),
+    cut AS (SELECT n.*, r.text, string_split(r.text, n.needle) AS gaps FROM needles n JOIN runs r ON r.run_label = n.run_label AND r.note = n.note WHERE contains(r.text, n.needle)),
+    occ AS (
+        SELECT run_label, note, seq, turn, text, needle, i, CAST(list_sum(list_transform(gaps[1:i], lambda x: length(x))) + (i - 1) * length(needle) AS BIGINT) AS s
+        FROM (SELECT *, unnest(generate_series(1, len(gaps) - 1)) AS i FROM cut)),
+    whole AS (
+        SELECT run_label, note, seq, turn, needle, s, s + length(needle) AS e, substring(text, s, 1) AS before, substring(text, s + length(needle) + 1, 1) AS after FROM occ),
+    bounded AS (
+        SELECT * FROM whole
+        WHERE (s > 0 AND regexp_matches(before, '^{W_}')) <> regexp_matches(needle, '^{W_}') AND regexp_matches(after, '^{W_}') <> regexp_matches(needle, '{W_}$')),
+    turns AS (SELECT run_label, note, list(struct_pack(seq := seq, s := s, e := e, needle := needle) ORDER BY turn, s) AS new FROM bounded GROUP BY run_label, note),
+    held AS (SELECT run_label, note, list(struct_pack(seq := -1::BIGINT, s := s, e := e, needle := '')) AS known FROM ents WHERE s < e GROUP BY run_label, note),
+    grown AS (
+        SELECT t.run_label, t.note, list_filter(list_reduce(new, lambda a, x: CASE WHEN len(list_filter(a, lambda y: y.s < x.e AND y.e > x.s)) = 0 THEN list_append(a, x) ELSE a END,
+               coalesce(known, [struct_pack(seq := -1::BIGINT, s := -1::BIGINT, e := -1::BIGINT, needle := '')])), lambda y: y.seq >= 0) AS kept
+        FROM turns t LEFT JOIN held h ON h.run_label = t.run_label AND h.note = t.note)
+"""
+
 RATES = ", ".join(
     f"round(100.0::DOUBLE * count(*) FILTER (kind = '{k}' AND hit) / nullif(count(*) FILTER (kind = '{k}'), 0), 6) AS {n}" for k, n in (("direct", "direct"), ("quasi", "quasi"), ("decoy", "decoys"), ("med", "meds"))
 )
@@ -237,9 +308,41 @@ GAZETTEER = rf"""
 """
 
 
+AUDIT_LOG = f"""SELECT run_label, note, row_number() OVER (PARTITION BY run_label, note ORDER BY start_pos, audit_id) AS position, original, label, start_pos, end_pos, source, risk,
+            {replacement('original', 'label', 'generalized_to')} AS generalized_to FROM audit"""
+
+# A mask widened to the words at its edges, relabelled, then folded over the rest.
+WORDLIKE = r"[\p{L}\p{N}-]"
+REPAIR = rf"""
+    WITH m AS (
+        SELECT row_id, source_text AS t, i, greatest(0, x.start_pos) AS s0, least(length(source_text), x.end_pos) AS e0,
+               coalesce({case_map(case_map('x.label', MASK), MODEL)}, x.label) AS label
+        FROM (SELECT row_id, source_text, generate_subscripts(privacy_mask, 1) AS i, unnest(privacy_mask) AS x FROM sv_pure3 WHERE source_text IS NOT NULL AND privacy_mask IS NOT NULL)),
+    inner_ AS (SELECT *, substring(t, CAST(s0 + 1 AS BIGINT), CAST(e0 - s0 AS BIGINT)) AS x FROM m WHERE s0 <= e0),
+    bare AS (SELECT *, s0 + length(regexp_extract(x, '^{S_}*')) AS s1, greatest(s0 + length(regexp_extract(x, '^{S_}*')), e0 - length(regexp_extract(x, '{S_}*$'))) AS e1 FROM inner_),
+    wide AS (SELECT *, s1 - length(regexp_extract(substring(t, 1, CAST(s1 AS BIGINT)), '{WORDLIKE}*$')) AS s, e1 + length(regexp_extract(substring(t, CAST(e1 + 1 AS BIGINT)), '^{WORDLIKE}*')) AS e FROM bare),
+    shown AS (SELECT *, substring(t, CAST(s + 1 AS BIGINT), CAST(e - s AS BIGINT)) AS w FROM wide),
+    meant AS (SELECT row_id, t, i, CAST(s AS BIGINT) AS s, CAST(e AS BIGINT) AS e, CASE WHEN label = 'private_person' AND regexp_matches(w, '\p{{Nd}}') THEN 'demographics' ELSE label END AS label, w FROM shown),
+    kept AS (SELECT * FROM meant WHERE label IS DISTINCT FROM 'private_email' OR contains(w, '@')),
+    done AS (
+        SELECT row_id, list_reduce(list(struct_pack(s := s, e := e, label := label, t := t) ORDER BY s, i), lambda a, x: CASE
+               WHEN a[-1].label = x.label AND regexp_matches(substring(x.t, a[-1].e + 1, greatest(0, x.s - a[-1].e)), '^{S_}*\.?{S_}*$')
+               THEN list_append(a[:-2], struct_pack(s := a[-1].s, e := x.e, label := x.label, t := x.t)) ELSE list_append(a, x) END, CAST([] AS STRUCT(s BIGINT, e BIGINT, label VARCHAR, t VARCHAR)[])) AS c
+        FROM kept GROUP BY row_id)
+    SELECT row_id, CAST(generate_subscripts(c, 1) - 1 AS BIGINT) AS n, unnest(c).s AS start_pos, unnest(c).e AS end_pos, unnest(c).label AS label FROM done
+"""
+_FLAT = strip("replace(coalesce(original, ''), chr(10), ' ')")
+def tuning(order: str, generalized: str = "generalized_to") -> str:
+    return f"""
+    {RUNS},
+    f AS (SELECT run_label, note, start_pos, audit_id, {_FLAT} AS x, label, nullif({generalized}, '') AS g, label IN {sql_list(HIGH_RISK)} AS high FROM audit WHERE label IS NOT NULL),
+    j AS (SELECT run_label, note, '[' || string_agg('{{"text":' || to_json(x) || ',"label":' || to_json(label) || ',"risk":"' || CASE WHEN high THEN 'high' ELSE 'medium' END || '"' || CASE WHEN g IS NULL THEN '' ELSE ',"generalized":' || to_json(g) END || '}}', ',' ORDER BY {order}) || ']' AS out
+          FROM f WHERE x <> '' GROUP BY run_label, note),
+    tuned AS (SELECT r.run_label, r.note, 'Hitta identifierande uppgifter och svara med JSON.' AS system_prompt, text AS user_input, coalesce(out, '[]') AS assistant_output FROM runs r LEFT JOIN j ON j.run_label = r.run_label AND j.note = r.note)
+"""
+
+
 def sql() -> dict[str, str]:
-    email = r"[\p{L}\p{N}_.+-]+@[\p{L}\p{N}_-]+\.[a-zA-Z]{2,}"
-    phone = r"(?:\+46|0046|0)[\s\p{Z}\-]?[0-9]{1,4}[\s\p{Z}\-]?[0-9]{3}[\s\p{Z}\-]?[0-9]{2}[\s\p{Z}\-]?[0-9]{2}"
     spans = lambda p: f"SELECT note_id, CAST(s AS BIGINT) AS start_pos, CAST(e AS BIGINT) AS end_pos, txt AS text FROM ({matches('notes', 'note_id', 'text', p)})"
     stage = "CASE source " + " ".join(f"WHEN '{s}' THEN {i}" for i, s in enumerate(SOURCES)) + " END"
     budget = lambda base: f"CAST({base} + greatest(4096, 2 * t) AS BIGINT)"
@@ -249,24 +352,45 @@ def sql() -> dict[str, str]:
     values = lambda rows: ", ".join(f"({a}, '{b}')" for a, b in rows)
     taxonomy = ", ".join(f"('{k}', '{v}', {k in DIRECT}, {k in PROTECTED}, false)" for k, v in PLACEHOLDERS.items()) + ", ('medication', NULL, false, false, true)"
     return {
-        "rule_spans_email": spans(email),
-        "rule_spans_phone": spans(phone),
+        "rule_spans_email": spans(EMAIL),
+        "rule_spans_phone": spans(PHONE),
+        "rule_spans": f"WITH {RULES} SELECT note_id, n AS pattern_no, label, s AS start_pos, e AS end_pos, txt AS text FROM named",
+        "rule_entities": f"WITH {RULES} SELECT note_id, seq, k.label AS label, k.s AS start_pos, k.e AS end_pos, k.txt AS text FROM ruled",
+        "rule_label_counts": f"WITH {RULES} SELECT k.label AS label, count(*) AS n FROM ruled GROUP BY ALL",
+        "redact_notes": f"""
+            WITH {RULES}, ents AS (SELECT '' AS run_label, note_id AS note, seq, k.txt AS txt, k.label AS label, k.s AS s, k.e AS e, 'rule' AS source, CAST(NULL AS VARCHAR) AS g FROM ruled),
+            {PLAN_OF}, runs AS (SELECT '' AS run_label, note_id AS note, text FROM notes), {SPLICE_OF}
+            SELECT note_id, coalesce(redacted, text) AS redacted FROM notes LEFT JOIN redacted ON note = note_id""",
+        "word_entities": f"WITH {WORDS} SELECT note_id, seq, w AS text, label, CAST(s AS BIGINT) AS start_pos, CAST(s + length(w) AS BIGINT) AS end_pos, 'llm' AS source, g AS generalized, risk FROM claimed",
+        "plain_text": f"""
+            WITH {FOUND}, {PLAN_OF}, runs AS (SELECT '' AS run_label, note_id AS note, text FROM notes), {SPLICE_OF}
+            SELECT note_id, coalesce(redacted, text) AS redacted, false AS needs_review FROM notes LEFT JOIN redacted ON note = note_id""",
+        "plain_generalized": f"""
+            WITH {WORDS} SELECT label, CASE WHEN label NOT IN {sql_list((*DIRECT, *VERBATIM))} THEN 'generaliserad ' || label END AS generalized, count(*) AS n, count(*) FILTER (label NOT IN {sql_list((*DIRECT, *VERBATIM))}) AS filled
+            FROM claimed GROUP BY label""",
+        "judged_notes": rf"""
+            WITH {FOUND}, {PLAN_OF}, runs AS (SELECT '' AS run_label, note_id AS note, text FROM notes), {SPLICE_OF},
+            first AS (SELECT note_id, text, coalesce(redacted, text) AS red FROM notes LEFT JOIN redacted ON note = note_id),
+            flag AS (  -- digits beside a placeholder were cut out of a longer run, so no claim can be placed on them
+                SELECT *, regexp_matches(red, '(?:^|[^\p{{L}}\p{{N}}])[0-9]{{6,}}(?:[^\p{{L}}\p{{N}}]|$)') AS digits, regexp_matches(red, '(?:^|[^\p{{L}}\p{{N}}])[0-9]{{6,}}\[|\][0-9]{{6,}}(?:[^\p{{L}}\p{{N}}]|$)') AS beside FROM first),
+            free AS (SELECT *, regexp_matches(regexp_replace(red, '[0-9]{{6,}}\[|\][0-9]{{6,}}', '#', 'g'), '(?:^|[^\p{{L}}\p{{N}}])[0-9]{{6,}}(?:[^\p{{L}}\p{{N}}]|$)') AS placed FROM flag)
+            SELECT note_id, coalesce(beside, false) AS needs_review, beside AS digits_left, coalesce(placed, false) AS retried FROM free""",
+        "propagated": f"""
+            WITH ents AS ({ENTITIES}), {MENTIONS}
+            SELECT run_label, note, CAST(generate_subscripts(kept, 1) - 1 AS BIGINT) AS n, unnest(kept).seq AS seq, unnest(kept).s AS start_pos, unnest(kept).e AS end_pos, unnest(kept).needle AS text FROM grown""",
         "gazetteer_patterns": f"WITH {GAZETTEER} SELECT key, name, label FROM patterns",
         "gazetteer_spans": rf"""
             WITH {GAZETTEER}, toks AS ({matches('notes', 'note_id', 'text', r'[\p{L}\p{N}]+')}),
             grams AS (SELECT a.note_id, a.s, b.e FROM toks a JOIN toks b ON b.note_id = a.note_id AND b.i BETWEEN a.i AND a.i + 3 WHERE regexp_matches(a.txt, '^\p{{Lu}}')),
             cut AS (SELECT g.note_id, s, e, substring(n.text, CAST(s + 1 AS BIGINT), CAST(e - s AS BIGINT)) AS text FROM grams g JOIN notes n ON n.note_id = g.note_id)
             SELECT note_id, CAST(s AS BIGINT) AS start_pos, CAST(e AS BIGINT) AS end_pos, text, label FROM cut JOIN patterns ON key = lower(text)""",
-        "mock_entities": """SELECT doc_id, CAST(0 AS BIGINT) AS seq, 'snickare' AS text, 'demographics' AS label, CAST(3 AS BIGINT) AS start_pos, CAST(11 AS BIGINT) AS end_pos, 'llm' AS source,
-            'hantverkare' AS generalized, 'medium' AS risk FROM documents WHERE text IS NOT NULL""",
         "greedy_accept": GREEDY,
         "redaction_plan": f"WITH {PLAN} SELECT run_label, note, seq, label, source, start_pos, end_pos, whole, generalized FROM plan",
         "replacements": f"SELECT audit_id, {replacement('original', 'label', 'generalized_to')} AS replacement FROM audit",
         "replacements_no_generalize": f"SELECT audit_id, {replacement('original', 'label', 'generalized_to', True)} AS replacement FROM audit",
         "age_decades": f"SELECT audit_id, {age('original')} AS age_range FROM audit",
         "redacted_runs": f"WITH {SPLICED} SELECT run_label, note, redacted FROM redacted",
-        "audit_log": f"""SELECT run_label, note, row_number() OVER (PARTITION BY run_label, note ORDER BY start_pos, audit_id) AS position, original, label, start_pos, end_pos, source, risk,
-            {replacement('original', 'label', 'generalized_to')} AS generalized_to FROM audit""",
+        "audit_log": AUDIT_LOG,
         "stage_counts": "SELECT run_label, source, count(*) AS n FROM audit GROUP BY run_label, source",
         "union_stages": f"SELECT run_label, note, row_number() OVER (PARTITION BY run_label, note ORDER BY {stage}, audit_id) AS seq, source, label, start_pos FROM audit WHERE source IN {sql_list(SOURCES)}",
         "taxonomy": f"SELECT * FROM (VALUES {taxonomy}) AS t(label, placeholder, direct, protected, verbatim)",
@@ -277,14 +401,22 @@ def sql() -> dict[str, str]:
             FROM audit WHERE source = 'llm' AND original IS NOT NULL AND length(original) >= 2""",
         "token_budgets": f"""WITH d AS (SELECT doc_id, CAST(ceil(n_chars / 4) AS BIGINT) AS t FROM documents WHERE n_chars IS NOT NULL)
             SELECT doc_id, {budget('greatest(2048, 2 * t)')} AS "full", {budget('greatest(512, t)')} AS quasi, {budget('1000')} AS targeted FROM d""",
-        "quantization_tiers": "SELECT p_partkey, CASE WHEN p_retailprice / 20 >= p_size * 2 * 1.2::DOUBLE THEN 'none' WHEN p_retailprice / 20 >= p_size * 1.6::DOUBLE THEN '8bit' ELSE '4bit' END AS tier FROM part",
+        "quantization_tiers": f"""
+            WITH r(backend, p) AS (VALUES {", ".join(f"('{name}', {billions})" for name, (_, _, billions) in REGISTRY.items())}), v(vram) AS (VALUES (NULL), (8), (16), (24), (40), (48), (80))
+            SELECT backend, CAST(vram AS DOUBLE) AS vram, CASE WHEN vram IS NULL OR vram >= p * 2 * 1.2::DOUBLE THEN 'none' WHEN vram >= p * 1.6::DOUBLE THEN '8bit' ELSE '4bit' END AS tier FROM r, v""",
         "judge_panel": panel(1),
         "judge_votes": panel(2),
         "judge_first_flags": f"WITH {FLAGS} SELECT note, seq, judge, quote FROM (SELECT *, row_number() OVER (PARTITION BY note, quote ORDER BY seq) AS r FROM flags WHERE quote <> '') WHERE r = 1",
         "needs_review": f"WITH s AS ({panel(1)}), h AS (SELECT DISTINCT note FROM s), t AS ({TEXTS}) SELECT t.note, h.note IS NOT NULL AS needs_review FROM t LEFT JOIN h ON h.note = t.note",
         "sentence_units": f"WITH {UNITS} SELECT note_id, row_number() OVER (PARTITION BY note_id ORDER BY s) - 1 AS unit_no, CAST(s AS BIGINT) AS start_pos, CAST(e AS BIGINT) AS end_pos FROM units",
+        "sentence_chunks": f"""
+            WITH {UNITS}, packs AS (
+                SELECT note_id, list_reduce(list(struct_pack(s := s, e := e) ORDER BY s), lambda a, x: CASE WHEN x.e - a[-1].s <= 1800 THEN list_append(a[:-2], struct_pack(s := a[-1].s, e := x.e)) ELSE list_append(a, x) END, CAST([] AS STRUCT(s BIGINT, e BIGINT)[])) AS c
+                FROM (SELECT note_id, CAST(s AS BIGINT) AS s, CAST(e AS BIGINT) AS e FROM units) GROUP BY note_id)
+            SELECT note_id, CAST(generate_subscripts(c, 1) - 1 AS BIGINT) AS chunk_no, unnest(c).s AS start_pos, unnest(c).e AS end_pos FROM packs""",
         "training_chunks": f"""WITH {CHUNKS} SELECT row_id, chunk_no, CAST(s AS BIGINT) AS start_pos, CAST(e AS BIGINT) AS end_pos,
-            CAST(coalesce(len(list_filter(privacy_mask, lambda x: x.start_pos >= s AND x.end_pos <= e)), 0) AS BIGINT) AS n_spans FROM k""",
+            CAST(coalesce(len(list_filter(privacy_mask, lambda x: x.start_pos >= s AND x.end_pos <= e)), 0) AS BIGINT) AS n_spans,
+            coalesce(array_to_string(list_transform(list_filter(privacy_mask, lambda x: x.start_pos >= s AND x.end_pos <= e), lambda x: (x.start_pos - s)::VARCHAR || ':' || (x.end_pos - s)::VARCHAR || ':' || coalesce(x.label, '')), ','), '') AS spans FROM k""",
         "review_rendered": RENDERED,
         "char_windows": """
             WITH n AS (SELECT doc_id, length(text) AS l FROM documents WHERE text IS NOT NULL AND text <> ''),
@@ -294,6 +426,28 @@ def sql() -> dict[str, str]:
         "decoded_spans": f"WITH {DECODED} SELECT row_id, start_pos, end_pos, label, tokens FROM decoded",
         "ner_f_scores": f_scores(""),
         "ner_f_scores_by_label": f_scores("label"),
+        "ner_report": f"""
+            WITH r AS ({f_scores("label")}), t AS (SELECT sum(gold) AS gold, sum(predicted) AS predicted, sum(correct) AS correct FROM r),
+            m AS (SELECT correct / predicted::DOUBLE AS p, correct / gold::DOUBLE AS q, gold FROM t)
+            SELECT label, "precision", recall, f1, f2, gold AS support FROM r
+            UNION ALL SELECT 'micro', round(p, 9), round(q, 9), round(2 * p * q / (p + q), 9), round(5 * p * q / (4 * p + q), 9), CAST(gold AS BIGINT) FROM m
+            UNION ALL SELECT 'macro', round(avg("precision"), 9), round(avg(recall), 9), round(avg(f1), 9), round(avg(f2), 9), CAST(sum(gold) AS BIGINT) FROM r
+            UNION ALL SELECT 'weighted', round(sum("precision" * gold) / sum(gold), 9), round(sum(recall * gold) / sum(gold), 9), round(sum(f1 * gold) / sum(gold), 9), round(sum(f2 * gold) / sum(gold), 9), CAST(sum(gold) AS BIGINT) FROM r""",
+        "fragment_repair": REPAIR,
+        "tuning_rows": f"WITH {tuning('audit_id')} SELECT run_label, note, system_prompt, user_input, assistant_output FROM tuned",
+        "export_tuning_rows": f"WITH {tuning('start_pos, audit_id', strip('generalized_to'))} SELECT run_label, note, system_prompt, user_input, assistant_output FROM tuned",
+        "export_ner_rows": f"""
+            WITH {RUNS}, a AS (SELECT run_label, note, count(*) AS n, CAST(sum(end_pos) AS BIGINT) AS ends FROM audit WHERE label IS NOT NULL GROUP BY run_label, note)
+            SELECT r.run_label, r.note, length(text) AS n_chars, coalesce(n, 0) AS n_spans, coalesce(ends, 0) AS ends FROM runs r LEFT JOIN a ON a.run_label = r.run_label AND a.note = r.note""",
+        "gazetteer_file": "SELECT wikidata_id, nullif(label_en, '') AS label_en, nullif(label_sv, '') AS label_sv, category FROM gazetteer",
+        "tuning_file": f"""
+            WITH {tuning('audit_id')}, p AS (SELECT *, CASE WHEN CAST('0x' || left(md5(run_label || '|' || note || '|7'), 8) AS BIGINT) < 3435973836 THEN 'train' ELSE 'validation' END AS part FROM tuned)
+            SELECT part, count(*) AS n, CAST(sum(length(user_input)) AS BIGINT) AS chars_in, CAST(sum(length(assistant_output)) AS BIGINT) AS chars_out FROM p GROUP BY part""",
+        "review_file": f"""
+            WITH {RUNS}, i AS (SELECT run_label, note, sum(CASE WHEN source IN {sql_list(SOURCES)} THEN 3 ELSE 2 END) AS items FROM audit GROUP BY run_label, note)
+            SELECT r.run_label, count(*) AS tasks, CAST(sum(items) AS BIGINT) AS items, CAST(sum(length(text)) AS BIGINT) AS chars FROM runs r JOIN i ON i.run_label = r.run_label AND i.note = r.note GROUP BY r.run_label""",
+        "score_misses": f"""
+            WITH {OUTCOMES} SELECT run_label, o.note, kind, string_agg(coalesce(g.text, ''), '|' ORDER BY coalesce(g.text, '')) AS items FROM outcomes o JOIN synthetic_notes_key g ON g.item_id = o.item_id WHERE NOT hit GROUP BY run_label, o.note, kind""",
         "label_counts": f"WITH m AS (SELECT unnest(privacy_mask).label AS label FROM sv_pure3 WHERE privacy_mask IS NOT NULL) SELECT label, count(*) AS n, {case_map('label', MASK)} AS category FROM m GROUP BY label",
         "tag_vocabulary": "SELECT CAST(id AS BIGINT) AS id, tag FROM (VALUES " + values(enumerate(["O"] + [f"{p}-{c}" for c in CATEGORIES for p in "BI"])) + ") AS t(id, tag)",
         "train_split": """
@@ -331,5 +485,6 @@ def sql() -> dict[str, str]:
             SELECT run_label, note, region, CAST(item AS BIGINT) AS item, 'ent_' || region AS id, from_name, type, start_pos, end_pos, original AS text, value, meta FROM x""",
         "review_round_trip": f"""SELECT run_label, note, coalesce(original, '') AS text, label, start_pos, end_pos, source, nullif({strip('generalized_to')}, '') AS generalized, coalesce(risk, 'low') AS risk FROM audit""",
         "review_clusters": CLUSTERS,
+        "audit_file": AUDIT_LOG,
         "deliveries": """SELECT doc_id, note_id, coalesce(length(text), 0) AS n_chars FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY received_at DESC NULLS LAST, note_id DESC) AS r FROM notes) WHERE r = 1""",
     }

@@ -143,10 +143,10 @@ def write_summary(scores: DataFrame, path: str) -> None:
 
 
 def write_tuning(rows: DataFrame, base: str) -> None:
-    """<base>_train and <base>_validation as CSV with a header, by the column ``part``."""
+    """<base>_train and <base>_validation as CSV with a header, by the column ``part``; white space at the ends stays."""
     for part in ("train", "validation"):
-        rows.where(F.col("part") == part).drop("part").write.mode("overwrite").csv(f"{base}_{part}", header=True, quoteAll=True, escape='"')
+        rows.where(F.col("part") == part).drop("part").write.mode("overwrite").csv(f"{base}_{part}", header=True, quoteAll=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def write_gazetteer(rows: DataFrame, path: str) -> None:
-    rows.select("wikidata_id", "label_en", "label_sv", "category").write.mode("overwrite").csv(path, header=True, escape='"')
+    rows.select("wikidata_id", "label_en", "label_sv", "category").write.mode("overwrite").csv(path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
