@@ -27,8 +27,9 @@ def _notes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _texts(spark: SparkSession, d: str) -> DataFrame:
-    """(note, text): the first delivery of each note."""
-    return _notes(spark, d).where("text is not null").groupBy(F.col("doc_id").alias("note")).agg(F.min_by("text", "note_id").alias("text"))
+    """(note, text): the last delivery of each note that has a text."""
+    last = F.struct(F.coalesce("received_at", F.to_timestamp(F.lit("1970-01-01"))), "note_id")
+    return _notes(spark, d).where("text is not null").groupBy(F.col("doc_id").alias("note")).agg(F.max_by("text", last).alias("text"))
 
 
 def _entities(spark: SparkSession, d: str) -> DataFrame:

@@ -6,7 +6,7 @@ hold those against plain Python on small fixtures.
 
 from __future__ import annotations
 
-from dimskog.operators.backend import REGISTRY
+from dimskog.operators.backend import MOCK_KEYWORDS, REGISTRY
 from dimskog.operators.chunking import ABBREVIATIONS
 from dimskog.operators.gazetteer import CATEGORY_LABELS, GENERIC, SUFFIXES
 from dimskog.operators.tagging import CATEGORIES, MASK, MODEL
@@ -32,7 +32,7 @@ DIRECT_LIST, PROTECTED_LIST, GT_LIST = sql_list(DIRECT), sql_list(PROTECTED), sq
 ENTITIES = """
     SELECT run_label, note, audit_id AS seq, original AS txt, label, CAST(start_pos AS BIGINT) AS s, CAST(end_pos AS BIGINT) AS e, source, generalized_to AS g, risk FROM audit
 """
-TEXTS = "SELECT doc_id AS note, arg_min(text, note_id) AS text FROM notes WHERE text IS NOT NULL GROUP BY doc_id"
+TEXTS = "SELECT doc_id AS note, arg_max(text, (coalesce(received_at, TIMESTAMP '1970-01-01'), note_id)) AS text FROM notes WHERE text IS NOT NULL GROUP BY doc_id"
 
 
 def matches(table: str, key: str, text: str, pattern: str) -> str:
@@ -136,27 +136,32 @@ RULES = rf"""
         FROM ranked GROUP BY note_id),
     ruled AS (SELECT note_id, CAST(generate_subscripts(kept, 1) - 1 AS BIGINT) AS seq, unnest(kept) AS k FROM stood)
 """
-WORDS = rf"""
-    words AS (SELECT * FROM (VALUES {", ".join(f"({i}, '{w}', '{label}', '{risk}', '{g}')" for i, (w, (label, risk, g)) in enumerate(NOTE_WORDS.items()))}) AS t(i, w, label, risk, g)),
-    spots AS (SELECT note_id, w.*, length(regexp_extract(text, '^(.*?(?:^|[^\p{{L}}\p{{N}}]))' || w || '(?:[^\p{{L}}\p{{N}}]|$)', 1, 's')) AS s FROM notes, words w
-           WHERE regexp_matches(text, '(?:^|[^\p{{L}}\p{{N}}])' || w || '(?:[^\p{{L}}\p{{N}}]|$)')),
-    claimed AS (SELECT *, CAST(row_number() OVER (PARTITION BY note_id ORDER BY i) - 1 AS BIGINT) AS seq FROM spots)
-"""
+def words(known: dict[str, tuple[str, str, str]], table: str, key: str) -> str:
+    """(key, seq, i, w, label, risk, g, s): the first whole-word place of each known word in each text."""
+    rows = ", ".join(f"({i}, '{w}', '{label}', '{risk}', '{g}')" for i, (w, (label, risk, g)) in enumerate(known.items()))
+    return rf"""
+        words AS (SELECT * FROM (VALUES {rows}) AS t(i, w, label, risk, g)),
+        spots AS (SELECT {key}, w.*, length(regexp_extract(text, '^(.*?(?:^|[^\p{{L}}\p{{N}}]))' || w || '(?:[^\p{{L}}\p{{N}}]|$)', 1, 's')) AS s FROM {table}, words w
+               WHERE regexp_matches(text, '(?:^|[^\p{{L}}\p{{N}}])' || w || '(?:[^\p{{L}}\p{{N}}]|$)')),
+        claimed AS (SELECT *, CAST(row_number() OVER (PARTITION BY {key} ORDER BY i) - 1 AS BIGINT) AS seq FROM spots)
+    """
+
+
+WORDS = words(NOTE_WORDS, "notes", "note_id")
 FOUND = rf"""
     {RULES}, {WORDS},
     ents AS (
         SELECT '' AS run_label, note_id AS note, seq, k.txt AS txt, k.label AS label, k.s AS s, k.e AS e, 'rule' AS source, CAST(NULL AS VARCHAR) AS g FROM ruled
         UNION ALL SELECT '', note_id, 1000000 + seq, w, label, s, s + length(w), 'llm', g FROM claimed)
 """
+# New mentions of ``ents`` in ``runs``, in order of discovery.
 MENTIONS = rf"""
-    texts AS ({TEXTS}),
-    runs AS (SELECT DISTINCT a.run_label, a.note, t.text FROM audit a JOIN texts t ON t.note = a.note),
     own AS (SELECT run_label, note, seq, 0 AS k, txt AS needle FROM ents WHERE txt <> ''),
-    parts AS (
+    name_parts AS (
         SELECT run_label, note, seq, k, trim(p, '.,') AS needle
         FROM (SELECT run_label, note, seq, generate_subscripts(ps, 1) AS k, unnest(ps) AS p FROM (SELECT run_label, note, seq, string_split_regex(txt, '{S_}+') AS ps FROM ents WHERE label = 'private_person' AND txt <> ''))
         WHERE length(trim(p, '.,')) >= 3 AND regexp_matches(trim(p, '.,'), '^\p{{Lu}}') AND lower(trim(p, '.,')) NOT IN ('dr', 'dr.', 'professor', 'prof', 'prof.')),
-    needles AS (SELECT run_label, note, needle, arg_min(seq, (seq, k)) AS seq, min((seq, k)) AS turn FROM (SELECT * FROM own UNION ALL SELECT * FROM parts) GROUP BY run_label, note, needle),
+    needles AS (SELECT run_label, note, needle, arg_min(seq, (seq, k)) AS seq, min((seq, k)) AS turn FROM (SELECT * FROM own UNION ALL SELECT * FROM name_parts) GROUP BY run_label, note, needle),
     cut AS (SELECT n.*, r.text, string_split(r.text, n.needle) AS gaps FROM needles n JOIN runs r ON r.run_label = n.run_label AND r.note = n.note WHERE contains(r.text, n.needle)),
     occ AS (
         SELECT run_label, note, seq, turn, text, needle, i, CAST(list_sum(list_transform(gaps[1:i], lambda x: length(x))) + (i - 1) * length(needle) AS BIGINT) AS s
@@ -341,6 +346,40 @@ def tuning(order: str, generalized: str = "generalized_to") -> str:
     tuned AS (SELECT r.run_label, r.note, 'Hitta identifierande uppgifter och svara med JSON.' AS system_prompt, text AS user_input, coalesce(out, '[]') AS assistant_output FROM runs r LEFT JOIN j ON j.run_label = r.run_label AND j.note = r.note)
 """
 
+HITS = rf"""
+    {GAZETTEER}, toks AS ({matches('notes', 'note_id', 'text', r'[\p{L}\p{N}]+')}),
+    core AS (SELECT *, regexp_replace(key, '[^\p{{L}}\p{{N}}]+$', '') AS c FROM patterns),
+    size AS (SELECT max(len(regexp_extract_all(c, '[\p{{L}}\p{{N}}]+'))) AS most FROM core),
+    grams AS (SELECT a.note_id, a.s, b.e FROM toks a JOIN toks b ON b.note_id = a.note_id JOIN size ON b.i BETWEEN a.i AND a.i + most - 1 WHERE regexp_matches(a.txt, '^\p{{Lu}}')),
+    slices AS (SELECT g.note_id, s, e, substring(n.text, CAST(s + 1 AS BIGINT), CAST(e - s AS BIGINT)) AS txt, n.text FROM grams g JOIN notes n ON n.note_id = g.note_id),
+    near AS (SELECT x.*, label, length(key) - length(c) AS more, key FROM slices x JOIN core ON c = lower(x.txt)),
+    hits AS (
+        SELECT note_id, CAST(s AS BIGINT) AS s, CAST(e + more AS BIGINT) AS e, substring(text, CAST(s + 1 AS BIGINT), CAST(e + more - s AS BIGINT)) AS txt, label FROM near
+        WHERE more = 0 OR (lower(substring(text, CAST(s + 1 AS BIGINT), CAST(e + more - s AS BIGINT))) = key AND NOT regexp_matches(substring(text, CAST(e + more + 1 AS BIGINT), 1), '[\p{{L}}\p{{N}}]')))
+"""
+# Rules, gazetteer and their further mentions: a whole run without models.
+WHOLE = rf"""
+    {RULES}, {HITS},
+    chosen AS (
+        SELECT note_id, list_reduce(list(struct_pack(s := s, e := e, txt := txt, label := label) ORDER BY label IN {DIRECT_LIST} DESC, e - s DESC, s * 1048576 + e),
+               lambda a, x: CASE WHEN len(list_filter(a, lambda y: y.s < x.e AND y.e > x.s)) = 0 THEN list_append(a, x) ELSE a END, CAST([] AS STRUCT(s BIGINT, e BIGINT, txt VARCHAR, label VARCHAR)[])) AS kept
+        FROM hits GROUP BY note_id),
+    first_ AS (
+        SELECT note_id, seq, k.txt AS txt, k.label AS label, k.s AS s, k.e AS e, 'rule' AS source FROM ruled
+        UNION ALL SELECT note_id, 1000000 + k.s * 1048576 + k.e, k.txt, k.label, k.s, k.e, 'gazetteer' FROM (SELECT note_id, unnest(kept) AS k FROM chosen)),
+    runs AS (SELECT '' AS run_label, note_id AS note, text FROM notes WHERE text IS NOT NULL),
+    found AS (SELECT '' AS run_label, note_id AS note, seq, txt, label, s, e, source, CAST(NULL AS VARCHAR) AS g FROM first_),
+    {MENTIONS.replace("FROM ents", "FROM found")},
+    more AS (SELECT note, CAST(generate_subscripts(kept, 1) AS BIGINT) AS n, unnest(kept) AS k FROM grown),
+    ents AS (
+        SELECT * FROM found
+        UNION ALL SELECT '', m.note, 10000000000000 + m.n, m.k.needle, f.label, m.k.s, m.k.e, 'propagated', NULL FROM more m JOIN found f ON f.note = m.note AND f.seq = m.k.seq)
+"""
+WHOLE_AUDIT = f"""
+    WITH {WHOLE} SELECT note AS note_id, row_number() OVER (PARTITION BY note ORDER BY s, seq) AS position, txt AS original, label, s AS start_pos, e AS end_pos, source, 'high' AS risk,
+    {replacement('txt', 'label', 'g')} AS generalized_to FROM ents
+"""
+
 
 def sql() -> dict[str, str]:
     spans = lambda p: f"SELECT note_id, CAST(s AS BIGINT) AS start_pos, CAST(e AS BIGINT) AS end_pos, txt AS text FROM ({matches('notes', 'note_id', 'text', p)})"
@@ -361,6 +400,11 @@ def sql() -> dict[str, str]:
             WITH {RULES}, ents AS (SELECT '' AS run_label, note_id AS note, seq, k.txt AS txt, k.label AS label, k.s AS s, k.e AS e, 'rule' AS source, CAST(NULL AS VARCHAR) AS g FROM ruled),
             {PLAN_OF}, runs AS (SELECT '' AS run_label, note_id AS note, text FROM notes), {SPLICE_OF}
             SELECT note_id, coalesce(redacted, text) AS redacted FROM notes LEFT JOIN redacted ON note = note_id""",
+        "mock_entities": f"WITH {words(MOCK_KEYWORDS, 'documents', 'doc_id')} SELECT doc_id, seq, w AS text, label, CAST(s AS BIGINT) AS start_pos, CAST(s + length(w) AS BIGINT) AS end_pos, 'llm' AS source, g AS generalized, risk FROM claimed",
+        "deidentified_text": f"""
+            WITH {WHOLE}, {PLAN_OF}, {SPLICE_OF} SELECT note_id, coalesce(redacted, text) AS redacted FROM notes LEFT JOIN redacted ON note = note_id""",
+        "deidentified_audit": WHOLE_AUDIT,
+        "backstop_audit": WHOLE_AUDIT,
         "word_entities": f"WITH {WORDS} SELECT note_id, seq, w AS text, label, CAST(s AS BIGINT) AS start_pos, CAST(s + length(w) AS BIGINT) AS end_pos, 'llm' AS source, g AS generalized, risk FROM claimed",
         "plain_text": f"""
             WITH {FOUND}, {PLAN_OF}, runs AS (SELECT '' AS run_label, note_id AS note, text FROM notes), {SPLICE_OF}
@@ -376,14 +420,10 @@ def sql() -> dict[str, str]:
             free AS (SELECT *, regexp_matches(regexp_replace(red, '[0-9]{{6,}}\[|\][0-9]{{6,}}', '#', 'g'), '(?:^|[^\p{{L}}\p{{N}}])[0-9]{{6,}}(?:[^\p{{L}}\p{{N}}]|$)') AS placed FROM flag)
             SELECT note_id, coalesce(beside, false) AS needs_review, beside AS digits_left, coalesce(placed, false) AS retried FROM free""",
         "propagated": f"""
-            WITH ents AS ({ENTITIES}), {MENTIONS}
+            WITH ents AS ({ENTITIES}), {RUNS}, {MENTIONS}
             SELECT run_label, note, CAST(generate_subscripts(kept, 1) - 1 AS BIGINT) AS n, unnest(kept).seq AS seq, unnest(kept).s AS start_pos, unnest(kept).e AS end_pos, unnest(kept).needle AS text FROM grown""",
         "gazetteer_patterns": f"WITH {GAZETTEER} SELECT key, name, label FROM patterns",
-        "gazetteer_spans": rf"""
-            WITH {GAZETTEER}, toks AS ({matches('notes', 'note_id', 'text', r'[\p{L}\p{N}]+')}),
-            grams AS (SELECT a.note_id, a.s, b.e FROM toks a JOIN toks b ON b.note_id = a.note_id AND b.i BETWEEN a.i AND a.i + 3 WHERE regexp_matches(a.txt, '^\p{{Lu}}')),
-            cut AS (SELECT g.note_id, s, e, substring(n.text, CAST(s + 1 AS BIGINT), CAST(e - s AS BIGINT)) AS text FROM grams g JOIN notes n ON n.note_id = g.note_id)
-            SELECT note_id, CAST(s AS BIGINT) AS start_pos, CAST(e AS BIGINT) AS end_pos, text, label FROM cut JOIN patterns ON key = lower(text)""",
+        "gazetteer_spans": f"WITH {HITS} SELECT note_id, s AS start_pos, e AS end_pos, txt AS text, label FROM hits",
         "greedy_accept": GREEDY,
         "redaction_plan": f"WITH {PLAN} SELECT run_label, note, seq, label, source, start_pos, end_pos, whole, generalized FROM plan",
         "replacements": f"SELECT audit_id, {replacement('original', 'label', 'generalized_to')} AS replacement FROM audit",
