@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from dimskog.operators import backend, chunking, conflicts, coreference, gazetteer, judge, model, redact, review, rules, scoring, tagging, training
 from dimskog.plans import oracle, pipeline
-from dimskog.plans.words import NOTE_WORDS
+from dimskog.plans.words import NAMED, NOTE_WORDS, UNSURE
 from dimskog.runtime import scratch, spread, table
 from dimskog.schema import CONFIDENCE, SOURCES, taxonomy
 from dimskog.sources import files
@@ -146,8 +146,7 @@ def judged_notes(spark: SparkSession, d: str) -> DataFrame:
 
 def note_model() -> model.DictionaryModel:
     """A small dictionary model for the notes: some given names, places, and a word it is unsure of."""
-    names = dict.fromkeys(("Elsa", "Hassan", "Birgitta", "Torsten", "Dr"), ("Name", 0.96))
-    return model.DictionaryModel(names | dict.fromkeys(("Lomkulla", "Hägerberga", "Videboda"), ("Address", 0.97)) | {"Puls": ("Name", 0.6)})
+    return model.DictionaryModel({w: (c, 0.6 if w in UNSURE else 0.96) for w, c in NAMED.items()})
 
 
 def model_entities(spark: SparkSession, d: str) -> DataFrame:

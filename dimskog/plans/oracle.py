@@ -11,7 +11,7 @@ from dimskog.operators.chunking import ABBREVIATIONS
 from dimskog.operators.gazetteer import CATEGORY_LABELS, GENERIC, SUFFIXES
 from dimskog.operators.tagging import CATEGORIES, MASK, MODEL
 from dimskog.operators.training import HIGH_RISK
-from dimskog.plans.words import NOTE_WORDS
+from dimskog.plans.words import NAMED, NOTE_WORDS, UNSURE
 from dimskog.schema import DIRECT, FALLBACK, GROUND_TRUTH, PLACEHOLDERS, PROTECTED, SOURCES, VERBATIM, sql_list
 
 
@@ -400,6 +400,10 @@ def sql() -> dict[str, str]:
             WITH {RULES}, ents AS (SELECT '' AS run_label, note_id AS note, seq, k.txt AS txt, k.label AS label, k.s AS s, k.e AS e, 'rule' AS source, CAST(NULL AS VARCHAR) AS g FROM ruled),
             {PLAN_OF}, runs AS (SELECT '' AS run_label, note_id AS note, text FROM notes), {SPLICE_OF}
             SELECT note_id, coalesce(redacted, text) AS redacted FROM notes LEFT JOIN redacted ON note = note_id""",
+        "model_tokens": rf"""
+            WITH t AS (SELECT note_id, i, txt, {case_map('txt', NAMED)} AS c FROM ({matches('notes', 'note_id', 'text', r'[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s\p{Z}]')})),
+            g AS (SELECT *, CASE WHEN lag(c) OVER (PARTITION BY note_id ORDER BY i) IS NOT DISTINCT FROM c THEN 'I-' ELSE 'B-' END || c AS tag FROM t)
+            SELECT tag, count(*) AS n, count(*) FILTER (txt NOT IN {sql_list(UNSURE)}) AS counted FROM g WHERE c IS NOT NULL GROUP BY tag""",
         "mock_entities": f"WITH {words(MOCK_KEYWORDS, 'documents', 'doc_id')} SELECT doc_id, seq, w AS text, label, CAST(s AS BIGINT) AS start_pos, CAST(s + length(w) AS BIGINT) AS end_pos, 'llm' AS source, g AS generalized, risk FROM claimed",
         "deidentified_text": f"""
             WITH {WHOLE}, {PLAN_OF}, {SPLICE_OF} SELECT note_id, coalesce(redacted, text) AS redacted FROM notes LEFT JOIN redacted ON note = note_id""",
