@@ -69,7 +69,7 @@ def successors(text: str, limit: int, overlap: int) -> np.ndarray:
     best = np.where((best < 0) & (last >= least), last, best)
     # a hard cut keeps grapheme clusters whole where that still advances
     whole = np.ones(n + 1, dtype=bool)
-    if (best < 0).any() and not text.isascii() or "\r" in text:
+    if (best[reach < n] < 0).any() and not (text.isascii() and "\r" not in text):  # else no hard cut can come up
         whole[:n] = False
         whole[[m.start() for m in CLUSTER.finditer(text)]] = True
     hard = np.maximum.accumulate(np.where(whole, here, -1))[reach]
