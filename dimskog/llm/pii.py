@@ -86,7 +86,7 @@ _NATIONAL = re.compile("[" + re.escape("".join(codecs.SEVEN_BIT)) + "]")
 #: The placeholders of the project, by kind.
 PLACEHOLDERS = {"email": "[E-POST]", "phone": "[TELEFON]", "id_number": "[ID-NUMMER]", "street": "[ADRESS]", "person": "[PERSON]"}
 
-_ODD = re.compile("[\\u00ad\\u200b-\\u200f\\u2060\\ufeff\\uff01-\\uff5e\\u0370-\\u03ff\\u0400-\\u04ff\\u0300-\\u036f]")
+_ODD = re.compile("[\\u00ad\\u200b-\\u200f\\u2060\\ufeff\\uff01-\\uff5e\\u0370-\\u03ff\\u0400-\\u058f\\u13a0-\\u13ff\\u0300-\\u036f]")
 
 
 def _lossy(name: str) -> str:
