@@ -9,7 +9,9 @@ below the session's broadcast limit.
 from __future__ import annotations
 
 import re
+import zlib
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -59,16 +61,41 @@ def patterns(rows: DataFrame) -> DataFrame:
 _TOKEN = re.compile(r"[^\W_]+")
 
 
-def _grams(most: int, beyond: int):
-    """A UDF text -> (start, end, text, after) of every run of 1..most tokens that begins upper-case, with what follows it."""
+#: Bits of the filter on first tokens: a fixed size, whatever the gazetteer's.
+FILTER_BITS = 1 << 20
+
+
+def _first_tokens(known: DataFrame) -> bytes:
+    """A bit for the first token of every pattern; at most FILTER_BITS rows reach the driver."""
+    first = F.regexp_extract("k_", r"^[\p{L}\p{N}]+", 0)
+    bits = np.zeros(FILTER_BITS, dtype=bool)
+    bits[[r.b for r in known.select((F.crc32(first) % FILTER_BITS).cast("int").alias("b")).distinct().collect()]] = True
+    return np.packbits(bits).tobytes()
+
+
+def _grams(most: int, beyond: int, allowed: bytes):
+    """A UDF text -> (start, end, text, after) of every run of 1..most tokens that may begin a pattern, with what follows it.
+
+    A run begins upper-case and with a token that the filter lets through; tokens beyond Latin-1, whose
+    lower case may depend on the engine, always pass.
+    """
     fields = {"start": "int", "end": "int", "text": "string", "after": "string"}
 
     @F.arrow_udf(array_of(fields))
     def grams(texts: pa.Array) -> pa.Array:
+        passes: dict[str, bool] = {}
+
+        def may_begin(token: str) -> bool:
+            ok = passes.get(token)
+            if ok is None:
+                bit = zlib.crc32(token.lower().encode()) % FILTER_BITS
+                ok = passes[token] = max(token) > "\xff" or bool(allowed[bit >> 3] >> (7 - (bit & 7)) & 1)
+            return ok
+
         out = []
         for t in texts.to_pylist():
             spans = [m.span() for m in _TOKEN.finditer(t)] if t else []
-            out.append(None if t is None else [(s, e, t[s:e], t[e : e + beyond]) for i, (s, _) in enumerate(spans) if t[s].isupper() for _, e in spans[i : i + most]])
+            out.append(None if t is None else [(s, e, t[s:e], t[e : e + beyond]) for i, (s, z) in enumerate(spans) if t[s].isupper() and may_begin(t[s:z]) for _, e in spans[i : i + most]])
         return lists(out, fields)
 
     return grams
@@ -83,7 +110,7 @@ def scan(docs: DataFrame, names: DataFrame, key: str) -> DataFrame:
     core = F.regexp_replace("key", r"[^\p{L}\p{N}]+$", "")
     known = names.select(core.alias("k_"), F.expr("substring(key, length(regexp_replace(key, '[^\\\\p{L}\\\\p{N}]+$', '')) + 1)").alias("tail_"), "label")
     most, beyond = known.agg(F.max(F.size(F.regexp_extract_all("k_", F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))), F.max(F.length("tail_"))).first()
-    each = docs.where("text is not null").select(key, F.explode(_grams(most or 0, beyond + 1 if beyond else 0)(F.col("text"))).alias("g_"))
+    each = docs.where("text is not null").select(key, F.explode(_grams(most or 0, beyond + 1 if beyond else 0, _first_tokens(known))(F.col("text"))).alias("g_"))
     found = each.select(key, "g_.start", "g_.end", "g_.text", "g_.after").withColumn("k_", F.lower("text"))
     whole = F.lower("after").startswith(F.col("tail_")) & ~F.expr("substring(after, length(tail_) + 1, 1)").rlike(r"[\p{L}\p{N}]")
     hits = found.join(known, "k_").where((F.col("tail_") == "") | whole)
