@@ -65,12 +65,11 @@ _TOKEN = re.compile(r"[^\W_]+")
 FILTER_BITS = 1 << 20
 
 
-def _first_tokens(known: DataFrame) -> bytes:
-    """A bit for the first token of every pattern; at most FILTER_BITS rows reach the driver."""
-    first = F.regexp_extract("k_", r"^[\p{L}\p{N}]+", 0)
-    bits = np.zeros(FILTER_BITS, dtype=bool)
-    bits[[r.b for r in known.select((F.crc32(first) % FILTER_BITS).cast("int").alias("b")).distinct().collect()]] = True
-    return np.packbits(bits).tobytes()
+def _first_tokens(bits: list[int]) -> bytes:
+    """The filter as packed bits."""
+    out = np.zeros(FILTER_BITS, dtype=bool)
+    out[bits] = True
+    return np.packbits(out).tobytes()
 
 
 def _grams(most: int, beyond: int, allowed: bytes):
@@ -109,8 +108,10 @@ def scan(docs: DataFrame, names: DataFrame, key: str) -> DataFrame:
     """
     core = F.regexp_replace("key", r"[^\p{L}\p{N}]+$", "")
     known = names.select(core.alias("k_"), F.expr("substring(key, length(regexp_replace(key, '[^\\\\p{L}\\\\p{N}]+$', '')) + 1)").alias("tail_"), "label")
-    most, beyond = known.agg(F.max(F.size(F.regexp_extract_all("k_", F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))), F.max(F.length("tail_"))).first()
-    each = docs.where("text is not null").select(key, F.explode(_grams(most or 0, beyond + 1 if beyond else 0, _first_tokens(known))(F.col("text"))).alias("g_"))
+    bit = (F.crc32(F.regexp_extract("k_", r"^[\p{L}\p{N}]+", 0)) % FILTER_BITS).cast("int")
+    n_tokens = F.size(F.regexp_extract_all("k_", F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))
+    most, beyond, bits = known.agg(F.max(n_tokens), F.max(F.length("tail_")), F.collect_set(bit)).first()  # at most FILTER_BITS numbers
+    each = docs.where("text is not null").select(key, F.explode(_grams(most or 0, beyond + 1 if beyond else 0, _first_tokens(bits))(F.col("text"))).alias("g_"))
     found = each.select(key, "g_.start", "g_.end", "g_.text", "g_.after").withColumn("k_", F.lower("text"))
     whole = F.lower("after").startswith(F.col("tail_")) & ~F.expr("substring(after, length(tail_) + 1, 1)").rlike(r"[\p{L}\p{N}]")
     hits = found.join(known, "k_").where((F.col("tail_") == "") | whole)
