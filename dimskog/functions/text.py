@@ -5,18 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: A word character as the reference semantics define it (letters, digits of any kind, underscore).
-WORD = r"[\p{L}\p{N}_]"
-EDGE = rf"(?:(?<={WORD})(?!{WORD})|(?<!{WORD})(?={WORD}))"
 SPAN = "array<struct<start:int,end:int,text:string>>"
 
 
-def unicode_pattern(pattern: str, ignore_case: bool = True) -> str:
-    r"""A pattern with \w, \d and \b as Unicode classes that mean the same on every engine."""
-    body = pattern.replace(r"[\w", r"[\p{L}\p{N}_").replace(r"\w", WORD).replace(r"\d", r"\p{Nd}").replace(r"\b", EDGE)
-    return ("(?iU)" if ignore_case else "(?U)") + body
-
-
 def spans(text: Column, pattern: Column | str) -> Column:
     """All non-overlapping matches as (start, end, text), in code points, half-open.
 
@@ -37,11 +28,6 @@ def spans(text: Column, pattern: Column | str) -> Column:
     return F.aggregate(F.arrays_zip(gaps.alias("g"), found.alias("m")), zero, step, lambda acc: acc["out"])
 
 
-def quoted(needle: Column) -> Column:
-    r"""A literal as a pattern, safe for text that holds \E."""
-    return F.concat(F.lit(r"\Q"), F.replace(needle, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
-
-
 def strip(text: Column) -> Column:
     return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
 
@@ -52,11 +38,6 @@ def norm(text: Column) -> Column:
     return F.regexp_replace(strip(folded), r"(?U)\s+", " ")
 
 
-def norm_sql(x: str) -> str:
-    """The same for DuckDB."""
-    return rf"regexp_replace(regexp_replace(regexp_replace(replace(lower(coalesce({x}, '')), 'ß', 'ss'), '^[\s\p{{Z}}]+', ''), '[\s\p{{Z}}]+$', ''), '[\s\p{{Z}}]+', ' ', 'g')"
-
-
 def present(needle: Column, haystack_norm: Column) -> Column:
     n = norm(needle)
     return (n != "") & F.contains(haystack_norm, n)

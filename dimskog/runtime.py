@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import os
 import shutil
 import tempfile
 import uuid

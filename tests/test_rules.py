@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from dimskog.functions.text import norm, spans
+from dimskog.functions.text import norm, overlaps, present, spans
 from dimskog.operators import rules
 from dimskog.plans.pipeline import redact_by_rules
 
@@ -38,3 +38,8 @@ def test_spans_of_null_and_empty(spark):
 def test_norm(spark, raw):
     want = re.sub(r"\s+", " ", (raw or "").strip().casefold())
     assert spark.createDataFrame([(raw,)], "t string").select(norm(F.col("t"))).first()[0] == want
+
+
+def test_containment_of_normal_forms(spark):
+    df = spark.createDataFrame([("Straße 9", "vid strasse  9 b"), ("", "x"), (None, "x"), ("x", None)], "a string, b string")
+    assert [tuple(r) for r in df.select(present(F.col("a"), norm(F.col("b"))), overlaps(F.col("a"), F.col("b"))).collect()] == [(True, True), (False, False), (False, False), (False, False)]
