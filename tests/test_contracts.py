@@ -180,6 +180,11 @@ def test_review_files(spark, tmp_path):
     assert {(r.stem, r.original) for r in spark.read.json(str(tmp_path / "rev/audit")).collect()} == {("s", "y"), ("u", "z")}
 
 
+def test_rows_by_split(spark, tmp_path):
+    spark.createDataFrame([(1, "train"), (2, "validation"), (3, "train")], "id int, split string").write.partitionBy("split").parquet(str(tmp_path / "r"))
+    assert files.split_rows(spark, str(tmp_path / "r")).count() == 3 and {r.id for r in files.split_rows(spark, str(tmp_path / "r"), "train").collect()} == {1, 3}
+
+
 def test_training_rows_from_an_export(spark):
     item = lambda s, e, *labels: {"id": "r", "from_name": "label", "value": {"start": s, "end": e, "text": "Anna Ek"[s:e], "labels": list(labels)}}
     tasks = [
