@@ -318,11 +318,11 @@ AUDIT_LOG = f"""SELECT run_label, note, row_number() OVER (PARTITION BY run_labe
 
 # A mask widened to the words at its edges, relabelled, then folded over the rest.
 WORDLIKE = r"[\p{L}\p{N}-]"
-REPAIR = rf"""
-    WITH m AS (
-        SELECT row_id, source_text AS t, i, greatest(0, x.start_pos) AS s0, least(length(source_text), x.end_pos) AS e0,
-               coalesce({case_map(case_map('x.label', MASK), MODEL)}, x.label) AS label
-        FROM (SELECT row_id, source_text, generate_subscripts(privacy_mask, 1) AS i, unnest(privacy_mask) AS x FROM sv_pure3 WHERE source_text IS NOT NULL AND privacy_mask IS NOT NULL)),
+
+def repaired(base: str) -> str:
+    """done(row_id, c): the repaired spans of ``base`` m(row_id, t, i, s0, e0, label), in order."""
+    return rf"""
+    {base},
     inner_ AS (SELECT *, substring(t, CAST(s0 + 1 AS BIGINT), CAST(e0 - s0 AS BIGINT)) AS x FROM m WHERE s0 <= e0),
     bare AS (SELECT *, s0 + length(regexp_extract(x, '^{S_}*')) AS s1, greatest(s0 + length(regexp_extract(x, '^{S_}*')), e0 - length(regexp_extract(x, '{S_}*$'))) AS e1 FROM inner_),
     wide AS (SELECT *, s1 - length(regexp_extract(substring(t, 1, CAST(s1 AS BIGINT)), '{WORDLIKE}*$')) AS s, e1 + length(regexp_extract(substring(t, CAST(e1 + 1 AS BIGINT)), '^{WORDLIKE}*')) AS e FROM bare),
@@ -334,7 +334,23 @@ REPAIR = rf"""
                WHEN a[-1].label = x.label AND regexp_matches(substring(x.t, a[-1].e + 1, greatest(0, x.s - a[-1].e)), '^{S_}*\.?{S_}*$')
                THEN list_append(a[:-2], struct_pack(s := a[-1].s, e := x.e, label := x.label, t := x.t)) ELSE list_append(a, x) END, CAST([] AS STRUCT(s BIGINT, e BIGINT, label VARCHAR, t VARCHAR)[])) AS c
         FROM kept GROUP BY row_id)
-    SELECT row_id, CAST(generate_subscripts(c, 1) - 1 AS BIGINT) AS n, unnest(c).s AS start_pos, unnest(c).e AS end_pos, unnest(c).label AS label FROM done
+    """
+
+
+MASKED = f"""
+    m AS (
+        SELECT row_id, source_text AS t, i, greatest(0, x.start_pos) AS s0, least(length(source_text), x.end_pos) AS e0,
+               coalesce({case_map(case_map('x.label', MASK), MODEL)}, x.label) AS label
+        FROM (SELECT row_id, source_text, generate_subscripts(privacy_mask, 1) AS i, unnest(privacy_mask) AS x FROM sv_pure3 WHERE source_text IS NOT NULL AND privacy_mask IS NOT NULL))
+"""
+REPAIR = f"WITH {repaired(MASKED)} SELECT row_id, CAST(generate_subscripts(c, 1) - 1 AS BIGINT) AS n, unnest(c).s AS start_pos, unnest(c).e AS end_pos, unnest(c).label AS label FROM done"
+# Runs of words of one category that the stand-in token model is sure of.
+SURE = {w: MODEL[c] for w, c in NAMED.items() if w not in UNSURE}
+TAGGED = rf"""
+    k AS (SELECT note_id, i, CAST(s AS BIGINT) AS s, CAST(e AS BIGINT) AS e, {case_map('txt', SURE)} AS label FROM ({matches('notes', 'note_id', 'text', r'[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s\p{Z}]')})),
+    f AS (SELECT *, CASE WHEN lag(label) OVER (PARTITION BY note_id ORDER BY i) IS NOT DISTINCT FROM label THEN 0 ELSE 1 END AS fresh FROM k),
+    g AS (SELECT *, sum(fresh) OVER (PARTITION BY note_id ORDER BY i) AS island FROM f),
+    m AS (SELECT x.note_id AS row_id, n.text AS t, min(i) AS i, min(s) AS s0, max(e) AS e0, label FROM g x JOIN notes n ON n.note_id = x.note_id WHERE label IS NOT NULL GROUP BY x.note_id, n.text, island, label)
 """
 _FLAT = strip("replace(coalesce(original, ''), chr(10), ' ')")
 def tuning(order: str, generalized: str = "generalized_to") -> str:
@@ -400,6 +416,9 @@ def sql() -> dict[str, str]:
             WITH {RULES}, ents AS (SELECT '' AS run_label, note_id AS note, seq, k.txt AS txt, k.label AS label, k.s AS s, k.e AS e, 'rule' AS source, CAST(NULL AS VARCHAR) AS g FROM ruled),
             {PLAN_OF}, runs AS (SELECT '' AS run_label, note_id AS note, text FROM notes), {SPLICE_OF}
             SELECT note_id, coalesce(redacted, text) AS redacted FROM notes LEFT JOIN redacted ON note = note_id""",
+        "model_entities": f"""
+            WITH {repaired(TAGGED)}, u AS (SELECT row_id, generate_subscripts(c, 1) - 1 AS seq, unnest(c) AS x FROM done)
+            SELECT row_id AS note_id, CAST(seq AS BIGINT) AS seq, substring(x.t, x.s + 1, x.e - x.s) AS text, x.label AS label, x.s AS start_pos, x.e AS end_pos FROM u""",
         "model_tokens": rf"""
             WITH t AS (SELECT note_id, i, txt, {case_map('txt', NAMED)} AS c FROM ({matches('notes', 'note_id', 'text', r'[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s\p{Z}]')})),
             g AS (SELECT *, CASE WHEN lag(c) OVER (PARTITION BY note_id ORDER BY i) IS NOT DISTINCT FROM c THEN 'I-' ELSE 'B-' END || c AS tag FROM t)
