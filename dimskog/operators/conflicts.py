@@ -1,11 +1,13 @@
 """Conflict resolution: which of overlapping entities stand, and who owns each stretch of text.
 
-Both work on the array of one document's findings, bounded by its length: the greedy acceptance is a
-native fold over the sorted array, the redaction plan an Arrow pass that sweeps over its boundaries.
+Both are Arrow passes over the array of one document's findings, which its length bounds: greedy
+acceptance keeps what stands sorted, the redaction plan sweeps over the boundaries, so neither compares all
+findings with all.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from heapq import heappop, heappush
 from itertools import pairwise
 
@@ -14,8 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimskog.functions.scan import array_of, lists
-from dimskog.functions.text import strip
-from dimskog.schema import DIRECT, ENTITY_TYPE, GROUND_TRUTH, PROTECTED, is_direct
+from dimskog.schema import DIRECT, GROUND_TRUTH, PROTECTED
 
 _DIRECT, _PROTECTED, _TRUTH = frozenset(DIRECT), frozenset(PROTECTED), frozenset(GROUND_TRUTH)
 FIELDS = ("seq", "text", "label", "start", "end", "source", "confidence", "generalized", "risk")
@@ -26,46 +27,52 @@ def entity(prefix: str = "") -> Column:
     return F.struct(*[F.col(prefix + f).cast(t).alias(f) for f, t in zip(FIELDS, ("long", "string", "string", "int", "int", "string", "double", "string", "string"))])
 
 
-def ranked(entities: Column) -> Column:
-    """Entities in priority order: direct first, then longer, then earlier in the list."""
-    keyed = F.transform(entities, lambda e: F.struct((~is_direct(e["label"])).cast("int").alias("d"), (e["start"] - e["end"]).alias("n"), e["seq"].alias("s"), e.alias("e")))
-    return F.transform(F.array_sort(keyed), lambda k: k["e"])
+def _priority(e: dict) -> tuple:
+    """Direct first, then longer, then earlier in the list."""
+    return e["label"] not in _DIRECT, e["start"] - e["end"], e["seq"]
 
 
-def _meet(a: Column, b: Column) -> Column:
-    return (a["start"] < b["end"]) & (a["end"] > b["start"])
+def _discredits(r: dict, generalized: str | None) -> bool:
+    """Whether a rejected finding discredits the generalization of one that stands: it is ground truth, or its
+    text, also without a genitive s, stands in it."""
+    text, told = r["text"].strip().lower(), (generalized or "").strip().lower()
+    return r["source"] in _TRUTH or text in told or len(text) > 3 and text.endswith("s") and text[:-1] in told
 
 
-def accept(entities: Column) -> Column:
-    """Greedy acceptance in priority order: an entity stands if it overlaps none that stands already."""
-    none = F.array().cast(f"ARRAY<{ENTITY_TYPE}>")
-    return F.aggregate(ranked(entities), none, lambda acc, x: F.when(F.exists(acc, lambda a: _meet(a, x)), acc).otherwise(F.concat(acc, F.array(x))))
+def standing(entities: list[dict]) -> list[dict]:
+    """Greedy acceptance in priority order: an entity stands if it overlaps none that stands already.
 
-
-def distrust(entities: Column, accepted: Column) -> Column:
-    """Accepted entities whose generalization a rejected, lower-ranked one discredits lose it.
-
-    A ground-truth finding discredits always, any other if the generalization repeats its text, also
-    without a genitive s.  Only entities ranked after the accepted one can do so.
+    One that does not takes away the generalizations it discredits.  What stands is disjoint and kept
+    sorted, so the ones that an entity meets are neighbours.
     """
-    order = ranked(entities)
+    starts: list[int] = []
+    ends: list[int] = []
+    held: list[dict] = []
+    out = []
+    for x in sorted(entities, key=_priority):
+        at = bisect_left(starts, x["end"])
+        if not at or ends[at - 1] <= x["start"]:
+            x = dict(x)
+            starts.insert(at, x["start"])
+            ends.insert(at, x["end"])
+            held.insert(at, x)
+            out.append(x)
+        elif x["text"] is not None and x["text"].strip():
+            k = at - 1
+            while k >= 0 and ends[k] > x["start"]:
+                if _discredits(x, held[k]["generalized"]):
+                    held[k]["generalized"] = None
+                k -= 1
+    return out
 
-    def key(e: Column) -> Column:
-        return F.struct((~is_direct(e["label"])).cast("int").alias("d"), (e["start"] - e["end"]).alias("n"), e["seq"].alias("s"))
 
-    def leaks(text: Column, generalized: Column) -> Column:
-        t, g = F.lower(strip(text)), F.lower(strip(generalized))
-        short = F.when((F.length(t) > 3) & t.endswith("s"), F.substring(t, F.lit(1), F.length(t) - 1))
-        return F.contains(g, t) | F.coalesce(F.contains(g, short), F.lit(False))
+ENTITY_FIELDS = dict(zip(FIELDS, ("bigint", "string", "string", "int", "int", "string", "double", "string", "string")))
 
-    def clear(a: Column) -> Column:
-        bad = F.exists(
-            order,
-            lambda r: F.coalesce(_meet(r, a) & (key(r) > key(a)) & (strip(r["text"]) != "") & (r["source"].isin(*GROUND_TRUTH) | leaks(r["text"], a["generalized"])), F.lit(False)),
-        )
-        return F.struct(*[F.when(bad, F.lit(None)).otherwise(a[f]).alias(f) if f == "generalized" else a[f].alias(f) for f in FIELDS])
 
-    return F.transform(accepted, clear)
+@F.arrow_udf(array_of(ENTITY_FIELDS))
+def accepted(entities: pa.Array) -> pa.Array:
+    """``standing`` over arrays of entities; null stays null."""
+    return lists([None if es is None else [tuple(e[f] for f in FIELDS) for e in standing(es)] for es in entities.to_pylist()], ENTITY_FIELDS)
 
 
 def collected(entities: DataFrame, keys: list[str]) -> DataFrame:
@@ -79,7 +86,7 @@ def greedy(entities: DataFrame, keys: list[str]) -> DataFrame:
     Null spans never enter; null keys form a document of their own; repeated entities keep the first.
     """
     docs = collected(entities.where("start is not null and end is not null"), keys)
-    kept = docs.select(*keys, F.posexplode(distrust(F.col("entities"), accept(F.col("entities")))).alias("rank", "e"))
+    kept = docs.select(*keys, F.posexplode(accepted(F.col("entities"))).alias("rank", "e"))
     return kept.select(*keys, F.col("rank").cast("long").alias("rank"), "e.*")
 
 
@@ -141,4 +148,4 @@ def plan(entities: DataFrame, keys: list[str]) -> DataFrame:
     return each.select(*keys, *[f"f.{c}" for c in ("seq", "label", "source", "start", "end", "whole", "generalized", "text")])
 
 
-__all__ = ["accept", "collected", "distrust", "entity", "fragments", "greedy", "plan", "ranked", "DIRECT"]
+__all__ = ["ENTITY_FIELDS", "FIELDS", "accepted", "collected", "entity", "fragments", "greedy", "owned", "plan", "standing"]

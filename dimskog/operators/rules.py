@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimskog.functions.scan import array_of, lists, scanner
-from dimskog.schema import DIRECT
+from dimskog.operators.conflicts import ENTITY_FIELDS, standing
+from dimskog.schema import CONFIDENCE
 
 # Label and pattern, in the order of evaluation.
 PATTERNS = (
@@ -29,35 +29,16 @@ PATTERNS = (
 _scan = scanner(PATTERNS, re.IGNORECASE)
 
 
-_FIELDS = {"seq": "bigint", "text": "string", "label": "string", "start": "int", "end": "int", "source": "string", "confidence": "double", "generalized": "string", "risk": "string"}
-
-
-def standing(matches: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
-    """Greedy acceptance of (start, end, label) in list order: direct labels first, then longer, then earlier ones.
-
-    What stands is kept sorted, so each match looks at its neighbours only.
-    """
-    starts: list[int] = []
-    ends: list[int] = []
-    out = []
-    for _, _, _, (s, e, label) in sorted((label not in DIRECT, s - e, i, (s, e, label)) for i, (s, e, label) in enumerate(matches)):
-        at = bisect_left(starts, e)
-        if not at or ends[at - 1] <= s:
-            starts.insert(at, s)
-            ends.insert(at, e)
-            out.append((s, e, label))
-    return out
-
-
-@F.arrow_udf(array_of(_FIELDS))
+@F.arrow_udf(array_of(ENTITY_FIELDS))
 def accepted(texts: pa.Array) -> pa.Array:
     """Accepted rule entities of each text in priority order, in one pass; null text gives null."""
     compiled = [(label, re.compile(p, re.IGNORECASE)) for label, p in PATTERNS]
     out = []
     for t in texts.to_pylist():
-        kept = None if t is None else standing([(*m.span(), label) for label, p in compiled for m in p.finditer(t)])
-        out.append(None if kept is None else [(i, t[s:e], label, s, e, "rule", 1.0, None, "high") for i, (s, e, label) in enumerate(kept)])
-    return lists(out, _FIELDS)
+        found = [(*m.span(), m.group(), label) for label, p in compiled for m in p.finditer(t)] if t else []
+        kept = standing([{"seq": i, "text": x, "label": label, "start": s, "end": e, "source": "rule", "generalized": None} for i, (s, e, x, label) in enumerate(found)])
+        out.append(None if t is None else [(i, x["text"], x["label"], x["start"], x["end"], "rule", CONFIDENCE["rule"], None, "high") for i, x in enumerate(kept)])
+    return lists(out, ENTITY_FIELDS)
 
 
 def rule_spans(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
