@@ -160,6 +160,39 @@ def test_short_records(spark, tables, monkeypatch):
     assert both_ways(spark, tables, monkeypatch, rows) == [want, want]
 
 
+def test_one_threshold(spark, tables, monkeypatch):
+    """At three quarters a pair is found, a word below it is none, whether words differ or stand in another order."""
+    rows = []
+    for k in range(8):
+        for turned in (True, False):
+            base = [f"s{k}{turned}x{i}" for i in range(20)]
+            rows.append((len(rows), "train", base))
+            for off in (5, 6):  # 15 and 14 of 20 words in order
+                rows.append((len(rows), "test", base[off:] + base[:off] if turned else [f"y{k}x{i}" if i < off else w for i, w in enumerate(base)]))
+    want = brute(rows)
+    assert want == {(i, i + 1) for i in range(0, 48, 3)}
+    assert both_ways(spark, tables, monkeypatch, rows) == [want, want]
+
+
+def test_prefixes_meet_at_the_threshold():
+    """Every random pair that covers three quarters meets at a key and a place it can be reached from, with no word, some and all words hot."""
+    rnd = random.Random(15)
+    met = 0
+    for _ in range(3_000):
+        a = [rnd.randrange(rnd.choice((4, 30))) for _ in range(rnd.randint(1, 24))]
+        b = [x for x in a if rnd.random() > 0.12] + [rnd.randrange(30) for _ in range(rnd.randint(0, 2))]
+        if not b or lcs(a, b) < 0.75 * max(len(a), len(b)):
+            continue
+        met += 1
+        known = np.arange(0, 30, 2, dtype=np.uint32)
+        for hot in ([], [2, 3, 7, 11], range(30)):
+            with np.errstate(over="ignore"):
+                row, key, place = overlap.prefix_keys(np.array(a + b, dtype=np.uint32), np.array([0, len(a), len(a) + len(b)]), known, known[::-1].astype(np.int64) // 4, np.array(hot, dtype=np.uint64))[:3]
+            posts = [{(k, p) for r, k, p in zip(row.tolist(), key.tolist(), place.tolist()) if r == side} for side in (0, 1)]
+            assert any(k == z and overlap.reachable(i, len(a), j, len(b)) for k, i in posts[0] for z, j in posts[1])
+    assert met > 1_000
+
+
 def test_long_records_are_not_capped():
     """Positions and lengths beyond 16 bits count in full: 76,000 of 100,000 words are shared."""
     entries = np.zeros(2, dtype=overlap._ENTRY)
