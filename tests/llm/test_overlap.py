@@ -193,6 +193,54 @@ def test_prefixes_meet_at_the_threshold():
     assert met > 1_000
 
 
+def test_splits_lose_nothing(monkeypatch):
+    """Runs split to the last word in small blocks, or never, with no word, some and all words hot: every pair that covers three quarters is met."""
+    rnd = random.Random(16)
+    records = []
+    for k in range(90):
+        base = [rnd.randrange(60 if k % 3 else 9) for _ in range(rnd.choice((1, 2, 3, 4, 6, 12, 30)))]
+        for j in range(4):
+            records.append((j % 2, [rnd.randrange(60) if rnd.random() < 0.08 * j else x for x in base] + [rnd.randrange(9)] * rnd.randint(0, j % 3)))
+    want = {(i, j) for i, (s, a) in enumerate(records) for j, (z, b) in enumerate(records) if s < z and lcs(a, b) >= 0.75 * max(len(a), len(b))}
+    offsets = np.concatenate([[0], np.cumsum([len(a) for _, a in records])])
+    entries = np.zeros(len(records), dtype=overlap._ENTRY)
+    entries["id"], entries["n"] = [2 * i + s for i, (s, _) in enumerate(records)], np.diff(offsets)
+    w, known = np.array([x for _, a in records for x in a], dtype=np.uint32), np.arange(0, 60, 2, dtype=np.uint32)
+    assert len(want) > 150
+    for hot in ([], [2, 3, 7, 11], range(60)):
+        row, key, posts, later = overlap.posts_of(w, offsets, known, known[::-1].astype(np.int64) // 4, np.array(hot, dtype=np.uint64))
+        posts["key"], posts["at"] = key & np.uint64(0xFFFFFFFF), row
+        for split, block in ((0, 50), (0, 10**6), (10**9, 50)):
+            monkeypatch.setattr(overlap, "SPLIT", split)
+            monkeypatch.setattr(overlap, "BLOCK", block)
+            got = {p for a, b in overlap.run_pairs(posts, entries, later) for p in zip(a.tolist(), b.tolist())}
+            assert want <= got and len(got) < 3 * len(want)
+
+
+def test_disk_is_bounded(spark, tables, monkeypatch):
+    """Many partitions and hot words on nearly all records: the rounds leave no shuffle files, and the same pairs come out."""
+    rows = [(i, s, "k", t, None) for i, (t, s) in enumerate(corpus(17, 200))]
+    folder = tables(rows=rows)
+    want = {tuple(r) for r in overlap.found(spark, folder).collect()}
+    held = 4 * sum(len(overlap.words(r[3], [])) for r in rows)
+    dirs = [d.getPath() for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+
+    def shuffled():
+        return {f: os.path.getsize(os.path.join(at, f)) for d in dirs for at, _, files in os.walk(d) for f in files if f.startswith("shuffle_") and f.endswith(".data")}
+
+    monkeypatch.setattr(overlap, "HOT_ROWS", 20)
+    monkeypatch.setattr(overlap, "ROUND_WORDS", held // 4 // 6, raising=False)
+    before = shuffled()
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        got = {tuple(r) for r in overlap.found(spark, folder).collect()}
+        left = sum(n for f, n in shuffled().items() if f not in before)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert got == want and len(want) > 50
+    assert left < 4 * held
+
+
 def test_long_records_are_not_capped():
     """Positions and lengths beyond 16 bits count in full: 76,000 of 100,000 words are shared."""
     entries = np.zeros(2, dtype=overlap._ENTRY)
