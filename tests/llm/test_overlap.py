@@ -241,6 +241,18 @@ def test_disk_is_bounded(spark, tables, monkeypatch):
     assert left < 4 * held
 
 
+def test_pairs_in_shares(spark, tables, monkeypatch):
+    """Pairs that go to the texts share by share are the same, each once."""
+    folder = tables(rows=[(i, s, "k", t, None) for i, (t, s) in enumerate(corpus(18, 120))])
+    want = sorted(tuple(r) for r in overlap.found(spark, folder).collect())
+    shares, covered = [], overlap._covered
+    monkeypatch.setattr(overlap, "PAIR_BYTES", 10**9, raising=False)
+    monkeypatch.setattr(overlap, "PAIRS", 20, raising=False)
+    monkeypatch.setattr(overlap, "_covered", lambda pairs: shares.append(pairs) or covered(pairs))
+    assert sorted(tuple(r) for r in overlap.found(spark, folder).collect()) == want and len(want) > 30
+    assert len(shares) > 1
+
+
 def test_long_records_are_not_capped():
     """Positions and lengths beyond 16 bits count in full: 76,000 of 100,000 words are shared."""
     entries = np.zeros(2, dtype=overlap._ENTRY)
